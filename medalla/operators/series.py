@@ -50,10 +50,12 @@ def centered_moving_average(df: DataFrame, value: str, order: str, n: int = 12,
     return df.withColumn(out, F.when(F.count(value).over(w) == n, F.avg(value).over(w)))
 
 
-def yearly_series_stats(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja") -> DataFrame:
-    """Mean, sample std, min, max of the series per calendar year."""
+def yearly_series_stats(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja",
+                        scale: int = 6) -> DataFrame:
+    """Mean, sample std (NULL for a one-month year), min, max per year."""
     return (series.groupBy(F.year(date_col).alias("anio"))
-                  .agg(F.avg(value).alias("media"), F.stddev_samp(value).alias("desviacion"),
+                  .agg(F.round(F.avg(value), scale).alias("media"),
+                       F.round(F.stddev_samp(value), scale).alias("desviacion"),
                        F.min(value).alias("minimo"), F.max(value).alias("maximo")))
 
 
@@ -67,7 +69,7 @@ def last_periods(series: DataFrame, n: int = 12, date_col: str = "fecha_queja")
 
 
 def forecast_mean(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja",
-                  n: int = 6, horizon: int = 3, z: float = 1.96) -> DataFrame:
+                  n: int = 6, horizon: int = 3, z: float = 1.96, scale: int = 6) -> DataFrame:
     """Flat forecast: mean of the last ``n`` periods for the next ``horizon``
     months, with a band mean +/- z * sample std (lower bound not clamped).
 
@@ -81,9 +83,9 @@ def forecast_mean(series: DataFrame, value: str = "total_quejas", date_col: str
         "paso",
         mes.alias("fecha_pronostico"),
         F.date_format(mes, "yyyy-MM").alias("periodo_mes"),
-        F.col("_m").alias("prediccion"),
-        (F.col("_m") - F.lit(z) * F.col("_s")).alias("intervalo_inferior"),
-        (F.col("_m") + F.lit(z) * F.col("_s")).alias("intervalo_superior"),
+        F.round(F.col("_m"), scale).alias("prediccion"),
+        F.round(F.col("_m") - F.lit(z) * F.col("_s"), scale).alias("intervalo_inferior"),
+        F.round(F.col("_m") + F.lit(z) * F.col("_s"), scale).alias("intervalo_superior"),
     )
 
 
@@ -98,18 +100,21 @@ def fill_calendar(series: DataFrame, value_cols: Sequence[str], date_col: str =
     return out.select(*keys, date_col, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in value_cols])
 
 
-def seasonal_profile(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja") -> DataFrame:
+def seasonal_profile(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja",
+                     scale: int = 6) -> DataFrame:
     """Mean per month of the year and its index against the overall mean."""
     per = series.groupBy(F.month(date_col).alias("mes")).agg(
         F.avg(value).alias("media_mes"), F.count(F.lit(1)).alias("observaciones"))
     overall = series.agg(F.avg(value).alias("_all"))
     return (per.crossJoin(F.broadcast(overall))
                .withColumn("indice_estacional", F.round(F.col("media_mes") / F.col("_all"), 4))
+               .withColumn("media_mes", F.round("media_mes", scale))
                .drop("_all"))
 
 
 def series_anomalies(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja",
-                     n: int = 6, threshold: float = 2.0, partition_by: Sequence[str] = ()) -> DataFrame:
+                     n: int = 6, threshold: float = 2.0, partition_by: Sequence[str] = (),
+                     scale: int = 6) -> DataFrame:
     """z-score of each period against the previous ``n`` periods; flagged
     when |z| > threshold. NULL z when there are fewer than 2 previous
     periods or their std is 0."""
@@ -117,4 +122,5 @@ def series_anomalies(series: DataFrame, value: str = "total_quejas", date_col: s
     m, s, c = F.avg(value).over(w), F.stddev_samp(value).over(w), F.count(value).over(w)
     z = F.when((c >= 2) & (s > 0), (F.col(value) - m) / s)
     out = series.withColumn("media_previa", m).withColumn("z", z)
-    return out.withColumn("anomalia", F.coalesce(F.abs(F.col("z")) > F.lit(threshold), F.lit(False)))
+    out = out.withColumn("anomalia", F.coalesce(F.abs(F.col("z")) > F.lit(threshold), F.lit(False)))
+    return out.withColumn("media_previa", F.round("media_previa", scale)).withColumn("z", F.round("z", scale))

@@ -2,19 +2,31 @@
 
 Each query is ``(spark, sf_dir) -> DataFrame`` and runs over the whole
 tables. ``SQL`` holds the independent DuckDB statement of the same result
-(column names and types aligned) where one exists.
+(column names and types aligned) where one exists; queries without one (the
+K-Means family, schema metadata) are checked on invariants in the tests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medalla import oracle_sql as O
+from medalla.functions import scalar as S
+from medalla.operators import analysis as A
 from medalla.operators import conform as C
+from medalla.operators import eda as E
 from medalla.operators import marts as M
-from medalla.sources.star import raw_from_star
+from medalla.operators import quality as Q
+from medalla.operators import ranking as R
+from medalla.operators import segment as G
+from medalla.operators import series as T
+from medalla.operators import text as X
+from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
+from medalla.sources.star import raw_from_star, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,10 +50,708 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return C.conform(raw_from_star(spark, sf))
 
 
-# ------------------------------------------------------------------ gold marts
-@register("entity_metrics", O.on_silver("""
-SELECT *, CAST(row_number() OVER (ORDER BY total_quejas DESC, codigo_entidad, nombre_entidad,
-                                  tipo_entidad_desc) AS INTEGER) AS ranking_quejas
-FROM entity""", O.ENTITY))
+def entity(spark: SparkSession, sf: str, rank: bool = False) -> DataFrame:
+    return M.entity_metrics(silver(spark, sf), rank=rank)
+
+
+def monthly(spark: SparkSession, sf: str) -> DataFrame:
+    return M.monthly_metrics(silver(spark, sf))
+
+
+r2, r6 = O.r2, (lambda e: O.r2(e, 6))
+_EKEYS = ", ".join(ENTITY_KEYS)
+_RANKED_ENTITY = f"""ranked_entity AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY total_quejas DESC, {_EKEYS}) AS INTEGER) AS ranking_quejas
+  FROM entity)"""
+_RANKINGS = """per AS (
+  SELECT nombre_entidad, tipo_entidad_desc, count(*) AS t, count(DISTINCT producto) AS p,
+         count(*) FILTER (WHERE anio = (SELECT max(anio) FROM silver)) AS r
+  FROM silver GROUP BY nombre_entidad, tipo_entidad_desc),
+st AS (
+  SELECT nombre_entidad, tipo_entidad_desc, 'total_quejas' AS ranking_tipo, t AS total_quejas FROM per
+  UNION ALL SELECT nombre_entidad, tipo_entidad_desc, 'productos_distintos', p FROM per
+  UNION ALL SELECT nombre_entidad, tipo_entidad_desc, 'quejas_' || CAST((SELECT max(anio) FROM silver) AS VARCHAR), r
+  FROM per WHERE r > 0),
+rankings AS (
+  SELECT nombre_entidad, tipo_entidad_desc, total_quejas, ranking_tipo,
+         CAST(row_number() OVER (PARTITION BY ranking_tipo
+              ORDER BY total_quejas DESC, nombre_entidad, tipo_entidad_desc) AS INTEGER) AS posicion
+  FROM st)"""
+
+
+# =========================================================== bronze profile
+@register("dataset_profile", O.on_raw("""
+SELECT count(*) AS total_registros, count(DISTINCT ANIO) AS total_anios, min(anio_n) AS anio_inicial,
+  max(anio_n) AS anio_final, count(DISTINCT NOMBRE_ENTIDAD) AS total_entidades,
+  count(DISTINCT PRODUCTO) AS total_productos, count(DISTINCT MOTIVO) AS total_motivos,
+  count(DISTINCT ESTADO) AS total_estados, count(DISTINCT TIPO_ENTIDAD) AS total_tipos_entidad
+FROM parsed""", O.PARSED))
+def q_dataset_profile(spark, sf):
+    return Q.dataset_profile(raw(spark, sf))
+
+
+@register("null_profile", O.on_raw("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS columna, count(*) - count({c}) AS valores_nulos, "
+    f"{r2(f'(count(*) - count({c})) * 100e0 / count(*)')} AS porcentaje_nulos FROM raw"
+    for c in RAW_COLUMNS)))
+def q_null_profile(spark, sf):
+    return Q.null_profile(raw(spark, sf))
+
+
+@register("marker_profile", O.on_raw("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS columna, count(*) FILTER (WHERE upper(trim({c})) = 'NA') AS cantidad, "
+    f"{r2(f'count(*) FILTER (WHERE upper(trim({c})) = ' + chr(39) + 'NA' + chr(39) + ') * 100e0 / count(*)')}"
+    f" AS porcentaje FROM raw" for c in ("PRODUCTO", "MOTIVO"))))
+def q_marker_profile(spark, sf):
+    return Q.marker_profile(raw(spark, sf))
+
+
+@register("yearly_distribution", O.on_raw(f"""
+SELECT anio_n AS anio, count(*) AS total_quejas, count(DISTINCT NOMBRE_ENTIDAD) AS entidades_con_quejas,
+  {O.r2('avg(mes_n)', 1)} AS mes_promedio
+FROM parsed GROUP BY anio_n""", O.PARSED))
+def q_yearly_distribution(spark, sf):
+    return M.yearly_distribution(raw(spark, sf))
+
+
+@register("top_entities", O.on_raw("""
+SELECT NOMBRE_ENTIDAD, count(*) AS total_quejas, count(DISTINCT PRODUCTO) AS productos_diferentes,
+  count(DISTINCT MOTIVO) AS motivos_diferentes
+FROM raw GROUP BY NOMBRE_ENTIDAD ORDER BY total_quejas DESC, NOMBRE_ENTIDAD LIMIT 10"""))
+def q_top_entities(spark, sf):
+    return M.top_entities(raw(spark, sf))
+
+
+@register("share_by_raw_type", O.on_raw(f"""
+SELECT TIPO_ENTIDAD, count(*) AS total_quejas, count(DISTINCT NOMBRE_ENTIDAD) AS cantidad_entidades,
+  {r2('count(*) * 100e0 / sum(count(*)) OVER ()')} AS porcentaje
+FROM raw GROUP BY TIPO_ENTIDAD"""))
+def q_share_by_raw_type(spark, sf):
+    return M.share_by(raw(spark, sf), "TIPO_ENTIDAD", "NOMBRE_ENTIDAD")
+
+
+@register("schema_profile")
+def q_schema_profile(spark, sf):
+    return Q.schema_profile(silver(spark, sf))
+
+
+# ============================================================ scalar rules
+@register("normalize_year", O.on_raw("""
+SELECT ANIO, anio_n AS anio_normalizado, count(*) AS filas FROM parsed GROUP BY ANIO, anio_n""", O.PARSED))
+def q_normalize_year(spark, sf):
+    return (raw(spark, sf).groupBy("ANIO", S.normalize_year("ANIO").alias("anio_normalizado"))
+            .agg(F.count(F.lit(1)).alias("filas")))
+
+
+@register("standardize_name", O.on_raw(r"""
+SELECT NOMBRE_ENTIDAD,
+  trim(regexp_replace(regexp_replace(upper(NOMBRE_ENTIDAD), '\s+S[.]A[.]?\s*$', ''), '\s+LTDA[.]?\s*$', '')) AS nombre_estandar,
+  count(*) AS filas
+FROM raw GROUP BY 1, 2"""))
+def q_standardize_name(spark, sf):
+    return (raw(spark, sf).groupBy("NOMBRE_ENTIDAD", S.standardize_name("NOMBRE_ENTIDAD").alias("nombre_estandar"))
+            .agg(F.count(F.lit(1)).alias("filas")))
+
+
+@register("fill_unspecified", O.on_raw("""
+SELECT PRODUCTO, CASE WHEN upper(trim(PRODUCTO)) = 'NA' OR PRODUCTO IS NULL THEN 'NO ESPECIFICADO'
+                      ELSE trim(PRODUCTO) END AS producto_std, count(*) AS filas
+FROM raw GROUP BY 1, 2"""))
+def q_fill_unspecified(spark, sf):
+    return (raw(spark, sf).groupBy("PRODUCTO", S.fill_unspecified("PRODUCTO").alias("producto_std"))
+            .agg(F.count(F.lit(1)).alias("filas")))
+
+
+@register("categorize", O.on_raw("""
+SELECT TIPO_ENTIDAD,
+  CASE WHEN tip_n = 1 THEN 'BANCO' WHEN tip_n IN (23, 24, 25) THEN 'PENSION Y CESANTIAS'
+       WHEN tip_n IN (2, 3) THEN 'CORPORACION FINANCIERA' WHEN tip_n IN (5, 6) THEN 'SEGUROS'
+       WHEN tip_n IN (7, 8) THEN 'SOCIEDADES FIDUCIARIAS' ELSE 'OTRA ENTIDAD FINANCIERA' END AS categoria,
+  count(*) AS filas
+FROM parsed GROUP BY 1, 2""", O.PARSED))
+def q_categorize(spark, sf):
+    return (raw(spark, sf).groupBy("TIPO_ENTIDAD", S.categorize(S.parse_code("TIPO_ENTIDAD")).alias("categoria"))
+            .agg(F.count(F.lit(1)).alias("filas")))
+
+
+@register("month_key", O.on_silver("""
+SELECT anio, mes, periodo_mes, count(*) AS filas FROM silver GROUP BY 1, 2, 3"""))
+def q_month_key(spark, sf):
+    return silver(spark, sf).groupBy("anio", "mes", "periodo_mes").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("quarter_label", O.on_silver("""
+SELECT mes, trimestre, count(*) AS filas FROM silver GROUP BY 1, 2"""))
+def q_quarter_label(spark, sf):
+    return silver(spark, sf).groupBy("mes", "trimestre").agg(F.count(F.lit(1)).alias("filas"))
+
+
+# ================================================================== silver
+@register("conform", O.on_silver("SELECT * FROM silver"))
+def q_conform(spark, sf):
+    return silver(spark, sf)
+
+
+@register("rejects", O.on_raw("""
+SELECT TIPO_ENTIDAD, CODIGO_ENTIDAD, NOMBRE_ENTIDAD, PRODUCTO, MOTIVO, ESTADO, ANIO, MES,
+  CASE WHEN anio_n IS NULL THEN 'ANIO_INVALIDO'
+       WHEN mes_n IS NULL OR NOT (mes_n BETWEEN 1 AND 12) THEN 'MES_INVALIDO'
+       WHEN tip_n IS NULL THEN 'TIPO_ENTIDAD_INVALIDO'
+       WHEN cod_n IS NULL THEN 'CODIGO_ENTIDAD_INVALIDO' END AS motivo_rechazo
+FROM parsed
+WHERE NOT coalesce(anio_n IS NOT NULL AND mes_n BETWEEN 1 AND 12 AND tip_n IS NOT NULL AND cod_n IS NOT NULL, false)
+""", O.PARSED))
+def q_rejects(spark, sf):
+    return C.rejects(raw(spark, sf))
+
+
+@register("sample_rows", O.on_silver("""
+SELECT tipo_entidad_desc, nombre_entidad, producto, motivo, estado, fecha_queja, periodo_mes, trimestre
+FROM silver
+ORDER BY tipo_entidad_desc NULLS FIRST, nombre_entidad NULLS FIRST, producto NULLS FIRST, motivo NULLS FIRST,
+  estado NULLS FIRST, fecha_queja NULLS FIRST, periodo_mes NULLS FIRST, trimestre NULLS FIRST
+LIMIT 10"""))
+def q_sample_rows(spark, sf):
+    return Q.sample_rows(silver(spark, sf), 10, ["tipo_entidad_desc", "nombre_entidad", "producto", "motivo",
+                                                  "estado", "fecha_queja", "periodo_mes", "trimestre"])
+
+
+@register("silver_verification", O.on_silver("""
+SELECT count(*) AS total_registros, count(DISTINCT anio) AS total_anios, min(fecha_queja) AS fecha_minima,
+  max(fecha_queja) AS fecha_maxima, count(DISTINCT nombre_entidad) AS total_entidades,
+  count(DISTINCT producto) AS total_productos
+FROM silver"""))
+def q_silver_verification(spark, sf):
+    return Q.silver_verification(silver(spark, sf))
+
+
+@register("default_value_profile", O.on_silver("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS columna, count(*) FILTER (WHERE {c} = 'NO ESPECIFICADO') AS cantidad, "
+    f"{r2(f'count(*) FILTER (WHERE {c} = ' + chr(39) + 'NO ESPECIFICADO' + chr(39) + ') * 100e0 / count(*)')}"
+    f" AS porcentaje FROM silver" for c in ("producto", "motivo"))))
+def q_default_value_profile(spark, sf):
+    return Q.default_value_profile(silver(spark, sf))
+
+
+@register("share_by", O.on_silver(f"""
+SELECT tipo_entidad_desc, count(*) AS total_quejas, count(DISTINCT nombre_entidad) AS cantidad_entidades,
+  {r2('count(*) * 100e0 / sum(count(*)) OVER ()')} AS porcentaje_total
+FROM silver GROUP BY tipo_entidad_desc"""))
+def q_share_by(spark, sf):
+    return M.share_by(silver(spark, sf), "tipo_entidad_desc", "nombre_entidad", share_name="porcentaje_total")
+
+
+@register("date_validation", O.on_silver("""
+SELECT anio, count(*) AS registros, min(fecha_queja) AS primera_fecha, max(fecha_queja) AS ultima_fecha,
+  count(DISTINCT periodo_mes) AS meses_con_datos,
+  (year(min(fecha_queja)) = anio AND year(max(fecha_queja)) = anio AND count(DISTINCT periodo_mes) <= 12
+   AND anio BETWEEN 1900 AND 2100) AS fechas_validas
+FROM silver GROUP BY anio"""))
+def q_date_validation(spark, sf):
+    return Q.date_validation(silver(spark, sf))
+
+
+@register("completeness", O.on_silver(f"""
+SELECT count(*) AS total_registros, count(nombre_entidad) AS nombre_entidad_completo,
+  count(producto) AS producto_completo, count(motivo) AS motivo_completo, count(estado) AS estado_completo,
+  count(fecha_queja) AS fecha_queja_completa,
+  {r2('count(fecha_queja) * 100e0 / count(*)')} AS porcentaje_completitud
+FROM silver"""))
+def q_completeness(spark, sf):
+    return Q.completeness(silver(spark, sf))
+
+
+# ============================================================== gold marts
+@register("entity_metrics", O.on_silver("SELECT * FROM ranked_entity", O.ENTITY, _RANKED_ENTITY))
 def q_entity_metrics(spark, sf):
     return M.entity_metrics(silver(spark, sf))
+
+
+@register("product_metrics", O.on_silver(f"""
+SELECT producto, count(*) AS total_quejas, count(DISTINCT nombre_entidad) AS entidades_afectadas,
+  count(DISTINCT motivo) AS motivos_distintos,
+  CAST(sum(CASE WHEN tipo_entidad_desc = 'BANCO' THEN 1 ELSE 0 END) AS BIGINT) AS quejas_bancos,
+  CAST(sum(CASE WHEN tipo_entidad_desc = 'PENSION Y CESANTIAS' THEN 1 ELSE 0 END) AS BIGINT) AS quejas_pensiones,
+  CAST(sum(CASE WHEN tipo_entidad_desc = 'SEGUROS' THEN 1 ELSE 0 END) AS BIGINT) AS quejas_seguros,
+  min(anio) AS anio_inicial, max(anio) AS anio_final, count(DISTINCT periodo_mes) AS meses_con_quejas,
+  {r2('count(*) * 100e0 / sum(count(*)) OVER ()')} AS porcentaje_total,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, producto) AS INTEGER) AS ranking_producto
+FROM silver GROUP BY producto"""))
+def q_product_metrics(spark, sf):
+    return M.product_metrics(silver(spark, sf))
+
+
+@register("monthly_metrics", O.on_silver("SELECT * FROM monthly", O.MONTHLY))
+def q_monthly_metrics(spark, sf):
+    return monthly(spark, sf)
+
+
+@register("rankings", O.on_silver("SELECT * FROM rankings", _RANKINGS))
+def q_rankings(spark, sf):
+    return R.rankings(silver(spark, sf))
+
+
+@register("kpi_table", O.on_silver("""
+SELECT 'Total Quejas' AS kpi_nombre, CAST(n AS DOUBLE) AS kpi_valor, 'GENERAL' AS kpi_categoria,
+  'Total de quejas registradas en el periodo 2015-2020' AS kpi_descripcion FROM a
+UNION ALL SELECT 'Entidades con Quejas', CAST(ents AS DOUBLE), 'GENERAL',
+  'Número de entidades financieras con al menos una queja' FROM a
+UNION ALL SELECT 'Promedio Quejas por Entidad', """ + r2("n / ents") + """, 'PROMEDIO',
+  'Promedio de quejas por entidad financiera' FROM a
+UNION ALL SELECT 'Porcentaje Quejas Bancos', """ + r2("banks * 100e0 / n") + """, 'DISTRIBUCION',
+  'Porcentaje de quejas contra bancos' FROM a
+UNION ALL SELECT 'Productos Distintos', CAST(prods AS DOUBLE), 'GENERAL',
+  'Número de productos financieros con quejas' FROM a
+UNION ALL SELECT 'Quejas Vigentes Porcentaje', """ + r2("vig * 100e0 / n") + """, 'ESTADO',
+  'Porcentaje de quejas con estado VIGENTES' FROM a""", """a AS (
+  SELECT count(*) AS n, count(DISTINCT nombre_entidad) AS ents, count(DISTINCT producto) AS prods,
+    count(*) FILTER (WHERE tipo_entidad_desc = 'BANCO') AS banks,
+    count(*) FILTER (WHERE estado = 'VIGENTES') AS vig
+  FROM silver)"""))
+def q_kpi_table(spark, sf):
+    return M.kpi_table(silver(spark, sf))
+
+
+@register("top_products", O.on_silver("""
+SELECT producto, count(*) AS total_quejas FROM silver GROUP BY producto
+ORDER BY total_quejas DESC, producto LIMIT 15"""))
+def q_top_products(spark, sf):
+    return M.top_products(silver(spark, sf))
+
+
+@register("top_n", O.on_silver("SELECT * FROM ranked_entity ORDER BY ranking_quejas LIMIT 10",
+                               O.ENTITY, _RANKED_ENTITY))
+def q_top_n(spark, sf):
+    return M.top_n(M.entity_metrics(silver(spark, sf)), "ranking_quejas", 10)
+
+
+@register("last_periods", O.on_silver("SELECT * FROM monthly ORDER BY fecha_queja DESC LIMIT 12", O.MONTHLY))
+def q_last_periods(spark, sf):
+    return T.last_periods(monthly(spark, sf))
+
+
+@register("top_per_ranking", O.on_silver("SELECT * FROM rankings WHERE posicion <= 10", _RANKINGS))
+def q_top_per_ranking(spark, sf):
+    return R.top_per_ranking(R.rankings(silver(spark, sf)))
+
+
+@register("layer_row_counts", O.on_silver("""
+SELECT 'quejas_financieras_raw' AS tabla, count(*) AS registros FROM raw
+UNION ALL SELECT 'quejas_limpias', count(*) FROM silver
+UNION ALL SELECT 'quejas_rechazadas', (SELECT count(*) FROM raw) - (SELECT count(*) FROM silver)
+UNION ALL SELECT 'metricas_por_entidad', count(*) FROM entity
+UNION ALL SELECT 'metricas_por_producto', count(DISTINCT producto) FROM silver
+UNION ALL SELECT 'metricas_temporales', count(DISTINCT fecha_queja) FROM silver
+UNION ALL SELECT 'ranking_entidades', count(*) FROM rankings
+UNION ALL SELECT 'dashboard_kpis', 6""", O.ENTITY, _RANKINGS))
+def q_layer_row_counts(spark, sf):
+    from medalla.plans.medallion import build_layers, scratch_root
+    from medalla.sources.layers import layer_row_counts, read_layer
+
+    paths = build_layers(spark, sf, scratch_root(spark, "layers"), stamp=True)
+    return layer_row_counts({name: read_layer(spark, path=p) for name, p in paths.items()}) \
+        .select("tabla", "registros")
+
+
+@register("read_raw_csv", O.on_raw("SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM raw"))
+def q_read_raw_csv(spark, sf):
+    from medalla.plans.medallion import scratch_root
+    from medalla.sources.layers import read_raw_csv
+
+    path = scratch_root(spark, "raw-csv")
+    (raw(spark, sf).write.mode("overwrite").option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_raw_csv(spark, path)
+
+
+@register("write_layer", O.on_silver("SELECT * FROM silver"))
+def q_write_layer(spark, sf):
+    from medalla.plans.medallion import scratch_root
+    from medalla.sources.layers import read_layer, write_layer
+
+    path = scratch_root(spark, "silver-by-year")
+    write_layer(silver(spark, sf), path=path, partition_by=["anio"])
+    return read_layer(spark, path=path)
+
+
+# ================================================================== series
+@register("moving_average", O.on_silver("""
+SELECT fecha_queja, total_quejas, promedio_movil_3meses FROM monthly""", O.MONTHLY))
+def q_moving_average(spark, sf):
+    base = M.monthly_base(silver(spark, sf))
+    return T.moving_average(base, "total_quejas", "fecha_queja", 3, "promedio_movil_3meses") \
+        .select("fecha_queja", "total_quejas", "promedio_movil_3meses")
+
+
+@register("moving_average_events", f"""
+WITH d AS (SELECT event_type, CAST(ts AS DATE) AS dia, count(*) AS eventos FROM events GROUP BY 1, 2)
+SELECT event_type, dia, eventos,
+  {r2('avg(eventos) OVER (PARTITION BY event_type ORDER BY dia ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS media_7d
+FROM d""")
+def q_moving_average_events(spark, sf):
+    ev = read_table(spark, sf, "events")
+    d = ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("eventos"))
+    return T.moving_average(d, "eventos", "dia", 7, "media_7d", partition_by=["event_type"])
+
+
+@register("trend_label", O.on_silver("SELECT fecha_queja, total_quejas, tendencia FROM monthly", O.MONTHLY))
+def q_trend_label(spark, sf):
+    base = M.monthly_base(silver(spark, sf))
+    return T.with_trend(base, "total_quejas", "fecha_queja").select("fecha_queja", "total_quejas", "tendencia")
+
+
+@register("centered_moving_average", O.on_silver(f"""
+SELECT fecha_queja, total_quejas,
+  CASE WHEN count(total_quejas) OVER w = 12 THEN {r6('avg(total_quejas) OVER w')} END AS media_movil_12
+FROM monthly WINDOW w AS (ORDER BY fecha_queja ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)""", O.MONTHLY))
+def q_centered_moving_average(spark, sf):
+    base = M.monthly_base(silver(spark, sf)).select("fecha_queja", "total_quejas")
+    out = T.centered_moving_average(base, "total_quejas", "fecha_queja", 12, "media_movil_12")
+    return out.withColumn("media_movil_12", F.round("media_movil_12", 6))
+
+
+@register("yearly_series_stats", O.on_silver(f"""
+SELECT CAST(year(fecha_queja) AS INTEGER) AS anio, {r6('avg(total_quejas)')} AS media,
+  {r6('stddev_samp(total_quejas)')} AS desviacion, min(total_quejas) AS minimo, max(total_quejas) AS maximo
+FROM monthly GROUP BY 1""", O.MONTHLY))
+def q_yearly_series_stats(spark, sf):
+    return T.yearly_series_stats(monthly(spark, sf))
+
+
+@register("series_span", O.on_silver("""
+SELECT min(fecha_queja) AS fecha_inicial, max(fecha_queja) AS fecha_final, count(*) AS observaciones
+FROM monthly""", O.MONTHLY))
+def q_series_span(spark, sf):
+    return T.series_span(monthly(spark, sf))
+
+
+@register("series_points", O.on_silver("""
+SELECT fecha_queja, total_quejas, promedio_movil_3meses FROM monthly""", O.MONTHLY))
+def q_series_points(spark, sf):
+    return monthly(spark, sf).select("fecha_queja", "total_quejas", "promedio_movil_3meses")
+
+
+@register("forecast_mean", O.on_silver(f"""
+SELECT CAST(paso AS INTEGER) AS paso, CAST(d + to_months(CAST(paso AS INTEGER)) AS DATE) AS fecha_pronostico,
+  strftime(d + to_months(CAST(paso AS INTEGER)), '%Y-%m') AS periodo_mes,
+  {r6('m')} AS prediccion, {r6('m - 1.96e0 * s')} AS intervalo_inferior, {r6('m + 1.96e0 * s')} AS intervalo_superior
+FROM st, range(1, 4) AS t(paso)""", O.MONTHLY, """last6 AS (
+  SELECT fecha_queja, total_quejas FROM monthly ORDER BY fecha_queja DESC LIMIT 6),
+st AS (SELECT avg(total_quejas) AS m, stddev_samp(total_quejas) AS s, max(fecha_queja) AS d FROM last6)"""))
+def q_forecast_mean(spark, sf):
+    return T.forecast_mean(monthly(spark, sf))
+
+
+@register("fill_calendar", O.on_silver("""
+SELECT c.nombre_entidad, c.fecha_queja, coalesce(m.total_quejas, 0) AS total_quejas
+FROM cal c LEFT JOIN m ON c.nombre_entidad = m.nombre_entidad AND c.fecha_queja = m.fecha_queja""", """m AS (
+  SELECT nombre_entidad, fecha_queja, count(*) AS total_quejas FROM silver GROUP BY 1, 2),
+span AS (SELECT nombre_entidad, min(fecha_queja) AS a, max(fecha_queja) AS b FROM m GROUP BY 1),
+cal AS (
+  SELECT nombre_entidad, CAST(g AS DATE) AS fecha_queja
+  FROM span, LATERAL (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 MONTH)) AS g))"""))
+def q_fill_calendar(spark, sf):
+    per = silver(spark, sf).groupBy("nombre_entidad", "fecha_queja").agg(F.count(F.lit(1)).alias("total_quejas"))
+    return T.fill_calendar(per, ["total_quejas"], "fecha_queja", partition_by=["nombre_entidad"])
+
+
+@register("seasonal_profile", O.on_silver(f"""
+SELECT CAST(month(fecha_queja) AS INTEGER) AS mes, {r6('avg(total_quejas)')} AS media_mes, count(*) AS observaciones,
+  {O.r2('avg(total_quejas) / (SELECT avg(total_quejas) FROM monthly)', 4)} AS indice_estacional
+FROM monthly GROUP BY 1""", O.MONTHLY))
+def q_seasonal_profile(spark, sf):
+    return T.seasonal_profile(monthly(spark, sf))
+
+
+_ANOM_Z = ("CASE WHEN count(total_quejas) OVER w >= 2 AND stddev_samp(total_quejas) OVER w > 0 "
+           "THEN (total_quejas - avg(total_quejas) OVER w) / stddev_samp(total_quejas) OVER w END")
+
+
+@register("series_anomalies", O.on_silver(f"""
+SELECT fecha_queja, total_quejas, {r6('avg(total_quejas) OVER w')} AS media_previa, {r6(_ANOM_Z)} AS z,
+  coalesce(abs({_ANOM_Z}) > 2, false) AS anomalia
+FROM (SELECT fecha_queja, total_quejas FROM monthly) s
+WINDOW w AS (ORDER BY fecha_queja ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)""", O.MONTHLY))
+def q_series_anomalies(spark, sf):
+    base = M.monthly_base(silver(spark, sf)).select("fecha_queja", "total_quejas")
+    return T.series_anomalies(base)
+
+
+# ===================================================================== EDA
+_LONG = "long AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metrica, CAST({c} AS DOUBLE) AS valor FROM entity" for c in ENTITY_FEATURES) + ")"
+
+
+@register("describe_metrics", O.on_silver(f"""
+SELECT metrica, count(valor) AS conteo, {r6('avg(valor)')} AS media, {r6('stddev_samp(valor)')} AS desviacion,
+  min(valor) AS minimo, {r6('quantile_cont(valor, 0.25)')} AS p25, {r6('quantile_cont(valor, 0.5)')} AS p50,
+  {r6('quantile_cont(valor, 0.75)')} AS p75, max(valor) AS maximo
+FROM long GROUP BY metrica""", O.ENTITY, _LONG))
+def q_describe_metrics(spark, sf):
+    return E.describe_metrics(entity(spark, sf))
+
+
+@register("key_percentiles", O.on_silver("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS metrica, CAST({p} AS DOUBLE) AS percentil, "
+    f"{r6(f'quantile_cont(CAST({c} AS DOUBLE), {p})')} AS valor FROM entity"
+    for c in ("total_quejas", "promedio_quejas_por_mes") for p in ("0.75", "0.9", "0.95")), O.ENTITY))
+def q_key_percentiles(spark, sf):
+    return E.key_percentiles(entity(spark, sf))
+
+
+def _hist_sql(source_cte: str) -> str:
+    return f"""
+WITH {source_cte},
+r AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+             CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM vals),
+c AS (SELECT least(CAST(floor((v - lo) * 50 / (hi - lo)) AS INTEGER), 49) AS bin, count(*) AS f
+      FROM vals, r WHERE v IS NOT NULL GROUP BY 1),
+g AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
+SELECT g.bin, {r6('lo + g.bin * ((hi - lo) / 50)')} AS limite_inferior,
+  {r6('CASE WHEN g.bin = 49 THEN hi ELSE lo + (g.bin + 1) * ((hi - lo) / 50) END')} AS limite_superior,
+  coalesce(c.f, 0) AS frecuencia,
+  CASE WHEN coalesce(c.f, 0) > 0 THEN {r6('log10(c.f)')} END AS log10_frecuencia
+FROM g CROSS JOIN r LEFT JOIN c ON g.bin = c.bin"""
+
+
+@register("histogram", _hist_sql(
+    f"{O.RAW}, {O.PARSED}, {O.SILVER}, {O.ENTITY}, vals AS (SELECT CAST(total_quejas AS DOUBLE) AS v FROM entity)"))
+def q_histogram(spark, sf):
+    return E.histogram(entity(spark, sf), "total_quejas", 50)
+
+
+@register("histogram_lineitem", _hist_sql("vals AS (SELECT CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem)"))
+def q_histogram_lineitem(spark, sf):
+    return E.histogram(read_table(spark, sf, "lineitem"), "l_extendedprice", 50)
+
+
+@register("percentiles_lineitem", "\nUNION ALL\n".join(
+    f"SELECT l_returnflag AS metrica, CAST({p} AS DOUBLE) AS percentil, "
+    f"{r6(f'quantile_cont(l_extendedprice, {p})')} AS valor FROM lineitem GROUP BY l_returnflag"
+    for p in ("0.25", "0.5", "0.75", "0.9", "0.95")))
+def q_percentiles_lineitem(spark, sf):
+    from medalla.operators.ordering import exact_quantiles
+
+    q = exact_quantiles(read_table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice",
+                        (0.25, 0.5, 0.75, 0.9, 0.95))
+    return q.select(F.col("l_returnflag").alias("metrica"), F.col("p").alias("percentil"),
+                    F.round("value", 6).alias("valor"))
+
+
+@register("correlations", O.on_silver("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS variable_a, '{b}' AS variable_b, "
+    f"{r6(f'covar_samp({a}, {b}) / nullif(stddev_samp({a}) * stddev_samp({b}), 0)')} AS correlacion FROM entity"
+    for a, b in combinations(ENTITY_FEATURES, 2)), O.ENTITY))
+def q_correlations(spark, sf):
+    return E.correlations(entity(spark, sf))
+
+
+@register("entity_features", O.on_silver(f"""
+SELECT {_EKEYS}, {', '.join(ENTITY_FEATURES)} FROM entity
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ENTITY_FEATURES)}""", O.ENTITY))
+def q_entity_features(spark, sf):
+    return G.entity_features(entity(spark, sf))
+
+
+@register("standardize", O.on_silver(f"""
+SELECT {_EKEYS}, """ + ", ".join(
+    f"CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0e0 "
+    f"ELSE {r6(f'({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()')} END AS {c}_z"
+    for c in ENTITY_FEATURES) + " FROM entity", O.ENTITY))
+def q_standardize(spark, sf):
+    return G.standardize(G.entity_features(entity(spark, sf)), keep=ENTITY_KEYS)
+
+
+# ============================================================ segmentation
+def _segmented(spark, sf):
+    return G.segment_entities(entity(spark, sf))
+
+
+@register("segment_entities")
+def q_segment_entities(spark, sf):
+    return G.clustering_table(_segmented(spark, sf))
+
+
+@register("clustering_table")
+def q_clustering_table(spark, sf):
+    return G.clustering_table(_segmented(spark, sf))
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf):
+    return G.cluster_profile(_segmented(spark, sf))
+
+
+@register("cluster_examples")
+def q_cluster_examples(spark, sf):
+    return G.cluster_examples(_segmented(spark, sf))
+
+
+@register("cluster_centers")
+def q_cluster_centers(spark, sf):
+    return G.cluster_centers(_segmented(spark, sf))
+
+
+@register("cluster_quality")
+def q_cluster_quality(spark, sf):
+    return G.cluster_quality(_segmented(spark, sf))
+
+
+@register("cluster_points")
+def q_cluster_points(spark, sf):
+    return G.cluster_points(_segmented(spark, sf))
+
+
+@register("select_k")
+def q_select_k(spark, sf):
+    return G.select_k(entity(spark, sf))
+
+
+# ======================================================= announced analyses
+@register("volume_band", O.on_silver(f"""
+SELECT {_EKEYS}, total_quejas,
+  CASE WHEN total_quejas < 50 THEN 'Bajo Volumen' WHEN total_quejas < 500 THEN 'Volumen Medio'
+       WHEN total_quejas < 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda_volumen
+FROM entity""", O.ENTITY))
+def q_volume_band(spark, sf):
+    return G.with_volume_band(entity(spark, sf)).select(*ENTITY_KEYS, "total_quejas", "banda_volumen")
+
+
+_PARETO = f"""pareto AS (
+  SELECT {_EKEYS}, total_quejas,
+    CAST(sum(total_quejas) OVER o AS BIGINT) AS acumulado,
+    CAST(row_number() OVER o AS INTEGER) AS posicion,
+    {O.r2('sum(total_quejas) OVER o * 100e0 / (SELECT sum(total_quejas) FROM entity)', 4)} AS porcentaje_acumulado,
+    {O.r2('row_number() OVER o * 100e0 / (SELECT count(*) FROM entity)', 4)} AS porcentaje_entidades
+  FROM entity
+  WINDOW o AS (ORDER BY total_quejas DESC, {_EKEYS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+@register("pareto", O.on_silver("SELECT * FROM pareto", O.ENTITY, _PARETO))
+def q_pareto(spark, sf):
+    return A.pareto(entity(spark, sf))
+
+
+@register("pareto_summary", O.on_silver("""
+SELECT n AS entidades, top AS entidades_top, CAST(20 AS INTEGER) AS porcentaje_entidades_top,
+  p.porcentaje_acumulado AS porcentaje_quejas_top
+FROM (SELECT count(*) AS n, CAST((count(*) * 20 + 99) // 100 AS BIGINT) AS top FROM entity) k
+JOIN pareto p ON p.posicion = k.top""", O.ENTITY, _PARETO))
+def q_pareto_summary(spark, sf):
+    return A.pareto_summary(entity(spark, sf))
+
+
+@register("pivot_counts", O.on_silver("""
+SELECT tipo_entidad_desc, count(*) FILTER (WHERE estado = 'VIGENTES') AS VIGENTES,
+  count(*) FILTER (WHERE estado = 'RECIBIDOS') AS RECIBIDOS, count(*) FILTER (WHERE estado = 'CERRADOS') AS CERRADOS
+FROM silver GROUP BY tipo_entidad_desc"""))
+def q_pivot_counts(spark, sf):
+    return A.pivot_counts(silver(spark, sf), "tipo_entidad_desc", "estado", ["VIGENTES", "RECIBIDOS", "CERRADOS"])
+
+
+@register("pivot_orders", """
+SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'P') AS P
+FROM orders GROUP BY o_orderpriority""")
+def q_pivot_orders(spark, sf):
+    return A.pivot_counts(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["O", "F", "P"])
+
+
+@register("share_by_orders", f"""
+SELECT o_orderpriority, count(*) AS filas, count(DISTINCT o_custkey) AS clientes,
+  {r2('count(*) * 100e0 / sum(count(*)) OVER ()')} AS porcentaje
+FROM orders GROUP BY o_orderpriority""")
+def q_share_by_orders(spark, sf):
+    return M.share_by(read_table(spark, sf, "orders"), "o_orderpriority", "o_custkey",
+                      count_name="filas", entities_name="clientes")
+
+
+@register("lift", O.on_silver(f"""
+SELECT producto, tipo_entidad_desc, quejas,
+  {O.r2('(CAST(quejas AS DOUBLE) / g) * 100e0', 4)} AS participacion_en_grupo,
+  {O.r2('(CAST(i AS DOUBLE) / t) * 100e0', 4)} AS participacion_total,
+  {O.r2('(CAST(quejas AS DOUBLE) / g) / (CAST(i AS DOUBLE) / t)', 4)} AS lift
+FROM (
+  SELECT producto, tipo_entidad_desc, quejas,
+    sum(quejas) OVER (PARTITION BY tipo_entidad_desc) AS g,
+    sum(quejas) OVER (PARTITION BY producto) AS i,
+    sum(quejas) OVER () AS t
+  FROM (SELECT producto, tipo_entidad_desc, count(*) AS quejas FROM silver GROUP BY 1, 2) c
+) x"""))
+def q_lift(spark, sf):
+    return A.lift(silver(spark, sf))
+
+
+@register("peer_benchmark", O.on_silver(f"""
+SELECT tipo_entidad_desc, codigo_entidad, nombre_entidad, total_quejas,
+  {O.r2('avg(total_quejas) OVER (PARTITION BY tipo_entidad_desc)', 4)} AS media_grupo,
+  count(*) OVER (PARTITION BY tipo_entidad_desc) AS pares,
+  {O.r2('total_quejas / avg(total_quejas) OVER (PARTITION BY tipo_entidad_desc)', 4)} AS indice_vs_pares
+FROM entity""", O.ENTITY))
+def q_peer_benchmark(spark, sf):
+    return G.peer_benchmark(entity(spark, sf))
+
+
+@register("entity_drilldown", O.on_silver(f"""
+SELECT (SELECT nombre_entidad FROM tgt) AS nombre_entidad, mk.fecha_queja, mk.periodo_mes,
+  coalesce(own.q, 0) AS quejas_entidad, mk.quejas_mercado,
+  {r2('coalesce(own.q, 0) * 100e0 / mk.quejas_mercado')} AS participacion
+FROM mk LEFT JOIN own ON mk.fecha_queja = own.fecha_queja AND mk.periodo_mes = own.periodo_mes""", """tgt AS (
+  SELECT nombre_entidad FROM silver GROUP BY nombre_entidad ORDER BY count(*) DESC, nombre_entidad LIMIT 1),
+mk AS (SELECT fecha_queja, periodo_mes, count(*) AS quejas_mercado FROM silver GROUP BY 1, 2),
+own AS (SELECT fecha_queja, periodo_mes, count(*) AS q FROM silver
+        WHERE nombre_entidad = (SELECT nombre_entidad FROM tgt) GROUP BY 1, 2)"""))
+def q_entity_drilldown(spark, sf):
+    return A.entity_drilldown(silver(spark, sf))
+
+
+@register("band_transitions", O.on_silver("""
+SELECT banda_origen, banda AS banda_destino, count(*) AS transiciones
+FROM (
+  SELECT banda, lag(banda) OVER (PARTITION BY nombre_entidad ORDER BY anio) AS banda_origen
+  FROM (
+    SELECT nombre_entidad, anio,
+      CASE WHEN count(*) < 50 THEN 'Bajo Volumen' WHEN count(*) < 500 THEN 'Volumen Medio'
+           WHEN count(*) < 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda
+    FROM silver GROUP BY nombre_entidad, anio) y) t
+WHERE banda_origen IS NOT NULL
+GROUP BY 1, 2"""))
+def q_band_transitions(spark, sf):
+    return G.band_transitions(silver(spark, sf))
+
+
+# ==================================================================== text
+def _terms_sql(source: str, text: str, group: str, k: int) -> str:
+    stops = ", ".join(f"'{w}'" for w in X.STOP_WORDS)
+    return f"""t AS (
+  SELECT {group}, unnest(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) AS termino FROM {source}),
+c AS (SELECT {group}, termino, count(*) AS frecuencia FROM t
+      WHERE length(termino) >= 2 AND termino NOT IN ({stops}) GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY {group} ORDER BY frecuencia DESC, termino) AS INTEGER)
+             AS posicion FROM c)"""
+
+
+@register("reason_terms", O.on_silver("SELECT * FROM ranked WHERE posicion <= 5",
+                                      _terms_sql("silver", "motivo", "producto", 5)))
+def q_reason_terms(spark, sf):
+    return X.term_counts(silver(spark, sf), "motivo", "producto", 5)
+
+
+@register("document_terms", O.with_ctes("SELECT * FROM ranked WHERE posicion <= 20",
+                                        _terms_sql("documents", "text", "lang", 20)))
+def q_document_terms(spark, sf):
+    return X.term_counts(read_table(spark, sf, "documents"), "text", "lang", 20)
+
+
+# =============================================================== streaming
+@register("monthly_counts_stream", f"""
+SELECT make_date(year(ts), month(ts), 1) AS mes, event_type, count(*) AS eventos,
+  {r6('sum(value)')} AS valor_total
+FROM events GROUP BY 1, 2""")
+def q_monthly_counts_stream(spark, sf):
+    from medalla.plans.medallion import scratch_root
+    from medalla.streaming.monthly import run_monthly_counts_stream
+
+    root = scratch_root(spark, "stream")
+    out = run_monthly_counts_stream(spark, sf, f"{root}/out", f"{root}/chk", file_glob="events.parquet")
+    return out.withColumn("valor_total", F.round("valor_total", 6))

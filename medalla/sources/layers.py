@@ -16,13 +16,18 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHE
                  sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Raw complaint CSV with a header, every column read as text.
 
-    Malformed lines are kept: their text lands in ``_rescued_data`` and the
+    The header must name the schema's columns in order (checked, so a file
+    with other columns fails instead of shifting values). Padding inside
+    values is kept for the conform step to trim. Malformed lines are kept: their text lands in ``_rescued_data`` and the
     other columns are NULL, so the conform step rejects them with a reason
     instead of the reader dropping them.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(RAW_RESCUE, T.StringType(), True)])
     return (spark.read.schema(full)
             .option("header", True)
+            .option("enforceSchema", False)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
             .option("sep", sep)
             .option("encoding", encoding)
             .option("mode", "PERMISSIVE")

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medalla.schema import RAW_COLUMNS
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -42,7 +44,7 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(od, li.l_orderkey == od.o_orderkey))
 
     year = F.year("l_shipdate").cast("string")
-    return j.select(
+    out = j.select(
         F.when(F.col("s_nationkey") == 0, F.lit("NA"))
          .otherwise(F.col("s_nationkey").cast("string")).alias("TIPO_ENTIDAD"),
         F.when(F.col("l_suppkey") % 20 == 19, F.lit("NA"))
@@ -63,3 +65,4 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.substring(year, 1, 1), F.lit("."), F.substr(year, F.lit(2))).alias("ANIO"),
         F.month("l_shipdate").cast("string").alias("MES"),
     )
+    return out.select(*RAW_COLUMNS)

@@ -27,12 +27,13 @@ def to_long(df: DataFrame, columns: Sequence[str], name_col: str = "metrica",
 def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, scale: int = 6) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column:
     one row per column (floating results rounded to ``scale`` places)."""
-    long = to_long(df, columns)
+    # materialised once: the moments and the quantiles both read it
+    long = to_long(df, columns).checkpoint(eager=True)
     basic = long.groupBy("metrica").agg(
         F.count("valor").alias("conteo"), F.avg("valor").alias("media"),
         F.stddev_samp("valor").alias("desviacion"), F.min("valor").alias("minimo"),
         F.max("valor").alias("maximo"))
-    q = exact_quantiles(long, "metrica", "valor", (0.25, 0.5, 0.75))
+    q = exact_quantiles(long, "metrica", "valor", (0.25, 0.5, 0.75), materialized=True)
     qw = q.groupBy("metrica").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("p50"),

@@ -3,6 +3,10 @@
 ``row_number() OVER (ORDER BY ...)`` without PARTITION BY makes Spark move
 every row into one task. Here the order is computed in parallel instead:
 
+0. materialise the input once into the checkpoint folder (it is an
+   aggregate, small next to the raw data): the range sampler and the
+   numbering pass then read it instead of recomputing the whole upstream
+   plan (scan, joins, parsing, aggregation) twice;
 1. range-partition the rows on the full order (the sampled range bounds split
    even a run of equal metric values, because the order ends with the unique
    group keys), and sort inside each partition;
@@ -14,8 +18,8 @@ every row into one task. Here the order is computed in parallel instead:
    bounded by the partition count - and turn the counts into start offsets;
 5. broadcast the offsets back: index = offset + position.
 
-Cost: one shuffle of the (already aggregated) input plus a write and read of
-it; no task ever holds more than one range partition.
+Cost: one shuffle of the (already aggregated) input plus two writes and
+reads of it; no task ever holds more than one range partition.
 """
 
 from __future__ import annotations
@@ -35,14 +39,16 @@ def _as_order(cols: Sequence) -> list[Column]:
 
 
 def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, materialized: bool = False) -> DataFrame:
     """``df`` with a 0-based global position under ``order`` (a total order
-    is expected; ties get an arbitrary but fixed order)."""
+    is expected; ties get an arbitrary but fixed order). Pass
+    ``materialized=True`` when ``df`` is already a checkpoint."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or shuffle_partitions(spark)
     ordr = _as_order(order)
-    numbered = (df.repartitionByRange(n, *ordr)
+    src = df if materialized else df.checkpoint(eager=True)
+    numbered = (src.repartitionByRange(n, *ordr)
                   .sortWithinPartitions(*ordr)
                   .withColumn("_mid", F.monotonically_increasing_id())
                   .checkpoint(eager=True))
@@ -64,7 +70,7 @@ def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
 
 
 def global_rank(df: DataFrame, order: Sequence, rank_col: str,
-                partition_by: Sequence[str] = ()) -> DataFrame:
+                partition_by: Sequence[str] = (), materialized: bool = False) -> DataFrame:
     """``row_number() OVER ([PARTITION BY p] ORDER BY order)`` as an int,
     computed without a single-task window.
 
@@ -73,7 +79,7 @@ def global_rank(df: DataFrame, order: Sequence, rank_col: str,
     """
     part = list(partition_by)
     full = [F.col(p).asc() for p in part] + _as_order(order)
-    ix = ordered_index(df, full, "_gix")
+    ix = ordered_index(df, full, "_gix", materialized=materialized)
     if not part:
         return ix.withColumn(rank_col, (F.col("_gix") + 1).cast("int")).drop("_gix")
     starts = ix.groupBy(*part).agg(F.min("_gix").alias("_g0"))
@@ -83,19 +89,19 @@ def global_rank(df: DataFrame, order: Sequence, rank_col: str,
 
 
 def exact_quantiles(df: DataFrame, group_col: str, value_col: str,
-                    probs: Sequence[float]) -> DataFrame:
+                    probs: Sequence[float], materialized: bool = False) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value_col`` per group
     (numpy/pandas default, DuckDB ``quantile_cont``), distributed.
 
     Output: (group_col, p, value). The rows are globally ordered by
     (group, value); per group only n and the first index are kept; the 2
     needed positions per (group, p) form a table of at most
-    2 * groups * len(probs) rows which is broadcast and equi-joined on the
-    index. No group is ever gathered into one task.
+    2 * groups * len(probs) rows, equi-joined on the index. No group is
+    ever gathered into one task.
     """
     base = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v")) \
              .filter(F.col("_v").isNotNull())
-    ix = ordered_index(base, ["_g", "_v"], "_ix")
+    ix = ordered_index(base, ["_g", "_v"], "_ix", materialized=materialized)
     stats = ix.groupBy("_g").agg(F.min("_ix").alias("_first"), F.count(F.lit(1)).alias("_n"))
     ps = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
     h = (F.col("_n") - 1) * F.col("p")

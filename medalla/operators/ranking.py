@@ -27,16 +27,19 @@ def rankings(silver: DataFrame, recent_year: int | None = None, keys: Sequence[s
     ``total_quejas`` holds the ranked value (for the product ranking, the
     distinct product count)."""
     keys = list(keys)
+    # one pass over silver: (entity, year, product) counts; every measure
+    # and the latest year are computed from this much smaller table
+    cube = silver.groupBy(*keys, year, product).agg(F.count(F.lit(1)).alias("_n"))
     if recent_year is None:
-        ry = silver.agg(F.max(year).alias("_ry"))
+        ry = cube.agg(F.max(year).alias("_ry"))
     else:
         ry = silver.sparkSession.range(1).select(F.lit(recent_year).cast("int").alias("_ry"))
-    per = (silver.crossJoin(F.broadcast(ry))
-                 .groupBy(*keys).agg(
-                     F.count(F.lit(1)).alias("_total"),
-                     F.countDistinct(product).alias("_products"),
-                     F.count_if(F.col(year) == F.col("_ry")).alias("_recent"),
-                     F.max("_ry").alias("_ry")))
+    per = (cube.crossJoin(F.broadcast(ry))
+               .groupBy(*keys).agg(
+                   F.sum("_n").alias("_total"),
+                   F.countDistinct(product).alias("_products"),
+                   F.sum(F.when(F.col(year) == F.col("_ry"), F.col("_n")).otherwise(F.lit(0))).alias("_recent"),
+                   F.max("_ry").alias("_ry")))
     recent_tag = F.concat(F.lit(RANK_RECENT_PREFIX), F.col("_ry").cast("string"))
     stacked = per.select(*keys, F.inline(F.array(
         F.struct(F.lit(RANK_TOTAL).alias("ranking_tipo"), F.col("_total").alias("total_quejas")),

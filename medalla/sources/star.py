@@ -24,6 +24,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan has fewer partitions
+    than the cluster has cores (a small file with few row groups), so the
+    per-row work after it uses every core. A large table already has many
+    more splits than cores and is returned untouched (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped complaint rows (all text columns) from the star tables.
 
@@ -31,10 +42,12 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     only while their size estimate is under ``autoBroadcastJoinThreshold``
     and otherwise shuffles, with AQE splitting a skewed supplier. orders is
     a fact-sized table joined on its unique key (at most seven line items per
-    order), so its sort-merge join cannot skew.
+    order), so its sort-merge join cannot skew; when lineitem needs
+    spreading it is hash-partitioned on l_orderkey, the key that join
+    shuffles on anyway.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"), "l_orderkey")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")

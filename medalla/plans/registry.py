@@ -25,6 +25,7 @@ from medalla.operators import ranking as R
 from medalla.operators import segment as G
 from medalla.operators import series as T
 from medalla.operators import text as X
+from medalla.plans.layers import entity_layer, silver_layer
 from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
 from medalla.sources.star import raw_from_star, read_table
 
@@ -47,11 +48,14 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return C.conform(raw_from_star(spark, sf))
+    """The written silver layer (conformed once per session from the raw
+    star tables), as gold queries read it."""
+    return silver_layer(spark, sf)
 
 
-def entity(spark: SparkSession, sf: str, rank: bool = False) -> DataFrame:
-    return M.entity_metrics(silver(spark, sf), rank=rank)
+def entity(spark: SparkSession, sf: str) -> DataFrame:
+    """The written gold entity mart, as the analytics queries read it."""
+    return entity_layer(spark, sf)
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,7 +193,7 @@ def q_quarter_label(spark, sf):
 # ================================================================== silver
 @register("conform", O.on_silver("SELECT * FROM silver"))
 def q_conform(spark, sf):
-    return silver(spark, sf)
+    return C.conform(raw(spark, sf))
 
 
 @register("rejects", O.on_raw("""
@@ -322,7 +326,7 @@ def q_top_products(spark, sf):
 @register("top_n", O.on_silver("SELECT * FROM ranked_entity ORDER BY ranking_quejas LIMIT 10",
                                O.ENTITY, _RANKED_ENTITY))
 def q_top_n(spark, sf):
-    return M.top_n(M.entity_metrics(silver(spark, sf)), "ranking_quejas", 10)
+    return M.top_n(entity(spark, sf), "ranking_quejas", 10)
 
 
 @register("last_periods", O.on_silver("SELECT * FROM monthly ORDER BY fecha_queja DESC LIMIT 12", O.MONTHLY))
@@ -370,7 +374,7 @@ def q_write_layer(spark, sf):
     from medalla.sources.layers import read_layer, write_layer
 
     path = scratch_root(spark, "silver-by-year")
-    write_layer(silver(spark, sf), path=path, partition_by=["anio"])
+    write_layer(C.conform(raw(spark, sf)), path=path, partition_by=["anio"])
     return read_layer(spark, path=path)
 
 

@@ -90,10 +90,16 @@ def default_value_profile(silver: DataFrame, columns: Sequence[str] = ("producto
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """(posicion, columna, tipo, nullable) - one row per column. Built from
-    the schema (metadata, one row per column), not from the data."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "posicion int, columna string, tipo string, nullable boolean")
+    """(posicion, columna, tipo, nullable, valores_no_nulos) - one row per
+    column: the declared schema next to the observed non-NULL count, from
+    one aggregate over the table."""
+    fields = df.schema.fields
+    one = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("posicion"), F.lit(f.name).alias("columna"),
+                 F.lit(f.dataType.simpleString()).alias("tipo"), F.lit(f.nullable).alias("nullable"),
+                 F.col(f"n{i}").alias("valores_no_nulos"))
+        for i, f in enumerate(fields)])))
 
 
 def sample_rows(df: DataFrame, n: int = 10, columns: Sequence[str] | None = None) -> DataFrame:

@@ -38,12 +38,10 @@ def pareto(entity: DataFrame, value: str = "total_quejas", keys: Sequence[str] =
     cumulative value, cumulative share of the total and share of entities."""
     keys = list(keys)
     order = [F.col(value).desc()] + [F.col(k).asc() for k in keys]
-    tot = entity.agg(F.sum(value).alias("_tot"), F.count(F.lit(1)).alias("_n"))
+    tot = entity.agg(F.struct(F.sum(value).alias("t"), F.count(F.lit(1)).alias("n"))).scalar()
     cur = running_total(entity.select(*keys, value), value, order)
-    return (cur.crossJoin(F.broadcast(tot))
-               .withColumn("porcentaje_acumulado", F.round(F.col("acumulado") * 100.0 / F.col("_tot"), 4))
-               .withColumn("porcentaje_entidades", F.round(F.col("posicion") * 100.0 / F.col("_n"), 4))
-               .drop("_tot", "_n"))
+    return (cur.withColumn("porcentaje_acumulado", F.round(F.col("acumulado") * 100.0 / tot.getField("t"), 4))
+               .withColumn("porcentaje_entidades", F.round(F.col("posicion") * 100.0 / tot.getField("n"), 4)))
 
 
 def pareto_summary(entity: DataFrame, value: str = "total_quejas", top_pct: int = 20,
@@ -51,10 +49,11 @@ def pareto_summary(entity: DataFrame, value: str = "total_quejas", top_pct: int
     """Share of the total held by the top ``top_pct`` % of entities
     (ceil(n * top_pct / 100) entities)."""
     curve = pareto(entity, value, keys)
-    n = entity.agg(F.count(F.lit(1)).alias("entidades"))
-    n = n.withColumn("entidades_top", ((F.col("entidades") * top_pct + 99) / 100).cast("long"))
-    hit = curve.join(F.broadcast(n), F.col("posicion") == F.col("entidades_top"))
-    return hit.select("entidades", "entidades_top", F.lit(top_pct).alias("porcentaje_entidades_top"),
+    n = entity.agg(F.count(F.lit(1))).scalar()
+    top = ((n * top_pct + 99) / 100).cast("long")
+    hit = curve.filter(F.col("posicion") == top)
+    return hit.select(n.alias("entidades"), top.alias("entidades_top"),
+                      F.lit(top_pct).alias("porcentaje_entidades_top"),
                       F.col("porcentaje_acumulado").alias("porcentaje_quejas_top"))
 
 
@@ -73,10 +72,10 @@ def lift(df: DataFrame, item: str = "producto", group: str = "tipo_entidad_desc"
     c = df.groupBy(item, group).agg(F.count(F.lit(1)).alias("quejas"))
     g = c.groupBy(group).agg(F.sum("quejas").alias("_g"))
     i = c.groupBy(item).agg(F.sum("quejas").alias("_i"))
-    t = c.agg(F.sum("quejas").alias("_t"))
-    out = c.join(g, group).join(i, item).crossJoin(F.broadcast(t))
+    t = c.agg(F.sum("quejas")).scalar()
+    out = c.join(g, group).join(i, item)
     share_g = F.col("quejas") / F.col("_g")
-    share_t = F.col("_i") / F.col("_t")
+    share_t = F.col("_i") / t
     return out.select(
         item, group, "quejas",
         F.round(share_g * 100.0, 4).alias("participacion_en_grupo"),
@@ -88,16 +87,17 @@ def entity_drilldown(silver: DataFrame, entity: str | None = None, name: str = "
                      date_col: str = "fecha_queja", period: str = "periodo_mes") -> DataFrame:
     """Monthly complaints of one entity next to the whole market, with its
     market share. Default entity: the one with most complaints (ties by
-    name) - picked with a one-row top-1 inside the plan."""
+    name) - a top-1 scalar subquery inside the plan."""
     if entity is None:
         target = (silver.groupBy(name).agg(F.count(F.lit(1)).alias("_c"))
-                        .orderBy(F.col("_c").desc(), F.col(name).asc()).limit(1).select(name))
+                        .orderBy(F.col("_c").desc(), F.col(name).asc()).limit(1).select(name).scalar())
     else:
-        target = silver.sparkSession.range(1).select(F.lit(entity).alias(name))
-    market = silver.groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_mercado"))
-    own = (silver.join(F.broadcast(target), name)
+        target = F.lit(entity)
+    market = (silver.groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_mercado"))
+                    .withColumn(name, target))
+    own = (silver.filter(F.col(name) == target)
                  .groupBy(name, date_col, period).agg(F.count(F.lit(1)).alias("quejas_entidad")))
-    out = market.crossJoin(F.broadcast(target)).join(own, [name, date_col, period], "left")
+    out = market.join(own, [name, date_col, period], "left")
     return out.select(name, date_col, period,
                       F.coalesce("quejas_entidad", F.lit(0).cast("bigint")).alias("quejas_entidad"),
                       "quejas_mercado",

@@ -55,17 +55,18 @@ def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 6) -> Dat
     bin closed, min = max widened to +/- 0.5. All bins are returned, empty
     ones with 0, plus log10 of the count (NULL for 0).
 
-    Two aggregates: a one-row (min, max), then per-bin counts; both partial,
-    and the output has ``bins`` rows."""
+    Two aggregates: (min, max) as a scalar subquery, then per-bin counts;
+    both partial, and the output has ``bins`` rows."""
     v = F.col(column).cast("double")
-    rng = df.agg(F.min(v).alias("_mn"), F.max(v).alias("_mx")).select(
-        F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
-        F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    b = F.least(F.floor((v - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))).cast("int"),
-                F.lit(bins - 1))
-    counts = (df.select(column).filter(F.col(column).isNotNull()).crossJoin(F.broadcast(rng))
+    mn, mx = F.min(v), F.max(v)
+    rng = df.agg(F.struct(F.when(mn == mx, mn - 0.5).otherwise(mn).alias("lo"),
+                          F.when(mn == mx, mx + 0.5).otherwise(mx).alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
+    b = F.least(F.floor((v - lo) * F.lit(bins) / (hi - lo)).cast("int"), F.lit(bins - 1))
+    counts = (df.select(column).filter(F.col(column).isNotNull())
                 .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("frecuencia")))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(rng))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"),
+                                              lo.alias("_lo"), hi.alias("_hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     out = grid.join(counts, "bin", "left").select(
         "bin",

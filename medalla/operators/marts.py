@@ -5,8 +5,8 @@ map side before the shuffle, so a hot key (one entity holding a third of the
 complaints) reaches the shuffle as a handful of partial rows. Several
 ``countDistinct`` in one aggregate become one Expand + two-level hash
 aggregate, also partial on both levels. Percentages of the table total use
-a one-row total computed from the aggregate itself (no second scan of the
-input, no driver round trip).
+a total computed from the aggregate itself as a scalar subquery (no
+second scan of the input, no driver round trip).
 """
 
 from __future__ import annotations
@@ -41,12 +41,11 @@ def count_if(cond: Column) -> Column:
 
 
 def with_total_share(agg: DataFrame, count_col: str, out_col: str, scale: int = 2) -> DataFrame:
-    """Add round(count * 100 / sum(count), scale). The one-row total comes
-    from the aggregate itself and is broadcast (size: one row)."""
-    total = agg.agg(F.sum(count_col).alias("_total"))
-    return (agg.crossJoin(F.broadcast(total))
-               .withColumn(out_col, pct(F.col(count_col), F.col("_total"), scale))
-               .drop("_total"))
+    """Add round(count * 100 / sum(count), scale). The total is a scalar
+    subquery over the aggregate itself (one value, no second scan of the
+    input)."""
+    total = agg.agg(F.sum(count_col)).scalar()
+    return agg.withColumn(out_col, pct(F.col(count_col), total, scale))
 
 
 def _order_desc(metric: str, keys: Sequence[str]) -> list:

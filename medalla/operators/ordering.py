@@ -103,9 +103,8 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str,
              .filter(F.col("_v").isNotNull())
     ix = ordered_index(base, ["_g", "_v"], "_ix", materialized=materialized)
     stats = ix.groupBy("_g").agg(F.min("_ix").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    ps = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
     h = (F.col("_n") - 1) * F.col("p")
-    targets = (stats.crossJoin(F.broadcast(ps))
+    targets = (stats.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
                .select("_g", "p", "_first",
                        F.floor(h).cast("long").alias("_lo"),
                        F.ceil(h).cast("long").alias("_hi"),

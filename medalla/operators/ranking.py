@@ -21,8 +21,8 @@ def rankings(silver: DataFrame, recent_year: int | None = None, keys: Sequence[s
              product: str = "producto", year: str = "anio") -> DataFrame:
     """(nombre_entidad, tipo_entidad_desc, total_quejas, ranking_tipo, posicion).
 
-    ``recent_year`` defaults to the latest year in the data (a one-row
-    aggregate joined in, not a driver round trip). Entities with no
+    ``recent_year`` defaults to the latest year in the data (a scalar
+    subquery, not a driver round trip). Entities with no
     complaint that year are absent from that ranking. The column
     ``total_quejas`` holds the ranked value (for the product ranking, the
     distinct product count)."""
@@ -30,11 +30,8 @@ def rankings(silver: DataFrame, recent_year: int | None = None, keys: Sequence[s
     # one pass over silver: (entity, year, product) counts; every measure
     # and the latest year are computed from this much smaller table
     cube = silver.groupBy(*keys, year, product).agg(F.count(F.lit(1)).alias("_n"))
-    if recent_year is None:
-        ry = cube.agg(F.max(year).alias("_ry"))
-    else:
-        ry = silver.sparkSession.range(1).select(F.lit(recent_year).cast("int").alias("_ry"))
-    per = (cube.crossJoin(F.broadcast(ry))
+    ry = cube.agg(F.max(year)).scalar() if recent_year is None else F.lit(recent_year).cast("int")
+    per = (cube.withColumn("_ry", ry)
                .groupBy(*keys).agg(
                    F.sum("_n").alias("_total"),
                    F.countDistinct(product).alias("_products"),

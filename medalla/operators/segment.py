@@ -36,17 +36,16 @@ def standardize(df: DataFrame, features: Sequence[str] = ENTITY_FEATURES, suffix
                 keep: Sequence[str] = (), scale: int | None = 6) -> DataFrame:
     """(x - mean) / sample std per feature (0.0 where the std is 0 or
     undefined), the same transform as StandardScaler(withMean, withStd).
-    The statistics are one aggregate row, broadcast back."""
-    st = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(features)],
-                *[F.stddev_samp(c).alias(f"_s{i}") for i, c in enumerate(features)])
-    out = df.crossJoin(F.broadcast(st))
+    The statistics are one aggregate, used as a scalar subquery."""
+    st = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
+                         *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(features)])).scalar()
+
     def z(i, c):
-        v = (F.when(F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) == 0, F.lit(0.0))
-              .otherwise((F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")))
+        m, s = st.getField(f"m{i}"), st.getField(f"s{i}")
+        v = F.when(F.coalesce(s, F.lit(0.0)) == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s)
         return (F.round(v, scale) if scale is not None else v).alias(f"{c}{suffix}")
 
-    cols = [z(i, c) for i, c in enumerate(features)]
-    return out.select(*keep, *cols)
+    return df.select(*keep, *[z(i, c) for i, c in enumerate(features)])
 
 
 def _stable_input(df: DataFrame, keys: Sequence[str]) -> DataFrame:

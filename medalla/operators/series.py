@@ -105,11 +105,9 @@ def seasonal_profile(series: DataFrame, value: str = "total_quejas", date_col: s
     """Mean per month of the year and its index against the overall mean."""
     per = series.groupBy(F.month(date_col).alias("mes")).agg(
         F.avg(value).alias("media_mes"), F.count(F.lit(1)).alias("observaciones"))
-    overall = series.agg(F.avg(value).alias("_all"))
-    return (per.crossJoin(F.broadcast(overall))
-               .withColumn("indice_estacional", F.round(F.col("media_mes") / F.col("_all"), 4))
-               .withColumn("media_mes", F.round("media_mes", scale))
-               .drop("_all"))
+    overall = series.agg(F.avg(value)).scalar()
+    return (per.withColumn("indice_estacional", F.round(F.col("media_mes") / overall, 4))
+               .withColumn("media_mes", F.round("media_mes", scale)))
 
 
 def series_anomalies(series: DataFrame, value: str = "total_quejas", date_col: str = "fecha_queja",

@@ -42,7 +42,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):

@@ -1,5 +1,7 @@
 """Every registered query with SQL equals DuckDB at sf0.01; the others run."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as E
@@ -7,6 +9,8 @@ from oracle_check import compare, duck_connection
 
 from conftest import SF_ORACLE, SF_SMALL
 
+os.environ.setdefault("ORACLE_EXACT", "1")
+
 _ML = {"segment_entities", "clustering_table", "cluster_profile", "cluster_examples", "cluster_centers",
        "cluster_quality", "cluster_points", "select_k"}
 

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from medalla.functions.scalar import volume_band
 from medalla.schema import CLUSTER_LABELS, ENTITY_FEATURES, ENTITY_KEYS
 
+#: minimum number of partitions of the K-Means input; the actual count is
+#: max(this, spark.sql.shuffle.partitions) - fixed for a given configuration,
+#: so a fixed seed gives the same model for the same data
 FIT_PARTITIONS = 8
 
 
@@ -49,12 +52,14 @@ def standardize(df: DataFrame, features: Sequence[str] = ENTITY_FEATURES, suffix
 
 
 def _stable_input(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.repartition(FIT_PARTITIONS, *keys).sortWithinPartitions(*keys)
+    n = max(FIT_PARTITIONS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
 def fit_segments(features_df: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20,
                  features: Sequence[str] = ENTITY_FEATURES, keys: Sequence[str] = ENTITY_KEYS):
-    """Fit assembler -> scaler -> K-Means; return (model, scored rows)."""
+    """Fit assembler -> scaler -> K-Means; return (model, scored rows, the
+    persisted fit input - unpersist it when the scored rows are done)."""
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features_raw"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
@@ -62,7 +67,7 @@ def fit_segments(features_df: DataFrame, k: int = 4, seed: int = 42, max_iter: i
     ])
     data = _stable_input(features_df, keys).persist()
     model = pipe.fit(data)
-    return model, model.transform(data)
+    return model, model.transform(data), data
 
 
 def label_clusters(scored: DataFrame, volume: str = "total_quejas",
@@ -80,7 +85,7 @@ def segment_entities(entity: DataFrame, k: int = 4, seed: int = 42, max_iter: in
                      keys: Sequence[str] = ENTITY_KEYS, features: Sequence[str] = ENTITY_FEATURES) -> DataFrame:
     """Entity rows with ``cluster`` (0..k-1 by mean volume), ``cluster_label``
     and the standardised feature vector ``features``."""
-    _, scored = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
+    _, scored, _ = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
     return label_clusters(scored)
 
 
@@ -135,11 +140,14 @@ def select_k(entity: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int =
     """Silhouette per candidate k (each fit is distributed; the loop is over
     the handful of candidates)."""
     feats = entity_features(entity, keys, features)
+    # materialised once for all candidate fits
+    feats = feats.checkpoint(eager=True)
     rows = []
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", metricName="silhouette")
     for k in ks:
-        _, scored = fit_segments(feats, k, seed, max_iter, features, keys)
-        ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", metricName="silhouette")
+        _, scored, data = fit_segments(feats, k, seed, max_iter, features, keys)
         rows.append((int(k), float(ev.evaluate(scored))))
+        data.unpersist()
     return entity.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 

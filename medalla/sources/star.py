@@ -29,10 +29,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     than the cluster has cores (a small file with few row groups), so the
     per-row work after it uses every core. A large table already has many
     more splits than cores and is returned untouched (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(cores, key) if splits < cores else df
 
 
 def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:

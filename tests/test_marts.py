@@ -118,3 +118,23 @@ def test_tie_break_is_by_key(spark):
                                     "periodo_mes string")
     e = {r.codigo_entidad: r.ranking_quejas for r in marts.entity_metrics(s).collect()}
     assert e == {1: 1, 2: 2}
+
+
+def test_hot_entity_matches_pandas(spark, silver):
+    """One entity holding over a third of all rows: the mart equals a plain
+    pandas group-by and the ranks stay gapless."""
+    first = silver.select("nombre_entidad").orderBy("nombre_entidad").first()[0]
+    hot = silver.filter(F.col("nombre_entidad") == first)
+    skewed = silver
+    while skewed.filter(F.col("nombre_entidad") == first).count() * 3 < skewed.count():
+        skewed = skewed.unionByName(hot)
+    got = marts.entity_metrics(skewed).toPandas().set_index("codigo_entidad")
+    pdf = skewed.toPandas()
+    exp = pdf.groupby("codigo_entidad").agg(
+        total_quejas=("producto", "size"), productos_distintos=("producto", "nunique"),
+        motivos_distintos=("motivo", "nunique"), meses_con_quejas=("periodo_mes", "nunique"))
+    for c in exp.columns:
+        assert (got.loc[exp.index, c].astype(int) == exp[c]).all(), c
+    assert sorted(got.ranking_quejas) == list(range(1, len(got) + 1))
+    top = got.sort_values("ranking_quejas").iloc[0]
+    assert top.nombre_entidad == first

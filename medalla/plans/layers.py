@@ -1,11 +1,12 @@
 """Written layers shared by the queries of one session.
 
-As in a medallion warehouse, gold and analytics queries read the SILVER
-table and ML queries read the GOLD entity table - written once by Spark from
-the source tables into the session's (shared) checkpoint folder - instead of
-re-deriving them from the raw tables in every query. A layer is rebuilt per
-Spark application and source folder; the write is a full overwrite, so a
-retried build after a failure yields the same table.
+As in a medallion warehouse, bronze profiles read the BRONZE table, silver is
+conformed from bronze, gold and analytics queries read the SILVER table and
+ML queries read the GOLD entity table - each written once by Spark (from the
+source tables, or the layer below) into the session's shared checkpoint
+folder - instead of re-deriving them from the source tables in every query.
+A layer is rebuilt per Spark application and source folder; the write is a
+full overwrite, so a retried build after a failure yields the same table.
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ from medalla.sources.star import raw_from_star
 _BUILT: dict[tuple[str, str, str], str] = {}
 
 
+def _build_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_from_star(spark, sf)
+
+
 def _build_silver(spark: SparkSession, sf: str) -> DataFrame:
-    return conform(raw_from_star(spark, sf))
+    return conform(bronze_layer(spark, sf))
 
 
 def _build_entity(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,6 +37,7 @@ def _build_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BUILDERS = {
+    "quejas_financieras_raw": (_build_bronze, ()),
     "quejas_limpias": (_build_silver, ("anio",)),
     "metricas_por_entidad": (_build_entity, ()),
 }
@@ -49,6 +55,11 @@ def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_layer(spark, path=path)
 
 
+def bronze_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw complaint rows as loaded (all text)."""
+    return layer(spark, sf, "quejas_financieras_raw")
+
+
 def silver_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Silver, partitioned by year on disk (a year filter prunes folders)."""
     return layer(spark, sf, "quejas_limpias")

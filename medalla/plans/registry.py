@@ -25,9 +25,9 @@ from medalla.operators import ranking as R
 from medalla.operators import segment as G
 from medalla.operators import series as T
 from medalla.operators import text as X
-from medalla.plans.layers import entity_layer, silver_layer
+from medalla.plans.layers import bronze_layer, entity_layer, silver_layer
 from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
-from medalla.sources.star import raw_from_star, read_table
+from medalla.sources.star import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,7 +44,9 @@ def register(name: str, sql: str | None = None):
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_from_star(spark, sf)
+    """The written bronze layer (raw rows shaped once per session from the
+    star tables), as the bronze profiles and the conform step read it."""
+    return bronze_layer(spark, sf)
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:

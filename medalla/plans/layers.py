@@ -2,7 +2,8 @@
 
 As in a medallion warehouse, bronze profiles read the BRONZE table, silver is
 conformed from bronze, gold and analytics queries read the SILVER table and
-ML queries read the GOLD entity table - each written once by Spark (from the
+ML queries read the GOLD entity table, cluster reports read the one
+K-Means segmentation - each written once by Spark (from the
 source tables, or the layer below) into the session's shared checkpoint
 folder - instead of re-deriving them from the source tables in every query.
 A layer is rebuilt per Spark application and source folder; the write is a
@@ -36,10 +37,17 @@ def _build_entity(spark: SparkSession, sf: str) -> DataFrame:
     return marts.entity_metrics(silver_layer(spark, sf))
 
 
+def _build_segments(spark: SparkSession, sf: str) -> DataFrame:
+    from medalla.operators.segment import segment_entities
+
+    return segment_entities(entity_layer(spark, sf))
+
+
 _BUILDERS = {
     "quejas_financieras_raw": (_build_bronze, ()),
     "quejas_limpias": (_build_silver, ("anio",)),
     "metricas_por_entidad": (_build_entity, ()),
+    "segmentos_entidades": (_build_segments, ()),
 }
 
 
@@ -68,3 +76,9 @@ def silver_layer(spark: SparkSession, sf: str) -> DataFrame:
 def entity_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Gold entity mart (with its rank)."""
     return layer(spark, sf, "metricas_por_entidad")
+
+
+def segments_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities with their K-Means cluster, label and scaled feature vector
+    (one fit per session; the cluster reports read it)."""
+    return layer(spark, sf, "segmentos_entidades")

@@ -25,7 +25,7 @@ from medalla.operators import ranking as R
 from medalla.operators import segment as G
 from medalla.operators import series as T
 from medalla.operators import text as X
-from medalla.plans.layers import bronze_layer, entity_layer, silver_layer
+from medalla.plans.layers import bronze_layer, entity_layer, segments_layer, silver_layer
 from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
 from medalla.sources.star import read_table
 
@@ -570,12 +570,13 @@ def q_standardize(spark, sf):
 
 # ============================================================ segmentation
 def _segmented(spark, sf):
-    return G.segment_entities(entity(spark, sf))
+    """The written segmentation layer (one K-Means fit per session)."""
+    return segments_layer(spark, sf)
 
 
 @register("segment_entities")
 def q_segment_entities(spark, sf):
-    return G.clustering_table(_segmented(spark, sf))
+    return G.clustering_table(G.segment_entities(entity(spark, sf)))
 
 
 @register("clustering_table")

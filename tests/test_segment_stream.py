@@ -43,3 +43,12 @@ def test_stream_equals_batch(spark):
     batch = monthly_counts(spark.read.parquet(f"{SF_SMALL}/events.parquet"), "ts", "event_type", "value")
     cols = ["mes", "event_type", "eventos"]
     assert sorted(map(tuple, out.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
+
+
+def test_segmentation_layer_equals_direct_fit(spark):
+    import __spark_entry__ as E
+
+    q = E.queries()
+    direct = sorted(map(tuple, q["segment_entities"](spark, SF_SMALL).collect()))
+    layer = sorted(map(tuple, q["clustering_table"](spark, SF_SMALL).collect()))
+    assert direct == layer

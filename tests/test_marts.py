@@ -138,3 +138,29 @@ def test_hot_entity_matches_pandas(spark, silver):
     assert sorted(got.ranking_quejas) == list(range(1, len(got) + 1))
     top = got.sort_values("ranking_quejas").iloc[0]
     assert top.nombre_entidad == first
+
+
+def _silver_rows(spark, rows):
+    from medalla.operators.conform import conform
+    from medalla.schema import RAW_SCHEMA
+
+    return conform(spark.createDataFrame(rows, RAW_SCHEMA))
+
+
+def test_entity_absent_from_recent_year(spark):
+    s = _silver_rows(spark, [
+        ("2.019", "5", "1", "7", "Banco Uno", "Ahorro", "Fraude", "VIGENTES"),
+        ("2.020", "6", "1", "7", "Banco Uno", "Ahorro", "Fraude", "VIGENTES"),
+        ("2.019", "6", "5", "9", "Seguros Tres", "Vida", "Cobro", "RECIBIDOS"),
+    ])
+    r = {(x.ranking_tipo, x.nombre_entidad): x.posicion for x in ranking.rankings(s).collect()}
+    assert ("quejas_2020", "BANCO UNO") in r
+    assert ("quejas_2020", "SEGUROS TRES") not in r
+    assert r[("total_quejas", "BANCO UNO")] == 1 and r[("total_quejas", "SEGUROS TRES")] == 2
+    fixed = {(x.ranking_tipo, x.nombre_entidad) for x in ranking.rankings(s, recent_year=2019).collect()}
+    assert ("quejas_2019", "SEGUROS TRES") in fixed
+
+
+def test_type_code_25_is_pension(spark):
+    s = _silver_rows(spark, [("2016", "1", "25", "3", "Fondo X", "Cesantias", "Demora", "VIGENTES")])
+    assert s.first().tipo_entidad_desc == "PENSION Y CESANTIAS"

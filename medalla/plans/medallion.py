@@ -27,10 +27,12 @@ def scratch_root(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def build_layers(spark: SparkSession, sf_dir: str, root: str, fmt: str = "parquet",
+def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "parquet",
                  stamp: bool = True, with_segments: bool = False,
                  partition_silver_by: tuple[str, ...] = ("anio",)) -> dict[str, str]:
-    """Write every layer under ``root``; return {table: path}."""
+    """Write every layer under ``root`` starting from the bronze rows ``raw``
+    (a raw complaint CSV read with ``read_raw_csv``, or ``raw_from_star``);
+    return {table: path}."""
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame, partition_by=()) -> DataFrame:
@@ -39,7 +41,7 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str, fmt: str = "parque
         paths[name] = p
         return read_layer(spark, path=p, fmt=fmt)
 
-    bronze = put("quejas_financieras_raw", raw_from_star(spark, sf_dir))
+    bronze = put("quejas_financieras_raw", raw)
     silver = put("quejas_limpias", conform(bronze, stamp=stamp), partition_silver_by)
     put("quejas_rechazadas", rejects(bronze))
     entity = put("metricas_por_entidad", marts.entity_metrics(silver))
@@ -52,3 +54,29 @@ def build_layers(spark: SparkSession, sf_dir: str, root: str, fmt: str = "parque
 
         put("clustering_entidades", segment.clustering_table(segment.segment_entities(entity), stamp=stamp))
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m medalla.plans.medallion (--csv PATH | --star DIR) --out ROOT"""
+    import argparse
+
+    from medalla.session import get_spark
+    from medalla.sources.layers import layer_row_counts, read_raw_csv
+
+    ap = argparse.ArgumentParser(description="build bronze, silver and gold layers")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--csv", help="raw complaint CSV file or folder (header row)")
+    src.add_argument("--star", help="folder with the star-schema parquet tables")
+    ap.add_argument("--out", required=True, help="root folder of the layer tables")
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--sep", default=",")
+    ap.add_argument("--segments", action="store_true", help="also fit and write the K-Means table")
+    a = ap.parse_args(argv)
+    spark = get_spark()
+    raw = read_raw_csv(spark, a.csv, sep=a.sep) if a.csv else raw_from_star(spark, a.star)
+    paths = build_layers(spark, raw, a.out, fmt=a.format, with_segments=a.segments)
+    layer_row_counts({n: read_layer(spark, path=p, fmt=a.format) for n, p in paths.items()}).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

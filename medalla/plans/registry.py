@@ -27,7 +27,7 @@ from medalla.operators import series as T
 from medalla.operators import text as X
 from medalla.plans.layers import bronze_layer, entity_layer, segments_layer, silver_layer
 from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
-from medalla.sources.star import read_table
+from medalla.sources.star import raw_from_star, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -354,7 +354,7 @@ def q_layer_row_counts(spark, sf):
     from medalla.plans.medallion import build_layers, scratch_root
     from medalla.sources.layers import layer_row_counts, read_layer
 
-    paths = build_layers(spark, sf, scratch_root(spark, "layers"), stamp=True)
+    paths = build_layers(spark, raw_from_star(spark, sf), scratch_root(spark, "layers"), stamp=True)
     return layer_row_counts({name: read_layer(spark, path=p) for name, p in paths.items()}) \
         .select("tabla", "registros")
 

@@ -26,11 +26,16 @@ def to_long(df: DataFrame, columns: Sequence[str], name_col: str = "metrica",
 
 def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, scale: int = 6) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column:
-    one row per column (floating results rounded to ``scale`` places)."""
+    one row per column (floating results rounded to ``scale`` places).
+
+    The mean is an exact decimal sum divided by the count: a double sum
+    depends on the order rows are added in (so on the partitioning), and a
+    mean of few-decimal data often lies exactly on a rounding boundary."""
     # materialised once: the moments and the quantiles both read it
     long = to_long(df, columns).checkpoint(eager=True)
     basic = long.groupBy("metrica").agg(
-        F.count("valor").alias("conteo"), F.avg("valor").alias("media"),
+        F.count("valor").alias("conteo"),
+        (F.sum(F.col("valor").cast("decimal(38,10)")) / F.count("valor")).alias("media"),
         F.stddev_samp("valor").alias("desviacion"), F.min("valor").alias("minimo"),
         F.max("valor").alias("maximo"))
     q = exact_quantiles(long, "metrica", "valor", (0.25, 0.5, 0.75), materialized=True)
@@ -38,7 +43,7 @@ def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, sc
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("p50"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("p75"))
-    r = lambda c: F.round(c, scale).alias(c)
+    r = lambda c: F.round(c, scale).cast("double").alias(c)
     return basic.join(qw, "metrica", "left").select(
         "metrica", "conteo", r("media"), r("desviacion"), "minimo", r("p25"), r("p50"), r("p75"), "maximo")
 

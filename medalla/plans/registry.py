@@ -484,12 +484,14 @@ def q_series_anomalies(spark, sf):
 
 
 # ===================================================================== EDA
+#: exact mean: decimal sum (order independent) over the count
+_EXACT_MEAN = "sum(CAST(valor AS DECIMAL(38, 10))) / count(valor)"
 _LONG = "long AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS metrica, CAST({c} AS DOUBLE) AS valor FROM entity" for c in ENTITY_FEATURES) + ")"
 
 
 @register("describe_metrics", O.on_silver(f"""
-SELECT metrica, count(valor) AS conteo, {r6('avg(valor)')} AS media, {r6('stddev_samp(valor)')} AS desviacion,
+SELECT metrica, count(valor) AS conteo, {r6(_EXACT_MEAN)} AS media, {r6('stddev_samp(valor)')} AS desviacion,
   min(valor) AS minimo, {r6('quantile_cont(valor, 0.25)')} AS p25, {r6('quantile_cont(valor, 0.5)')} AS p50,
   {r6('quantile_cont(valor, 0.75)')} AS p75, max(valor) AS maximo
 FROM long GROUP BY metrica""", O.ENTITY, _LONG))
@@ -762,3 +764,56 @@ def q_monthly_counts_stream(spark, sf):
     root = scratch_root(spark, "stream")
     out = run_monthly_counts_stream(spark, sf, f"{root}/out", f"{root}/chk", file_glob="events.parquet")
     return out.withColumn("valor_total", F.round("valor_total", 6))
+
+
+# ======================================= generic operators on other tables
+_LI_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("describe_lineitem", f"""
+WITH long AS ({" UNION ALL ".join(f"SELECT '{c}' AS metrica, CAST({c} AS DOUBLE) AS valor FROM lineitem" for c in _LI_NUM)})
+SELECT metrica, count(valor) AS conteo, {r6(_EXACT_MEAN)} AS media, {r6('stddev_samp(valor)')} AS desviacion,
+  min(valor) AS minimo, {r6('quantile_cont(valor, 0.25)')} AS p25, {r6('quantile_cont(valor, 0.5)')} AS p50,
+  {r6('quantile_cont(valor, 0.75)')} AS p75, max(valor) AS maximo
+FROM long GROUP BY metrica""")
+def q_describe_lineitem(spark, sf):
+    return E.describe_metrics(read_table(spark, sf, "lineitem"), _LI_NUM)
+
+
+@register("correlations_lineitem", "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS variable_a, '{b}' AS variable_b, "
+    f"{r6(f'covar_samp({a}, {b}) / nullif(stddev_samp({a}) * stddev_samp({b}), 0)')} AS correlacion FROM lineitem"
+    for a, b in combinations(_LI_NUM, 2)))
+def q_correlations_lineitem(spark, sf):
+    return E.correlations(read_table(spark, sf, "lineitem"), _LI_NUM)
+
+
+_EV_DAILY = "d AS (SELECT CAST(ts AS DATE) AS dia, count(*) AS eventos FROM events GROUP BY 1)"
+_EV_Z = ("CASE WHEN count(eventos) OVER w >= 2 AND stddev_samp(eventos) OVER w > 0 "
+         "THEN (eventos - avg(eventos) OVER w) / stddev_samp(eventos) OVER w END")
+
+
+@register("anomalies_events", f"""
+WITH {_EV_DAILY}
+SELECT dia, eventos, {r6('avg(eventos) OVER w')} AS media_previa, {r6(_EV_Z)} AS z,
+  coalesce(abs({_EV_Z}) > 2, false) AS anomalia
+FROM d WINDOW w AS (ORDER BY dia ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)""")
+def q_anomalies_events(spark, sf):
+    d = read_table(spark, sf, "events").groupBy(F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("eventos"))
+    return T.series_anomalies(d, "eventos", "dia")
+
+
+@register("forecast_orders", f"""
+WITH m AS (SELECT make_date(year(o_orderdate), month(o_orderdate), 1) AS mes, count(*) AS pedidos
+           FROM orders GROUP BY 1),
+last6 AS (SELECT * FROM m ORDER BY mes DESC LIMIT 6),
+st AS (SELECT avg(pedidos) AS m, stddev_samp(pedidos) AS s, max(mes) AS d FROM last6)
+SELECT CAST(paso AS INTEGER) AS paso, CAST(d + to_months(CAST(paso AS INTEGER)) AS DATE) AS fecha_pronostico,
+  strftime(d + to_months(CAST(paso AS INTEGER)), '%Y-%m') AS periodo_mes,
+  {r6('m')} AS prediccion, {r6('m - 1.96e0 * s')} AS intervalo_inferior, {r6('m + 1.96e0 * s')} AS intervalo_superior
+FROM st, range(1, 4) AS t(paso)""")
+def q_forecast_orders(spark, sf):
+    o = read_table(spark, sf, "orders")
+    m = o.groupBy(F.make_date(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1)).alias("mes")) \
+         .agg(F.count(F.lit(1)).alias("pedidos"))
+    return T.forecast_mean(m, "pedidos", "mes")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medalla.operators.ordering import exact_quantiles
+from medalla.session import materialize
 from medalla.schema import ENTITY_FEATURES
 
 
@@ -32,7 +33,7 @@ def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, sc
     depends on the order rows are added in (so on the partitioning), and a
     mean of few-decimal data often lies exactly on a rounding boundary."""
     # materialised once: the moments and the quantiles both read it
-    long = to_long(df, columns).checkpoint(eager=True)
+    long = materialize(to_long(df, columns), "describe-input")
     basic = long.groupBy("metrica").agg(
         F.count("valor").alias("conteo"),
         (F.sum(F.col("valor").cast("decimal(38,10)")) / F.count("valor")).alias("media"),

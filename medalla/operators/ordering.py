@@ -12,8 +12,9 @@ every row into one task. Here the order is computed in parallel instead:
    group keys), and sort inside each partition;
 2. number the rows inside each partition (``monotonically_increasing_id``
    puts the partition id in the upper bits and the position in the lower 33);
-3. checkpoint that numbered table into the shared checkpoint folder, so the
-   numbering is fixed once and survives the loss of an executor;
+3. write that numbered table as Parquet into the shared checkpoint folder
+   (``materialize``), so the numbering is fixed once and survives the loss
+   of an executor - the partition id and position are columns by then;
 4. count rows per partition - one row per partition, a table whose size is
    bounded by the partition count - and turn the counts into start offsets;
 5. broadcast the offsets back: index = offset + position.
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalla.session import ensure_checkpoint_dir, shuffle_partitions
+from medalla.session import ensure_checkpoint_dir, materialize, shuffle_partitions
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -42,16 +43,16 @@ def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
                   partitions: int | None = None, materialized: bool = False) -> DataFrame:
     """``df`` with a 0-based global position under ``order`` (a total order
     is expected; ties get an arbitrary but fixed order). Pass
-    ``materialized=True`` when ``df`` is already a checkpoint."""
+    ``materialized=True`` when ``df`` is already materialised."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or shuffle_partitions(spark)
     ordr = _as_order(order)
-    src = df if materialized else df.checkpoint(eager=True)
+    src = df if materialized else materialize(df, "rank-input")
     numbered = (src.repartitionByRange(n, *ordr)
                   .sortWithinPartitions(*ordr)
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .checkpoint(eager=True))
+                  .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = materialize(numbered, "rank-numbered")
     numbered = numbered.select(
         "*",
         F.shiftright("_mid", 33).alias("_part"),

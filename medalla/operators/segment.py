@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalla.functions.scalar import volume_band
+from medalla.session import materialize
 from medalla.schema import CLUSTER_LABELS, ENTITY_FEATURES, ENTITY_KEYS
 
 #: minimum number of partitions of the K-Means input; the actual count is
@@ -141,7 +142,7 @@ def select_k(entity: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int =
     the handful of candidates)."""
     feats = entity_features(entity, keys, features)
     # materialised once for all candidate fits
-    feats = feats.checkpoint(eager=True)
+    feats = materialize(feats, "select-k-input")
     rows = []
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", metricName="silhouette")
     for k in ks:

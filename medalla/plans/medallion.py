@@ -8,13 +8,12 @@ costs at most the current layer's tasks.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from medalla.operators import marts, ranking
 from medalla.operators.conform import conform, rejects
-from medalla.session import ensure_checkpoint_dir
+from medalla.session import scratch_root  # noqa: F401  (re-exported)
 from medalla.sources.layers import read_layer, write_layer
 from medalla.sources.star import raw_from_star
 
@@ -22,11 +21,6 @@ GOLD_TABLES = ("metricas_por_entidad", "metricas_por_producto", "metricas_tempor
                "ranking_entidades", "dashboard_kpis")
 
 
-def scratch_root(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the session's (shared) checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
 def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "parquet",
                  stamp: bool = True, with_segments: bool = False,
                  partition_silver_by: tuple[str, ...] = ("anio",)) -> dict[str, str]:

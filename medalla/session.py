@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,5 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` as a Parquet table into a fresh folder under the shared
+    checkpoint folder and return it read back: the lineage stops here, the
+    data survive the loss of any executor, and later readers scan compact
+    columnar files instead of recomputing the plan."""
+    spark = df.sparkSession
+    path = scratch_root(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -164,3 +164,17 @@ def test_entity_absent_from_recent_year(spark):
 def test_type_code_25_is_pension(spark):
     s = _silver_rows(spark, [("2016", "1", "25", "3", "Fondo X", "Cesantias", "Demora", "VIGENTES")])
     assert s.first().tipo_entidad_desc == "PENSION Y CESANTIAS"
+
+
+def test_empty_table_through_every_mart(spark):
+    from medalla.operators import analysis
+
+    empty = spark.createDataFrame([], SILVER_SCHEMA)
+    ent = marts.entity_metrics(empty, rank=False)
+    assert marts.entity_metrics(empty).count() == 0
+    assert marts.product_metrics(empty).count() == 0
+    assert ranking.rankings(empty).count() == 0
+    assert marts.monthly_metrics(empty).count() == 0
+    assert eda.describe_metrics(ent).count() == 0
+    assert analysis.pareto(ent).count() == 0
+    assert eda.histogram(ent, "total_quejas", 5).agg(F.sum("frecuencia")).first()[0] == 0

@@ -198,6 +198,13 @@ def q_conform(spark, sf):
     return C.conform(raw(spark, sf))
 
 
+@register("conform_stamped")
+def q_conform_stamped(spark, sf):
+    """Silver with the processing timestamp (P11); rows-only: a clock value
+    has no oracle."""
+    return C.conform(raw(spark, sf), stamp=True)
+
+
 @register("rejects", O.on_raw("""
 SELECT TIPO_ENTIDAD, CODIGO_ENTIDAD, NOMBRE_ENTIDAD, PRODUCTO, MOTIVO, ESTADO, ANIO, MES,
   CASE WHEN anio_n IS NULL THEN 'ANIO_INVALIDO'

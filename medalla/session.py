@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # MLlib iterations and RDD-level shuffles serialise with Kryo
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 

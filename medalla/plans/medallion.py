@@ -8,6 +8,7 @@ costs at most the current layer's tasks.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,7 @@ GOLD_TABLES = ("metricas_por_entidad", "metricas_por_producto", "metricas_tempor
 
 def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "parquet",
                  stamp: bool = True, with_segments: bool = False,
-                 partition_silver_by: tuple[str, ...] = ("anio",)) -> dict[str, str]:
+                 partition_silver_by: tuple[str, ...] = ("anio",), parallel_jobs: int = 4) -> dict[str, str]:
     """Write every layer under ``root`` starting from the bronze rows ``raw``
     (a raw complaint CSV read with ``read_raw_csv``, or ``raw_from_star``);
     return {table: path}."""
@@ -37,15 +38,23 @@ def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "par
 
     bronze = put("quejas_financieras_raw", raw)
     silver = put("quejas_limpias", conform(bronze, stamp=stamp), partition_silver_by)
-    put("quejas_rechazadas", rejects(bronze))
-    entity = put("metricas_por_entidad", marts.entity_metrics(silver))
-    put("metricas_por_producto", marts.product_metrics(silver))
-    put("metricas_temporales", marts.monthly_metrics(silver))
-    put("ranking_entidades", ranking.rankings(silver))
-    put("dashboard_kpis", marts.kpi_table(silver, stamp=stamp))
+    # the rejects and the five gold tables only read bronze / silver: they are
+    # independent jobs, submitted together so small ones share the cores
+    gold = {
+        "quejas_rechazadas": lambda: rejects(bronze),
+        "metricas_por_entidad": lambda: marts.entity_metrics(silver),
+        "metricas_por_producto": lambda: marts.product_metrics(silver),
+        "metricas_temporales": lambda: marts.monthly_metrics(silver),
+        "ranking_entidades": lambda: ranking.rankings(silver),
+        "dashboard_kpis": lambda: marts.kpi_table(silver, stamp=stamp),
+    }
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        done = {name: pool.submit(lambda n=name, b=build: put(n, b())) for name, build in gold.items()}
+        written = {name: f.result() for name, f in done.items()}
     if with_segments:
         from medalla.operators import segment
 
+        entity = written["metricas_por_entidad"]
         put("clustering_entidades", segment.clustering_table(segment.segment_entities(entity), stamp=stamp))
     return paths
 

@@ -137,18 +137,24 @@ def cluster_points(segmented: DataFrame, name: str = "nombre_entidad") -> DataFr
 
 
 def select_k(entity: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = 42, max_iter: int = 20,
-             keys: Sequence[str] = ENTITY_KEYS, features: Sequence[str] = ENTITY_FEATURES) -> DataFrame:
-    """Silhouette per candidate k (each fit is distributed; the loop is over
-    the handful of candidates)."""
-    feats = entity_features(entity, keys, features)
+             keys: Sequence[str] = ENTITY_KEYS, features: Sequence[str] = ENTITY_FEATURES,
+             parallel_fits: int = 3) -> DataFrame:
+    """Silhouette per candidate k. Each fit is distributed; the independent
+    fits of the handful of candidates are submitted concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
     # materialised once for all candidate fits
-    feats = materialize(feats, "select-k-input")
-    rows = []
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", metricName="silhouette")
-    for k in ks:
+    feats = materialize(entity_features(entity, keys, features), "select-k-input")
+
+    def score(k: int) -> tuple[int, float]:
         _, scored, data = fit_segments(feats, k, seed, max_iter, features, keys)
-        rows.append((int(k), float(ev.evaluate(scored))))
+        ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id", metricName="silhouette")
+        s = float(ev.evaluate(scored))
         data.unpersist()
+        return int(k), s
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
+        rows = list(pool.map(score, ks))
     return entity.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 

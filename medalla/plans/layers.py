@@ -22,7 +22,7 @@ from medalla.plans.medallion import scratch_root
 from medalla.sources.layers import read_layer, write_layer
 from medalla.sources.star import raw_from_star
 
-_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILT: dict[tuple[str, str, str], tuple[str, object]] = {}
 
 
 def _build_bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,13 +54,16 @@ _BUILDERS = {
 def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The written layer ``name`` for source folder ``sf`` (built on first use)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
-    path = _BUILT.get(key)
-    if path is None:
+    hit = _BUILT.get(key)
+    if hit is None:
         build, partition_by = _BUILDERS[name]
         path = scratch_root(spark, name)
         write_layer(build(spark, sf), path=path, partition_by=partition_by)
-        _BUILT[key] = path
-    return read_layer(spark, path=path)
+        df = read_layer(spark, path=path)
+        _BUILT[key] = (path, df.schema)  # later reads skip schema inference
+        return df
+    path, schema = hit
+    return spark.read.schema(schema).parquet(path)
 
 
 def bronze_layer(spark: SparkSession, sf: str) -> DataFrame:

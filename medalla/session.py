@@ -76,7 +76,7 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     path = scratch_root(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -21,6 +21,11 @@ every row into one task. Here the order is computed in parallel instead:
 
 Cost: one shuffle of the (already aggregated) input plus two writes and
 reads of it; no task ever holds more than one range partition.
+
+Size check: the materialised input's row count comes from Parquet metadata.
+Up to ``SINGLE_TASK_MAX_ROWS`` rows (a proven bound) a plain
+``row_number()`` window in one task is cheaper than steps 1-5 and is used
+instead; above it the distributed path always runs.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ from medalla.session import ensure_checkpoint_dir, materialize, shuffle_partitio
 
 _LOW_BITS = (1 << 33) - 1
 
+#: largest input ranked by a single-task window; larger inputs take the
+#: distributed path
+SINGLE_TASK_MAX_ROWS = 200_000
+
 
 def _as_order(cols: Sequence) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in cols]
@@ -49,6 +58,9 @@ def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
     n = partitions or shuffle_partitions(spark)
     ordr = _as_order(order)
     src = df if materialized else materialize(df, "rank-input")
+    if src.count() <= SINGLE_TASK_MAX_ROWS:
+        # bounded input: one task sorts at most SINGLE_TASK_MAX_ROWS rows
+        return src.withColumn(index_col, F.row_number().over(Window.orderBy(*ordr)).cast("long") - 1)
     numbered = (src.repartitionByRange(n, *ordr)
                   .sortWithinPartitions(*ordr)
                   .withColumn("_mid", F.monotonically_increasing_id()))

@@ -3,13 +3,24 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from medalla.operators import ordering
 from medalla.operators.analysis import running_total
 from medalla.operators.ordering import exact_quantiles, global_rank
 
 
+@pytest.fixture(autouse=True, params=["distributed", "single_task"])
+def path(request, monkeypatch):
+    """Run every test on both paths: the distributed range-partition path
+    (bound 0) and the size-checked single-task path."""
+    if request.param == "distributed":
+        monkeypatch.setattr(ordering, "SINGLE_TASK_MAX_ROWS", 0)
+    return request.param
+
+
 def _data(spark, n=3000, seed=7):
     rnd = random.Random(seed)
     # many ties on v, and one value holding a third of the rows

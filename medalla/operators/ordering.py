@@ -101,37 +101,47 @@ def global_rank(df: DataFrame, order: Sequence, rank_col: str,
               .drop("_gix", "_g0"))
 
 
-def exact_quantiles(df: DataFrame, group_col: str, value_col: str,
-                    probs: Sequence[float], materialized: bool = False) -> DataFrame:
+def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value_col`` per group
     (numpy/pandas default, DuckDB ``quantile_cont``), distributed.
 
-    Output: (group_col, p, value). The rows are globally ordered by
-    (group, value); per group only n and the first index are kept; the 2
-    needed positions per (group, p) form a table of at most
-    2 * groups * len(probs) rows, equi-joined on the index. No group is
-    ever gathered into one task.
+    Output: (group_col, p, value). Rows are first reduced to distinct
+    (group, value) pairs with their multiplicity (a partial aggregate: for a
+    count-like metric over N rows there are at most about sqrt(2N) distinct
+    values), a distributed running total of the multiplicities in (group,
+    value) order gives every distinct value its span of positions, and the
+    two positions each (group, p) needs - a table of at most
+    2 * groups * len(probs) rows - are matched to the span containing them.
+    No group is ever gathered into one task and no row-level sort is needed.
     """
+    from medalla.operators.analysis import running_total
+
     base = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v")) \
              .filter(F.col("_v").isNotNull())
-    ix = ordered_index(base, ["_g", "_v"], "_ix", materialized=materialized)
-    stats = ix.groupBy("_g").agg(F.min("_ix").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_total(counts, "_c", ["_g", "_v"], out="_cum", index_col="_k")
+    cum = materialize(cum, "quantile-spans")
+    groups = cum.groupBy("_g").agg(F.min(F.col("_cum") - F.col("_c")).alias("_g0"), F.sum("_c").alias("_n"))
+    spans = cum.join(groups.select("_g", "_g0"), "_g").select(
+        "_g", "_v",
+        (F.col("_cum") - F.col("_c") - F.col("_g0")).alias("_from"),
+        (F.col("_cum") - F.col("_g0") - 1).alias("_to"))
     h = (F.col("_n") - 1) * F.col("p")
-    targets = (stats.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .select("_g", "p", "_first",
+    targets = (groups.select("_g", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+               .select("_g", "p",
                        F.floor(h).cast("long").alias("_lo"),
                        F.ceil(h).cast("long").alias("_hi"),
                        (h - F.floor(h)).alias("_frac")))
     wanted = targets.select(
-        "_g", "p", "_frac",
+        F.col("_g").alias("_wg"), "p", "_frac",
         F.explode(F.array(
-            F.struct(F.lit("lo").alias("side"), (F.col("_first") + F.col("_lo")).alias("_ix")),
-            F.struct(F.lit("hi").alias("side"), (F.col("_first") + F.col("_hi")).alias("_ix")),
-        )).alias("t")).select("_g", "p", "_frac", "t.side", "t._ix")
-    # AQE turns this into a broadcast join at run time when ``wanted`` is
-    # small (the usual case: a handful of groups); it stays a shuffle join
-    # when there are many groups.
-    picked = ix.join(wanted, ["_g", "_ix"])
+            F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("_pos")),
+            F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_pos")),
+        )).alias("t")).select("_wg", "p", "_frac", "t.side", "t._pos")
+    # equality on the group plus a range condition; AQE broadcasts ``wanted``
+    # at run time when it is small (a handful of groups)
+    picked = spans.join(wanted, (spans["_g"] == wanted["_wg"])
+                        & (wanted["_pos"] >= spans["_from"]) & (wanted["_pos"] <= spans["_to"]))
     agg = picked.groupBy("_g", "p").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),

@@ -35,6 +35,14 @@ from medalla.schema import (
 )
 
 
+def distinct_count(c: str, approx: bool = False) -> Column:
+    """Exact ``countDistinct`` (Catalyst expands each row once per distinct
+    column), or with ``approx`` a HyperLogLog++ sketch (``rsd`` 1 %): one
+    pass, fixed memory per group, no Expand - for very large tables where
+    an estimate is acceptable."""
+    return F.approx_count_distinct(c, rsd=0.01) if approx else F.countDistinct(c)
+
+
 def count_if(cond: Column) -> Column:
     """sum(when(cond, 1).otherwise(0)): a bigint count of rows meeting cond."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
@@ -53,20 +61,21 @@ def _order_desc(metric: str, keys: Sequence[str]) -> list:
 
 
 # ---------------------------------------------------------------- entity mart
-def entity_metrics(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, rank: bool = True) -> DataFrame:
+def entity_metrics(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, rank: bool = True,
+                   approx: bool = False) -> DataFrame:
     """One row per entity: volume, diversity, first/last month, months with
     complaints, open/received counts, mean per active month and rank."""
     keys = list(keys)
     agg = silver.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_quejas"),
-        F.countDistinct("producto").alias("productos_distintos"),
-        F.countDistinct("motivo").alias("motivos_distintos"),
+        distinct_count("producto", approx).alias("productos_distintos"),
+        distinct_count("motivo", approx).alias("motivos_distintos"),
         F.min("fecha_queja").alias("primera_queja"),
         F.max("fecha_queja").alias("ultima_queja"),
-        F.countDistinct("periodo_mes").alias("meses_con_quejas"),
+        distinct_count("periodo_mes", approx).alias("meses_con_quejas"),
         count_if(F.col("estado") == STATE_OPEN).alias("quejas_vigentes"),
         count_if(F.col("estado") == STATE_RECEIVED).alias("quejas_recibidas"),
-        F.round(F.count(F.lit(1)) / F.countDistinct("periodo_mes"), 2).alias("promedio_quejas_por_mes"),
+        F.round(F.count(F.lit(1)) / distinct_count("periodo_mes", approx), 2).alias("promedio_quejas_por_mes"),
     )
     if not rank:
         return agg
@@ -74,17 +83,18 @@ def entity_metrics(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, rank: b
 
 
 # --------------------------------------------------------------- product mart
-def product_metrics(silver: DataFrame, product: str = "producto", rank: bool = True) -> DataFrame:
+def product_metrics(silver: DataFrame, product: str = "producto", rank: bool = True,
+                    approx: bool = False) -> DataFrame:
     agg = silver.groupBy(product).agg(
         F.count(F.lit(1)).alias("total_quejas"),
-        F.countDistinct("nombre_entidad").alias("entidades_afectadas"),
-        F.countDistinct("motivo").alias("motivos_distintos"),
+        distinct_count("nombre_entidad", approx).alias("entidades_afectadas"),
+        distinct_count("motivo", approx).alias("motivos_distintos"),
         count_if(F.col("tipo_entidad_desc") == TYPE_BANK).alias("quejas_bancos"),
         count_if(F.col("tipo_entidad_desc") == TYPE_PENSION).alias("quejas_pensiones"),
         count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE).alias("quejas_seguros"),
         F.min("anio").alias("anio_inicial"),
         F.max("anio").alias("anio_final"),
-        F.countDistinct("periodo_mes").alias("meses_con_quejas"),
+        distinct_count("periodo_mes", approx).alias("meses_con_quejas"),
     )
     agg = with_total_share(agg, "total_quejas", "porcentaje_total")
     if not rank:
@@ -93,11 +103,11 @@ def product_metrics(silver: DataFrame, product: str = "producto", rank: bool = T
 
 
 # --------------------------------------------------------------- monthly mart
-def monthly_base(silver: DataFrame, keys: Sequence[str] = MONTH_KEYS) -> DataFrame:
+def monthly_base(silver: DataFrame, keys: Sequence[str] = MONTH_KEYS, approx: bool = False) -> DataFrame:
     return silver.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_quejas"),
-        F.countDistinct("nombre_entidad").alias("entidades_con_quejas"),
-        F.countDistinct("producto").alias("productos_distintos"),
+        distinct_count("nombre_entidad", approx).alias("entidades_con_quejas"),
+        distinct_count("producto", approx).alias("productos_distintos"),
         count_if(F.col("tipo_entidad_desc") == TYPE_BANK).alias("quejas_bancos"),
         count_if(F.col("tipo_entidad_desc") == TYPE_PENSION).alias("quejas_pensiones"),
         count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE).alias("quejas_seguros"),
@@ -106,7 +116,7 @@ def monthly_base(silver: DataFrame, keys: Sequence[str] = MONTH_KEYS) -> DataFra
     )
 
 
-def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja") -> DataFrame:
+def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja", approx: bool = False) -> DataFrame:
     """Monthly mart with the trailing 3-month mean and the trend label.
 
     The series has one row per calendar month present, so its window runs
@@ -114,7 +124,7 @@ def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja") -> DataFra
     """
     from medalla.operators.series import moving_average, with_trend
 
-    base = monthly_base(silver)
+    base = monthly_base(silver, approx=approx)
     ma = moving_average(base, "total_quejas", date_col, 3, "promedio_movil_3meses")
     return with_trend(ma, "total_quejas", date_col, "tendencia")
 

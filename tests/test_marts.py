@@ -178,3 +178,19 @@ def test_empty_table_through_every_mart(spark):
     assert eda.describe_metrics(ent).count() == 0
     assert analysis.pareto(ent).count() == 0
     assert eda.histogram(ent, "total_quejas", 5).agg(F.sum("frecuencia")).first()[0] == 0
+
+
+def test_approx_distinct_counts_are_close(silver):
+    exact = marts.entity_metrics(silver, rank=False).toPandas().set_index("codigo_entidad")
+    approx = marts.entity_metrics(silver, rank=False, approx=True).toPandas().set_index("codigo_entidad")
+    for c in ("productos_distintos", "motivos_distintos", "meses_con_quejas"):
+        rel = (approx[c] - exact.loc[approx.index, c]).abs() / exact.loc[approx.index, c]
+        assert rel.max() <= 0.05, c
+    assert (approx.total_quejas == exact.loc[approx.index, "total_quejas"]).all()
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        marts.entity_metrics(silver, rank=False, approx=True).explain()
+    assert "Expand" not in buf.getvalue()

@@ -42,6 +42,8 @@ _LOW_BITS = (1 << 33) - 1
 #: largest input ranked by a single-task window; larger inputs take the
 #: distributed path
 SINGLE_TASK_MAX_ROWS = 200_000
+#: largest lookup table broadcast after its row count was checked
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _as_order(cols: Sequence) -> list[Column]:
@@ -96,6 +98,11 @@ def global_rank(df: DataFrame, order: Sequence, rank_col: str,
     if not part:
         return ix.withColumn(rank_col, (F.col("_gix") + 1).cast("int")).drop("_gix")
     starts = ix.groupBy(*part).agg(F.min("_gix").alias("_g0"))
+    # one row per group: broadcast after counting it, so a group holding a
+    # third of the rows is never shuffled into one task (above the bound,
+    # AQE's skew join splits hot keys of the shuffle join)
+    if starts.count() <= BROADCAST_MAX_ROWS:
+        starts = F.broadcast(starts)
     return (ix.join(starts, part, "inner")
               .withColumn(rank_col, (F.col("_gix") - F.col("_g0") + 1).cast("int"))
               .drop("_gix", "_g0"))
@@ -138,8 +145,12 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequen
             F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("_pos")),
             F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_pos")),
         )).alias("t")).select("_wg", "p", "_frac", "t.side", "t._pos")
-    # equality on the group plus a range condition; AQE broadcasts ``wanted``
-    # at run time when it is small (a handful of groups)
+    # equality on the group plus a range condition: a shuffle join would put
+    # all distinct values of a hot group in one task, so ``wanted`` is
+    # broadcast whenever its row count (2 * groups * probs, counted on the
+    # materialised spans) is under the bound; above it Spark plans the join
+    if 2 * len(probs) * groups.count() <= BROADCAST_MAX_ROWS:
+        wanted = F.broadcast(wanted)
     picked = spans.join(wanted, (spans["_g"] == wanted["_wg"])
                         & (wanted["_pos"] >= spans["_from"]) & (wanted["_pos"] <= spans["_to"]))
     agg = picked.groupBy("_g", "p").agg(

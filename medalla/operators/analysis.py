@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from medalla.functions.scalar import pct
 from medalla.operators.ordering import ordered_index
+from medalla.session import bounded_broadcast
 from medalla.schema import ENTITY_KEYS
 
 #: rows per block of the distributed running sum
@@ -70,7 +71,7 @@ def lift(df: DataFrame, item: str = "producto", group: str = "tipo_entidad_desc"
     share overall, and lift = share in group / share overall. Everything
     after the first aggregate works on the (item, group) count table."""
     c = df.groupBy(item, group).agg(F.count(F.lit(1)).alias("quejas"))
-    g = c.groupBy(group).agg(F.sum("quejas").alias("_g"))
+    g = bounded_broadcast(c.groupBy(group).agg(F.sum("quejas").alias("_g")), "lift-groups")
     i = c.groupBy(item).agg(F.sum("quejas").alias("_i"))
     t = c.agg(F.sum("quejas")).scalar()
     out = c.join(g, group).join(i, item)

@@ -35,15 +35,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalla.session import ensure_checkpoint_dir, materialize, shuffle_partitions
+from medalla.session import BROADCAST_MAX_ROWS, ensure_checkpoint_dir, materialize, shuffle_partitions
 
 _LOW_BITS = (1 << 33) - 1
 
 #: largest input ranked by a single-task window; larger inputs take the
 #: distributed path
 SINGLE_TASK_MAX_ROWS = 200_000
-#: largest lookup table broadcast after its row count was checked
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _as_order(cols: Sequence) -> list[Column]:

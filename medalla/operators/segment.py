@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalla.functions.scalar import volume_band
-from medalla.session import materialize
+from medalla.session import bounded_broadcast, materialize
 from medalla.schema import CLUSTER_LABELS, ENTITY_FEATURES, ENTITY_KEYS
 
 #: minimum number of partitions of the K-Means input; the actual count is
@@ -167,9 +167,11 @@ def peer_benchmark(entity: DataFrame, group: str = "tipo_entidad_desc", metric:
                    keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
     """Each entity's metric against its peer group's mean and its ratio to
     it. The group means are a partial aggregate (skew-safe: a group holding
-    a third of the entities is still pre-aggregated per partition) joined
-    back on the group key; the group table is small."""
-    g = entity.groupBy(group).agg(F.avg(metric).alias("media_grupo"), F.count(F.lit(1)).alias("pares"))
+    a third of the entities is still pre-aggregated per partition), joined
+    back as a broadcast after its row count is checked."""
+    g = bounded_broadcast(
+        entity.groupBy(group).agg(F.avg(metric).alias("media_grupo"), F.count(F.lit(1)).alias("pares")),
+        "peer-groups")
     return (entity.select(*keys, metric).join(g, group)
                   .withColumn("indice_vs_pares", F.round(F.col(metric) / F.col("media_grupo"), 4))
                   .withColumn("media_grupo", F.round("media_grupo", 4)))

@@ -127,7 +127,12 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequen
     cum = running_total(counts, "_c", ["_g", "_v"], out="_cum", index_col="_k")
     cum = materialize(cum, "quantile-spans")
     groups = cum.groupBy("_g").agg(F.min(F.col("_cum") - F.col("_c")).alias("_g0"), F.sum("_c").alias("_n"))
-    spans = cum.join(groups.select("_g", "_g0"), "_g").select(
+    # the per-group tables are joined back on the group key: broadcast them
+    # when their counted size is under the bound, so a hot group's values
+    # never meet in one shuffle task
+    small = 2 * len(probs) * groups.count() <= BROADCAST_MAX_ROWS
+    bc = F.broadcast if small else (lambda d: d)
+    spans = cum.join(bc(groups.select("_g", "_g0")), "_g").select(
         "_g", "_v",
         (F.col("_cum") - F.col("_c") - F.col("_g0")).alias("_from"),
         (F.col("_cum") - F.col("_g0") - 1).alias("_to"))
@@ -144,12 +149,9 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequen
             F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_pos")),
         )).alias("t")).select("_wg", "p", "_frac", "t.side", "t._pos")
     # equality on the group plus a range condition: a shuffle join would put
-    # all distinct values of a hot group in one task, so ``wanted`` is
-    # broadcast whenever its row count (2 * groups * probs, counted on the
-    # materialised spans) is under the bound; above it Spark plans the join
-    if 2 * len(probs) * groups.count() <= BROADCAST_MAX_ROWS:
-        wanted = F.broadcast(wanted)
-    picked = spans.join(wanted, (spans["_g"] == wanted["_wg"])
+    # all distinct values of a hot group in one task, so ``wanted`` (2 *
+    # groups * probs rows) is broadcast under the same check
+    picked = spans.join(bc(wanted), (spans["_g"] == wanted["_wg"])
                         & (wanted["_pos"] >= spans["_from"]) & (wanted["_pos"] <= spans["_to"]))
     agg = picked.groupBy("_g", "p").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),

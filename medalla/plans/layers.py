@@ -51,6 +51,12 @@ _BUILDERS = {
 }
 
 
+def layer_path(spark: SparkSession, sf: str, name: str) -> str:
+    """Folder of the written layer ``name`` (built on first use)."""
+    layer(spark, sf, name)
+    return _BUILT[(spark.sparkContext.applicationId, os.path.abspath(sf), name)][0]
+
+
 def layer(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The written layer ``name`` for source folder ``sf`` (built on first use)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)

@@ -824,3 +824,15 @@ def q_forecast_orders(spark, sf):
     m = o.groupBy(F.make_date(F.year("o_orderdate"), F.month("o_orderdate"), F.lit(1)).alias("mes")) \
          .agg(F.count(F.lit(1)).alias("pedidos"))
     return T.forecast_mean(m, "pedidos", "mes")
+
+
+@register("monthly_complaints_stream", O.on_silver("""
+SELECT fecha_queja, tipo_entidad_desc, count(*) AS total_quejas FROM silver GROUP BY 1, 2"""))
+def q_monthly_complaints_stream(spark, sf):
+    from medalla.plans.layers import layer_path
+    from medalla.plans.medallion import scratch_root
+    from medalla.streaming.monthly import run_monthly_complaints_stream
+
+    root = scratch_root(spark, "complaint-stream")
+    return run_monthly_complaints_stream(spark, layer_path(spark, sf, "quejas_financieras_raw"),
+                                         f"{root}/out", f"{root}/chk")

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from medalla.schema import (
+    CLUSTER_LABELS,
     ENTITY_TYPE_CATEGORIES,
     ENTITY_TYPE_DEFAULT,
     NA_MARKERS,
@@ -110,8 +111,6 @@ def trend_label(current, previous) -> Column:
 def volume_band(c, edges: Sequence[int] = VOLUME_BAND_EDGES,
                 labels: Sequence[str] | None = None) -> Column:
     """Half-open volume bands: [0, e1), [e1, e2), ..., [eN, inf)."""
-    from medalla.schema import CLUSTER_LABELS
-
     labels = list(labels or CLUSTER_LABELS)
     if len(labels) != len(edges) + 1:
         raise ValueError("need one label more than edges")

@@ -9,30 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medalla.schema import RAW_RESCUE, RAW_SCHEMA
+from medalla.schema import RAW_COLUMNS, RAW_RESCUE
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA,
+def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] = RAW_COLUMNS,
                  sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Raw complaint CSV with a header, every column read as text.
 
-    The header must name the schema's columns in order (checked, so a file
-    with other columns fails instead of shifting values). Padding inside
-    values is kept for the conform step to trim. Malformed lines are kept: their text lands in ``_rescued_data`` and the
-    other columns are NULL, so the conform step rejects them with a reason
-    instead of the reader dropping them.
+    Columns are taken by NAME from the header (any order, any extra columns;
+    a missing required column is an error), so no value can shift into the
+    wrong column. Padding inside values is kept for the conform step to
+    trim. Malformed lines are kept: their text lands in ``_rescued_data``
+    and the conform step rejects them with a reason.
     """
-    full = T.StructType(list(schema.fields) + [T.StructField(RAW_RESCUE, T.StringType(), True)])
-    return (spark.read.schema(full)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("sep", sep)
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", RAW_RESCUE)
-            .csv(path))
+    def reader():
+        return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+    header = reader().csv(path).columns  # the header line only
+    present = {h.lower() for h in header}
+    missing = [c for c in columns if c.lower() not in present]
+    if missing:
+        raise ValueError(f"raw CSV at {path} lacks columns {missing}")
+    full = T.StructType([T.StructField(h, T.StringType(), True) for h in header]
+                        + [T.StructField(RAW_RESCUE, T.StringType(), True)])
+    df = (reader().schema(full)
+          .option("enforceSchema", False)
+          .option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", RAW_RESCUE)
+          .csv(path))
+    return df.select(*columns, RAW_RESCUE)
 
 
 def write_layer(df: DataFrame, table: str | None = None, path: str | None = None,

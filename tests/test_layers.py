@@ -29,3 +29,22 @@ def test_csv_to_layers(spark):
     assert {r.producto for r in silver.collect()} >= {"Tarjetas de crédito", "NO ESPECIFICADO"}
     # the silver layer is laid out by year
     assert any(d.startswith("anio=") for d in os.listdir(paths["quejas_limpias"].replace("file:", "")))
+
+
+def test_csv_columns_by_name(spark):
+    import pytest
+
+    root = tempfile.mkdtemp(prefix="csv-order-", dir="/tmp")
+    raw = spark.createDataFrame(GOLDEN_RAW, RAW_SCHEMA)
+    shuffled = raw.select("ESTADO", "MOTIVO", "PRODUCTO", "NOMBRE_ENTIDAD", "CODIGO_ENTIDAD",
+                          "TIPO_ENTIDAD", "MES", "ANIO").withColumn("EXTRA", raw["ANIO"])
+    path = os.path.join(root, "shuffled")
+    shuffled.coalesce(1).write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    back = read_raw_csv(spark, path).drop("_rescued_data")
+    assert back.columns == list(RAW_SCHEMA.fieldNames())
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(GOLDEN_RAW, key=str)
+    partial = os.path.join(root, "partial")
+    raw.drop("MES").coalesce(1).write.option("header", True).csv(partial)
+    with pytest.raises(ValueError, match="MES"):
+        read_raw_csv(spark, partial)

@@ -73,10 +73,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="root folder of the layer tables")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--sep", default=",")
+    ap.add_argument("--encoding", default="UTF-8", help="e.g. ISO-8859-1 for Latin-1 exports")
     ap.add_argument("--segments", action="store_true", help="also fit and write the K-Means table")
     a = ap.parse_args(argv)
     spark = get_spark()
-    raw = read_raw_csv(spark, a.csv, sep=a.sep) if a.csv else raw_from_star(spark, a.star)
+    raw = read_raw_csv(spark, a.csv, sep=a.sep, encoding=a.encoding) if a.csv else raw_from_star(spark, a.star)
     paths = build_layers(spark, raw, a.out, fmt=a.format, with_segments=a.segments)
     layer_row_counts({n: read_layer(spark, path=p, fmt=a.format) for n, p in paths.items()}).show(truncate=False)
 

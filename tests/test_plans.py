@@ -47,3 +47,11 @@ def test_conform_parses_behind_a_generator(spark):
 def test_marts_aggregate_partially(spark):
     p = _plan(marts.entity_metrics(silver_layer(spark, SF_SMALL), rank=False), "simple")
     assert "partial_count" in p and "Expand" in p
+
+
+def test_group_lookup_is_broadcast(spark):
+    from medalla.operators.segment import peer_benchmark
+
+    ent = marts.entity_metrics(silver_layer(spark, SF_SMALL), rank=False)
+    p = _plan(peer_benchmark(ent), "simple")
+    assert "BroadcastHashJoin" in p and "BroadcastExchange" in p

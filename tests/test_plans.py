@@ -55,3 +55,11 @@ def test_group_lookup_is_broadcast(spark):
     ent = marts.entity_metrics(silver_layer(spark, SF_SMALL), rank=False)
     p = _plan(peer_benchmark(ent), "simple")
     assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
+
+
+def test_named_entity_filter_reaches_the_scan(spark):
+    from medalla.operators.analysis import entity_drilldown
+
+    p = _plan(entity_drilldown(silver_layer(spark, SF_SMALL), entity="SUPPLIER#000000001"))
+    pushed = [line for line in p.splitlines() if line.startswith("PushedFilters")]
+    assert any("EqualTo(nombre_entidad,SUPPLIER#000000001)" in line for line in pushed)

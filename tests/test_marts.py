@@ -194,3 +194,17 @@ def test_approx_distinct_counts_are_close(silver):
     with contextlib.redirect_stdout(buf):
         marts.entity_metrics(silver, rank=False, approx=True).explain()
     assert "Expand" not in buf.getvalue()
+
+
+def test_pareto_top_share(spark):
+    from medalla.operators import analysis
+
+    ent = spark.createDataFrame(
+        [(i, f"E{i}", "BANCO", t) for i, t in enumerate([50, 30, 10, 5, 5, 0], start=1)],
+        "codigo_entidad int, nombre_entidad string, tipo_entidad_desc string, total_quejas long")
+    curve = {r.nombre_entidad: (r.posicion, r.acumulado, r.porcentaje_acumulado)
+             for r in analysis.pareto(ent).collect()}
+    assert curve["E1"] == (1, 50, 50.0) and curve["E2"] == (2, 80, 80.0) and curve["E6"] == (6, 100, 100.0)
+    s = analysis.pareto_summary(ent).first()
+    # ceil(6 * 20 / 100) = 2 entities hold 80 % of the complaints
+    assert (s.entidades, s.entidades_top, s.porcentaje_quejas_top) == (6, 2, 80.0)

@@ -39,3 +39,9 @@ def test_entry_smoke(spark):
 
 def test_registry_covers_oracles():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_output_column_names_are_unique(spark):
+    for name, q in E.queries().items():
+        cols = q(spark, SF_SMALL).columns
+        assert len({c.lower() for c in cols}) == len(cols), (name, cols)

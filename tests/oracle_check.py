@@ -4,6 +4,9 @@ Compares row count, column names and types, and the multiset of rows
 (columns sorted by name). Usable from pytest and as a script:
 
     python tests/oracle_check.py [sf_dir] [query ...]
+
+Set ORACLE_EXACT=1 to compare floats without rounding and ORACLE_REPORT=<file>
+to also write the per-query results as JSON.
 """
 
 from __future__ import annotations
@@ -105,6 +108,7 @@ def main(argv):
     spark = get_spark("local[8]", 8)
     con = duck_connection(sf)
     bad = 0
+    results = []
     for n in names:
         try:
             r = compare(spark, n, sf, con)
@@ -112,8 +116,15 @@ def main(argv):
             r = {"name": n, "status": "ERROR", "error": repr(e)[:400]}
         if r["status"] not in ("ok", "rows-only"):
             bad += 1
+        results.append(r)
         print(r, flush=True)
     print(f"{len(names) - bad}/{len(names)} ok")
+    report = os.environ.get("ORACLE_REPORT")
+    if report:
+        import json
+
+        with open(report, "w") as f:
+            json.dump({"sf_dir": sf, "ok": len(names) - bad, "total": len(names), "queries": results}, f, indent=1)
     return bad
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,11 +12,22 @@ from pyspark.sql import functions as F
 
 from medalla.session import materialize, scratch_root
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it
+    (a cluster ships it with --py-files, or has it installed)."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (_ROOT, *paths) if p)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -7,12 +7,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, license_scan, packing, sharding
+from medalla.llm import chat_format, lang_id, license_scan, minhash_dedup, packing, sharding
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return lang_id.identify(spark, docs).select(
+        "doc_id", "held_out", "lang_pred", "score", "nats", "n_letters", "rejected")
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
@@ -54,11 +64,26 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op4_chat_format, op5_pack, op6_license_scan, op9_shard)}
+QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op4_chat_format, op5_pack, op6_license_scan, op9_shard)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 
 SQL = {
+    "op2_minhash": r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from w),
+e as (select doc_id, len(s) over_n, unnest(s) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as hits, any_value(a.over_n) as na, any_value(b.over_n) as nb
+      from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p where 100 * hits >= 85 * (na + nb - hits)),
+u as (select a, b from l union all select b, a from l),
+r as (select doc_id, doc_id as c from documents union select r.doc_id, u.b from r join u on r.c = u.a),
+m as (select doc_id, min(c) as component_id from r group by 1)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, m.component_id, s.doc_id = m.component_id as kept
+from s join m using (doc_id)""",
     "op4_chat_format": f"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
            union all select -1, 0, 'user', '</s>[INST] ok [/INST]'

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, lang_id, license_scan, minhash_dedup, packing, sharding
+from medalla.llm import chat_format, embedding_dedup, lang_id, license_scan, minhash_dedup, packing, sharding
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +57,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "matches"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs, shards=16).select(
@@ -64,11 +68,23 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op4_chat_format, op5_pack, op6_license_scan, op9_shard)}
+QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op4_chat_format, op5_pack, op6_license_scan, op8_embedding_dedup, op9_shard)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 
 SQL = {
+    "op8_embedding_dedup": """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as e from embeddings),
+ok as (select * from v where label is not null and e is not null and len(e) > 0
+  and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id
+      and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.98),
+r as (select vec_id, vec_id as c from embeddings union select r.vec_id, l.b from r join l on r.c = l.a),
+m as (select vec_id, min(c) as component_id from r group by 1),
+n as (select a as vec_id, count(*) as n from l group by 1)
+select e.vec_id, coalesce(n.n, 0) as n_links, m.component_id, e.vec_id = m.component_id as kept
+from embeddings e join m using (vec_id) left join n using (vec_id)""",
     "op2_minhash": r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

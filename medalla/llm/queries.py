@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, embedding_dedup, lang_id, license_scan, minhash_dedup, packing, sharding
+from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, minhash_dedup, packing, sharding
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,13 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
@@ -68,11 +75,29 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op4_chat_format, op5_pack, op6_license_scan, op8_embedding_dedup, op9_shard)}
+QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack, op6_license_scan, op8_embedding_dedup, op9_shard)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 SQL = {
+    "op3_decontaminate": f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+b as (select coalesce(cast(item_id as varchar), '') as item, {_WORDS} as w from benchmark),
+win as (select distinct item, unnest(case when len(w) >= 10 then list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9])
+        else [w] end) as terms from b where len(w) > 0),
+sizes as (select distinct len(terms) as n from win),
+places as (select doc_id, n, unnest(range(0, len(w) - n + 1)) as start, w from d, sizes where len(w) >= n),
+hits as (select doc_id, start, places.n, item from places join win on win.terms = places.w[start + 1:start + places.n]),
+cover as (select doc_id, count(distinct p) as n_hit from (
+  select doc_id, unnest(range(start, start + n)) as p from hits) group by 1),
+items as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids
+  from hits group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join cover using (doc_id) left join items using (doc_id)""",
     "op8_embedding_dedup": """
 with recursive v as (
   select vec_id, label, cast(embedding as double[]) as e from embeddings),

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, minhash_dedup, packing, sharding
+from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, sharding
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +64,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "matches"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, text=False).select("doc_id", "n_lines", "n_removed", "removed_lines")
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -75,7 +80,7 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack, op6_license_scan, op8_embedding_dedup, op9_shard)}
+QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack, op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_shard)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 

@@ -180,7 +180,8 @@ def near_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles,
-    component_id, kept``.
+    component_id, kept``, and ``root, t1, t2``, which stand for the component
+    (null without a shingle) and the text.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of
     their sets of ``size``-word shingles; ``component_id`` is the smallest
@@ -206,7 +207,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rooted = stage(classes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
                    .select("s1", "s2", "n_shingles", "low", "root"), "near-roots")
     named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(named, "root").select("s1", "s2", "n_shingles", "component_id")
+    named = rooted.join(named, "root").select("s1", "s2", "n_shingles", "component_id", "root")
     out = signed.join(named, ["s1", "s2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.when(has, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(has, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "root", "t1", "t2")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near duplicates: of each component the document with
+    the smallest doc_id stays (null last, then the smallest text hash).
+    Documents without a shingle all stay. Rows equal in doc_id and text are
+    one document and come out once."""
+    found = stage(near_duplicates(docs, size, percent), "near-duplicates")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.xxhash64("doc_id").alias("i"), "t1", "t2")
+    by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
+    best = found.where("root is not null").groupBy("root").agg(F.min(F.struct(by_id.alias("by"), place.alias("at")))["at"]
+                                                               .alias("at")).select("at")
+    none = found.where("root is null").select(place.alias("at")).distinct()
+    keep = stage(best.unionByName(none).select(F.col("at.i").alias("_i"), F.col("at.t1").alias("_t1"),
+                                               F.col("at.t2").alias("_t2")), "kept")
+    t1, t2 = text_id("text")
+    key = ["_i", "_t1", "_t2"]
+    rows = docs.withColumns({"_i": F.xxhash64(F.col("doc_id").cast("long")), "_t1": t1, "_t2": t2})
+    return rows.join(keep, key).dropDuplicates(key).select(*docs.columns)  # grouped as joined: one exchange

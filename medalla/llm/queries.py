@@ -20,7 +20,8 @@ def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
+    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +76,9 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
     return sharding.shard_by_bytes(docs, shards=16).select(
-        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        "doc_id", "size", "text_crc32",
         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -25,7 +25,7 @@ from medalla.llm.common import stage
 ORDER = 5
 #: most n-grams kept of each language and order (the most frequent): the size
 #: that a model may reach on the driver and the executors
-MAX_NGRAMS = 400_000
+MAX_NGRAMS = 100_000
 #: characters handled at a time
 CHUNK = 1 << 20
 SPACE = 0x20
@@ -164,21 +164,19 @@ def train(docs: DataFrame, order: int = ORDER, max_ngrams: int = MAX_NGRAMS) ->
         context = F.substring("gram", 1, k - 1)
         ctx = counts.groupBy("lang", context.alias("ctx")).agg(F.sum("n").alias("total"),
                                                               F.count(F.lit(1)).alias("kinds"))
-        few = counts.groupBy("lang").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"),
-                                         F.sum((F.col("n") == 2).cast("long")).alias("n2"))
-        discount = {r.lang: min(0.95, max(0.05, r.n1 / (r.n1 + 2 * r.n2))) if r.n1 else 0.5 for r in few.collect()}
-        rows = _top(counts, max_ngrams).withColumn("ctx", context).join(ctx, ["lang", "ctx"]).toPandas()
+        one, two = (F.sum((F.col("n") == i).cast("long")) for i in (1, 2))
+        discount = counts.groupBy("lang").agg(F.when(one > 0, F.least(F.lit(0.95), F.greatest(
+            F.lit(0.05), one / (one + 2 * two)))).otherwise(F.lit(0.5)).alias("d"))
+        rows = _top(counts, max_ngrams).withColumn("ctx", context).join(ctx, ["lang", "ctx"]).join(discount, "lang")
+        rows = stage(rows, "ngrams-kept")
+        alpha = _hashed(rows.select("lang", F.col("gram").alias("text"), (
+            F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("v")), k)
+        gamma = _hashed(rows.select("lang", F.col("ctx").alias("text"), (
+            F.col("d") * F.col("kinds") / F.col("total")).alias("v")).distinct(), k - 1)
         if k == 1:
-            alphabet = max(2, rows.gram.nunique())
-        for lang, g in rows.groupby("lang"):
-            d = discount[lang]
-            grams = _points(g.gram, k)
-            alpha = np.maximum(g.n.to_numpy() - d, 0) / g.total.to_numpy()
-            c = g.drop_duplicates("ctx")
-            gamma = d * c.kinds.to_numpy() / c.total.to_numpy()
-            h, hc = hashes(grams, k), hashes(_points(c.ctx, k - 1), k - 1)
-            o, oc = np.argsort(h), np.argsort(hc)
-            levels.setdefault(lang, []).insert(0, Level(h[o], alpha[o], hc[oc], gamma[oc]))
+            alphabet = max(2, rows.select("gram").distinct().count())
+        for lang, (h, v) in alpha.items():
+            levels.setdefault(lang, []).insert(0, Level(h, v, *gamma[lang]))
         if k > 1:  # continuation counts: distinct characters before
             counts = stage(counts.groupBy("lang", F.substring("gram", 2, k - 1).alias("gram")).agg(
                 F.count(F.lit(1)).alias("n")), "ngrams")
@@ -186,6 +184,28 @@ def train(docs: DataFrame, order: int = ORDER, max_ngrams: int = MAX_NGRAMS) ->
     return Model(langs, [levels[x] for x in langs], alphabet)
 
 
+def _hashed(rows: DataFrame, k: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted hashes and values of each language in ``rows(lang, text, v)``,
+    texts of ``k`` characters. Hashed by Spark; numbers only are collected."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            points = np.frombuffer("".join(b.text).encode("utf-32-le"), np.uint32) if k else np.empty(0, np.uint32)
+            yield pd.DataFrame({"lang": b.lang, "h": hashes(points.reshape(len(b), k), k).view(np.int64),
+                                "v": b.v.astype("float32")})
+
+    out = {}
+    t = rows.mapInPandas(run, "lang string, h long, v float").toArrow()
+    names = t["lang"].combine_chunks().dictionary_encode()
+    names = names.combine_chunks() if hasattr(names, "combine_chunks") else names
+    code, h, v = names.indices.to_numpy(), t["h"].to_numpy().view(np.uint64), t["v"].to_numpy()
+    for i, lang in enumerate(names.dictionary.to_pylist()):
+        mine = code == i
+        o = np.argsort(h[mine])
+        out[lang] = h[mine][o], v[mine][o]
+    return out
+
+
 def _top(counts: DataFrame, most: int) -> DataFrame:
     """The n-grams above the count that leaves at most about ``most`` of a
     language: a histogram of counts finds it, no row is sorted."""
@@ -195,11 +215,6 @@ def _top(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(least, "lang").where("n >= least").drop("least")
 
 
-def _points(text: pd.Series, k: int) -> np.ndarray:
-    return np.frombuffer("".join(text).encode("utf-32-le"), dtype=np.uint32).reshape(len(text), k) if k else \
-        np.empty((len(text), 0), np.uint32)
-
-
 def log_probs(model: Model, chars: np.ndarray) -> np.ndarray:
     """log P(last character | those before) of (n, ORDER) n-grams under each
     language: interpolated from order 1 up."""

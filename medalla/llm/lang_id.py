@@ -298,7 +298,7 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
             .withColumns({k: F.col(f"_lid.{v}") for k, v in added.items()}).drop("_lid"))
 
 
-def calibrate(scored: DataFrame, rate: float = 0.0005, margin: float = 1.0, least: float = 0.3) -> DataFrame:
+def calibrate(scored: DataFrame, rate: float = 0.0005, margin: float = 1.0, least: float = 0.8) -> DataFrame:
     """``(lang, size_class, most_nats, rows)``: the cross-entropy above which a text
     is rejected, for each language and power of two of ``n_letters``.
 

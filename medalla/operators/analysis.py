@@ -4,35 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medalla.functions.scalar import pct
-from medalla.operators.ordering import ordered_index
-from medalla.session import bounded_broadcast
+from medalla.operators.ordering import null_safe, running_total
 from medalla.schema import ENTITY_KEYS
-
-#: rows per block of the distributed running sum
-RUNNING_SUM_BLOCK = 1 << 16
-
-
-def running_total(df: DataFrame, value: str, order: Sequence, out: str = "acumulado",
-                  index_col: str = "posicion", block: int = RUNNING_SUM_BLOCK) -> DataFrame:
-    """Running sum of ``value`` in a global order, without a single-task
-    window: rows get a global index (see ``ordered_index``), are cut into
-    blocks of ``block`` consecutive rows, block sums give block offsets (one
-    row per block), and each block's own running sum is a window over at
-    most ``block`` rows."""
-    ix = ordered_index(df, order, "_ix").withColumn("_blk", F.floor(F.col("_ix") / block))
-    sums = ix.groupBy("_blk").agg(F.sum(value).alias("_bs"))
-    offs = sums.select("_blk", F.coalesce(F.sum("_bs").over(
-        Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_boff"))
-    inner = F.sum(value).over(Window.partitionBy("_blk").orderBy("_ix")
-                              .rowsBetween(Window.unboundedPreceding, 0))
-    return (ix.join(offs, "_blk").withColumn(out, F.col("_boff") + inner)
-              .withColumn(index_col, (F.col("_ix") + 1).cast("int"))
-              .drop("_ix", "_blk", "_boff"))
-
+from medalla.session import materialize
 
 def pareto(entity: DataFrame, value: str = "total_quejas", keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
     """Pareto curve: entities by ``value`` descending (ties by key), with
@@ -60,21 +38,25 @@ def pareto_summary(entity: DataFrame, value: str = "total_quejas", top_pct: int
 
 def pivot_counts(df: DataFrame, rows: str, cols: str, values: Sequence[str]) -> DataFrame:
     """Cross tab of row counts: one row per ``rows`` value, one column per
-    listed ``cols`` value (0 where absent). The value list is explicit, so
+    listed ``cols`` value (0 where absent) and ``otros`` for all other values,
+    NULL included, so every row is counted. The value list is explicit, so
     no extra job is needed to discover it."""
-    p = df.groupBy(rows).pivot(cols, list(values)).count()
-    return p.na.fill(0, subset=list(values))
+    known = F.col(cols).isin(*values)
+    p = df.groupBy(rows).agg(*[F.count(F.when(F.col(cols) == v, 1)).alias(str(v)) for v in values],
+                             F.count(F.when(~F.coalesce(known, F.lit(False)), 1)).alias("otros"))
+    return p
 
 
 def lift(df: DataFrame, item: str = "producto", group: str = "tipo_entidad_desc") -> DataFrame:
     """For each (item, group): count, the item's share inside the group, its
     share overall, and lift = share in group / share overall. Everything
-    after the first aggregate works on the (item, group) count table."""
-    c = df.groupBy(item, group).agg(F.count(F.lit(1)).alias("quejas"))
-    g = bounded_broadcast(c.groupBy(group).agg(F.sum("quejas").alias("_g")), "lift-groups")
+    after the first aggregate reads the written (item, group) counts; NULL
+    items and groups count as any other."""
+    c = materialize(df.groupBy(item, group).agg(F.count(F.lit(1)).alias("quejas")), "lift-counts")
+    g = c.groupBy(group).agg(F.sum("quejas").alias("_g"))
     i = c.groupBy(item).agg(F.sum("quejas").alias("_i"))
     t = c.agg(F.sum("quejas")).scalar()
-    out = c.join(g, group).join(i, item)
+    out = null_safe(null_safe(c, g, [group]), i, [item])
     share_g = F.col("quejas") / F.col("_g")
     share_t = F.col("_i") / t
     return out.select(

@@ -1,162 +1,176 @@
-"""Distributed global order: row numbers and exact quantiles.
+"""Distributed global order: row numbers, running totals, exact quantiles.
 
 ``row_number() OVER (ORDER BY ...)`` without PARTITION BY makes Spark move
-every row into one task. Here the order is computed in parallel instead:
-
-0. materialise the input once into the checkpoint folder (it is an
-   aggregate, small next to the raw data): the range sampler and the
-   numbering pass then read it instead of recomputing the whole upstream
-   plan (scan, joins, parsing, aggregation) twice;
-1. range-partition the rows on the full order (the sampled range bounds split
-   even a run of equal metric values, because the order ends with the unique
-   group keys), and sort inside each partition;
-2. number the rows inside each partition (``monotonically_increasing_id``
-   puts the partition id in the upper bits and the position in the lower 33);
-3. write that numbered table as Parquet into the shared checkpoint folder
-   (``materialize``), so the numbering is fixed once and survives the loss
-   of an executor - the partition id and position are columns by then;
-4. count rows per partition - one row per partition, a table whose size is
-   bounded by the partition count - and turn the counts into start offsets;
-5. broadcast the offsets back: index = offset + position.
-
-Cost: one shuffle of the (already aggregated) input plus two writes and
-reads of it; no task ever holds more than one range partition.
-
-Size check: the materialised input's row count comes from Parquet metadata.
-Up to ``SINGLE_TASK_MAX_ROWS`` rows (a proven bound) a plain
-``row_number()`` window in one task is cheaper than steps 1-5 and is used
-instead; above it the distributed path always runs.
+every row into one task. Here the order is computed in parallel, in the same
+way at every size:
+
+1. the input (an aggregate, small next to the raw data) is written once, so
+   the range sampler and the numbering read it instead of recomputing the
+   upstream plan;
+2. rows are range-partitioned and sorted on the full order (the order ends
+   with unique keys, so a run of equal metric values is split as well);
+   ``monotonically_increasing_id`` puts the partition in the upper bits and
+   the position in the lower 33. The numbered table is written, so the
+   numbering is fixed once and survives the loss of an executor;
+3. counts (and sums) per partition become start offsets: a table of one row
+   per range partition, the only thing that is ever ordered in one task;
+4. index = offset + position.
+
+No join is forced to broadcast: Spark's byte estimates and AQE decide.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medalla.session import BROADCAST_MAX_ROWS, ensure_checkpoint_dir, materialize, shuffle_partitions
+from medalla.session import ensure_checkpoint_dir, materialize, shuffle_partitions
 
 _LOW_BITS = (1 << 33) - 1
 
-#: largest input ranked by a single-task window; larger inputs take the
-#: distributed path
-SINGLE_TASK_MAX_ROWS = 200_000
+#: accuracy of the quantile sketch: brackets hold about 8 / SKETCH of the rows
+SKETCH = 20_000
 
 
 def _as_order(cols: Sequence) -> list[Column]:
     return [F.col(c).asc() if isinstance(c, str) else c for c in cols]
 
 
-def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
-                  partitions: int | None = None, materialized: bool = False) -> DataFrame:
-    """``df`` with a 0-based global position under ``order`` (a total order
-    is expected; ties get an arbitrary but fixed order). Pass
-    ``materialized=True`` when ``df`` is already materialised."""
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys come once, from the
+    left."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys])
+    return left.join(other, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _numbered(df: DataFrame, order: Sequence, partitions: int | None, materialized: bool) -> DataFrame:
+    """``df`` with ``_part`` and ``_pos`` (position in the range partition)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or shuffle_partitions(spark)
     ordr = _as_order(order)
     src = df if materialized else materialize(df, "rank-input")
-    if src.count() <= SINGLE_TASK_MAX_ROWS:
-        # bounded input: one task sorts at most SINGLE_TASK_MAX_ROWS rows
-        return src.withColumn(index_col, F.row_number().over(Window.orderBy(*ordr)).cast("long") - 1)
-    numbered = (src.repartitionByRange(n, *ordr)
-                  .sortWithinPartitions(*ordr)
-                  .withColumn("_mid", F.monotonically_increasing_id()))
+    n = partitions or shuffle_partitions(spark)
+    numbered = (src.repartitionByRange(n, *ordr).sortWithinPartitions(*ordr)
+                .withColumn("_mid", F.monotonically_increasing_id()))
     numbered = materialize(numbered, "rank-numbered")
-    numbered = numbered.select(
-        "*",
-        F.shiftright("_mid", 33).alias("_part"),
-        F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"),
-    )
-    # one row per range partition: bounded by the partition count
+    return numbered.withColumns({"_part": F.shiftright("_mid", 33),
+                                 "_pos": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))}).drop("_mid")
+
+
+def _offset(col: str) -> Column:
+    """Sum over the partitions before: over one row per range partition."""
+    return F.coalesce(F.sum(col).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def ordered_index(df: DataFrame, order: Sequence, index_col: str = "_ix",
+                  partitions: int | None = None, materialized: bool = False) -> DataFrame:
+    """``df`` with a 0-based global position (bigint) under ``order`` (a total
+    order is expected; ties get an arbitrary but fixed order). Pass
+    ``materialized=True`` when ``df`` is a written table."""
+    numbered = _numbered(df, order, partitions, materialized)
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_part")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    return (numbered.join(F.broadcast(offsets), "_part")
-            .withColumn(index_col, F.col("_off") + F.col("_pos"))
-            .drop("_mid", "_part", "_pos", "_off"))
+    offsets = sizes.select("_part", _offset("_n").alias("_off"))
+    return (numbered.join(offsets, "_part").withColumn(index_col, F.col("_off") + F.col("_pos"))
+            .drop("_part", "_pos", "_off"))
+
+
+def running_total(df: DataFrame, value: str, order: Sequence, out: str = "acumulado",
+                  index_col: str = "posicion") -> DataFrame:
+    """Running sum of ``value`` and 1-based position in a global order: the
+    running sum inside a range partition plus the sum of those before it."""
+    numbered = _numbered(df, order, None, False)
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    offsets = sizes.select("_part", _offset("_n").alias("_off"), _offset("_s").alias("_sum"))
+    inner = F.sum(value).over(Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0))
+    return (numbered.join(offsets, "_part")
+            .withColumns({out: F.col("_sum") + inner, index_col: F.col("_off") + F.col("_pos") + 1})
+            .drop("_part", "_pos", "_off", "_sum"))
 
 
 def global_rank(df: DataFrame, order: Sequence, rank_col: str,
                 partition_by: Sequence[str] = (), materialized: bool = False) -> DataFrame:
-    """``row_number() OVER ([PARTITION BY p] ORDER BY order)`` as an int,
-    computed without a single-task window.
+    """``row_number() OVER ([PARTITION BY p] ORDER BY order)`` as a bigint,
+    without a single-task window.
 
     With ``partition_by`` the global index runs over (p, order); a group's
-    rank is its index minus the group's first index (one row per group).
+    rank is its index minus the group's first index (one row per group,
+    joined back on the group; NULL is a group like any other).
     """
     part = list(partition_by)
     full = [F.col(p).asc() for p in part] + _as_order(order)
     ix = ordered_index(df, full, "_gix", materialized=materialized)
     if not part:
-        return ix.withColumn(rank_col, (F.col("_gix") + 1).cast("int")).drop("_gix")
+        return ix.withColumn(rank_col, F.col("_gix") + 1).drop("_gix")
     starts = ix.groupBy(*part).agg(F.min("_gix").alias("_g0"))
-    # one row per group: broadcast after counting it, so a group holding a
-    # third of the rows is never shuffled into one task (above the bound,
-    # AQE's skew join splits hot keys of the shuffle join)
-    if starts.count() <= BROADCAST_MAX_ROWS:
-        starts = F.broadcast(starts)
-    return (ix.join(starts, part, "inner")
-              .withColumn(rank_col, (F.col("_gix") - F.col("_g0") + 1).cast("int"))
-              .drop("_gix", "_g0"))
+    return (null_safe(ix, starts, part).withColumn(rank_col, F.col("_gix") - F.col("_g0") + 1)
+            .drop("_gix", "_g0"))
 
 
 def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value_col`` per group
-    (numpy/pandas default, DuckDB ``quantile_cont``), distributed.
-
-    Output: (group_col, p, value). Rows are first reduced to distinct
-    (group, value) pairs with their multiplicity (a partial aggregate: for a
-    count-like metric over N rows there are at most about sqrt(2N) distinct
-    values), a distributed running total of the multiplicities in (group,
-    value) order gives every distinct value its span of positions, and the
-    two positions each (group, p) needs - a table of at most
-    2 * groups * len(probs) rows - are matched to the span containing them.
-    No group is ever gathered into one task and no row-level sort is needed.
+    (numpy/pandas default, DuckDB ``quantile_cont``): (group_col, p, value).
+
+    Two narrow passes over the rows instead of a global sort. A quantile
+    sketch gives each wanted position a bracket of values that surely holds
+    it (its rank error is bounded); the second pass counts the rows below
+    each bracket and gathers the distinct values inside, some 8 / SKETCH of
+    the rows; only those are ordered. The counts prove each bracket: one that
+    fails is replaced by the group's whole range and counted again. NULL
+    values are left out; NULL is a group like any other.
     """
-    from medalla.operators.analysis import running_total
-
-    base = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v")) \
-             .filter(F.col("_v").isNotNull())
-    counts = base.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_total(counts, "_c", ["_g", "_v"], out="_cum", index_col="_k")
-    cum = materialize(cum, "quantile-spans")
-    groups = cum.groupBy("_g").agg(F.min(F.col("_cum") - F.col("_c")).alias("_g0"), F.sum("_c").alias("_n"))
-    # the per-group tables are joined back on the group key: broadcast them
-    # when their counted size is under the bound, so a hot group's values
-    # never meet in one shuffle task
-    small = 2 * len(probs) * groups.count() <= BROADCAST_MAX_ROWS
-    bc = F.broadcast if small else (lambda d: d)
-    spans = cum.join(bc(groups.select("_g", "_g0")), "_g").select(
-        "_g", "_v",
-        (F.col("_cum") - F.col("_c") - F.col("_g0")).alias("_from"),
-        (F.col("_cum") - F.col("_g0") - 1).alias("_to"))
+    probs = [float(p) for p in probs]
+    base = (df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_v"))
+            .filter(F.col("_v").isNotNull()))
+    slack = 4.0 / SKETCH
+    asked = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-slack, slack)})
+    seen = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+                                  F.percentile_approx("_v", asked, SKETCH).alias("_q"))
     h = (F.col("_n") - 1) * F.col("p")
-    targets = (groups.select("_g", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-               .select("_g", "p",
-                       F.floor(h).cast("long").alias("_lo"),
-                       F.ceil(h).cast("long").alias("_hi"),
-                       (h - F.floor(h)).alias("_frac")))
-    wanted = targets.select(
-        F.col("_g").alias("_wg"), "p", "_frac",
-        F.explode(F.array(
-            F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("_pos")),
-            F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_pos")),
-        )).alias("t")).select("_wg", "p", "_frac", "t.side", "t._pos")
-    # equality on the group plus a range condition: a shuffle join would put
-    # all distinct values of a hot group in one task, so ``wanted`` (2 *
-    # groups * probs rows) is broadcast under the same check
-    picked = spans.join(bc(wanted), (spans["_g"] == wanted["_wg"])
-                        & (wanted["_pos"] >= spans["_from"]) & (wanted["_pos"] <= spans["_to"]))
-    agg = picked.groupBy("_g", "p").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    return agg.select(
-        F.col("_g").alias(group_col), "p",
-        (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+    wanted = seen.select("_g", "_min", "_max", "_n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("j"), F.lit(p).alias("p"),
+                 (F.col("_min") if p - slack <= 0 else F.col("_q")[asked.index(p - slack)]).alias("lo"),
+                 (F.col("_max") if p + slack >= 1 else F.col("_q")[asked.index(p + slack)]).alias("hi"))
+        for i, p in enumerate(probs)])).alias("b")).select("_g", "_min", "_max", "_n", "b.*")
+    wanted = materialize(wanted.select("_g", "j", "p", "lo", "hi", "_min", "_max", F.floor(h).cast("long").alias("_from"),
+                                       F.ceil(h).cast("long").alias("_to"), (h - F.floor(h)).alias("_frac")),
+                         "quantile-brackets")
+
+    def count(brackets: DataFrame) -> DataFrame:
+        """Distinct values in each bracket with the rows before them; a value
+        of -inf stands for all rows below the bracket."""
+        per = brackets.groupBy("_g").agg(F.collect_list(F.struct("j", "lo", "hi")).alias("_b"))
+        hit = F.filter("_b", lambda b: F.col("_v") <= b["hi"])
+        rows = null_safe(base, per, ["_g"]).select("_g", "_v", F.explode(hit).alias("b"))
+        value = F.when(F.col("_v") >= F.col("b.lo"), F.col("_v"))  # NULL: below
+        return rows.groupBy("_g", F.col("b.j").alias("j"), value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+
+    def spans(brackets: DataFrame) -> DataFrame:
+        before = F.sum("_c").over(Window.partitionBy("_g", "j").orderBy(F.col("_v").asc_nulls_first())
+                                  .rowsBetween(Window.unboundedPreceding, 0))
+        return materialize(count(brackets).withColumn("_end", before), "quantile-spans")
+
+    def proven(brackets: DataFrame, found: DataFrame) -> DataFrame:
+        ends = found.groupBy("_g", "j").agg(F.sum("_c").alias("_all"),
+                                            F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_below"))
+        return null_safe(brackets, ends, ["_g", "j"], "left").withColumn(
+            "_ok", F.coalesce((F.col("_below") <= F.col("_from")) & (F.col("_to") < F.col("_all")), F.lit(False)))
+
+    found = spans(wanted)
+    checked = materialize(proven(wanted, found).select(*wanted.columns, "_ok"), "quantile-proof")
+    if checked.where(~F.col("_ok")).limit(1).count():  # not seen within the sketch's bound
+        wide = checked.where(~F.col("_ok")).withColumns({"lo": F.col("_min"), "hi": F.col("_max")}).drop("_ok")
+        good = checked.where("_ok").select(F.col("_g"), "j")
+        found = null_safe(found, good, ["_g", "j"]).unionByName(spans(wide))
+    at = null_safe(found.where("_v is not null"), wanted.select("_g", "j", "p", "_from", "_to", "_frac"), ["_g", "j"])
+    start = F.col("_end") - F.col("_c")
+
+    def value(pos: str) -> Column:
+        return F.max(F.when((F.col(pos) >= start) & (F.col(pos) < F.col("_end")), F.col("_v")))
+
+    got = at.groupBy("_g", "j", "p", "_frac").agg(value("_from").alias("_a"), value("_to").alias("_b"))
+    return got.select(F.col("_g").alias(group_col), "p",
+                      (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("value"))

@@ -67,7 +67,7 @@ def monthly(spark: SparkSession, sf: str) -> DataFrame:
 r2, r6 = O.r2, (lambda e: O.r2(e, 6))
 _EKEYS = ", ".join(ENTITY_KEYS)
 _RANKED_ENTITY = f"""ranked_entity AS (
-  SELECT *, CAST(row_number() OVER (ORDER BY total_quejas DESC, {_EKEYS}) AS INTEGER) AS ranking_quejas
+  SELECT *, CAST(row_number() OVER (ORDER BY total_quejas DESC, {_EKEYS}) AS BIGINT) AS ranking_quejas
   FROM entity)"""
 _RANKINGS = """per AS (
   SELECT nombre_entidad, tipo_entidad_desc, count(*) AS t, count(DISTINCT producto) AS p,
@@ -81,7 +81,7 @@ st AS (
 rankings AS (
   SELECT nombre_entidad, tipo_entidad_desc, total_quejas, ranking_tipo,
          CAST(row_number() OVER (PARTITION BY ranking_tipo
-              ORDER BY total_quejas DESC, nombre_entidad, tipo_entidad_desc) AS INTEGER) AS posicion
+              ORDER BY total_quejas DESC, nombre_entidad, tipo_entidad_desc) AS BIGINT) AS posicion
   FROM st)"""
 
 
@@ -151,7 +151,7 @@ def q_normalize_year(spark, sf):
 
 @register("standardize_name", O.on_raw(r"""
 SELECT NOMBRE_ENTIDAD,
-  trim(regexp_replace(regexp_replace(upper(NOMBRE_ENTIDAD), '\s+S[.]A[.]?\s*$', ''), '\s+LTDA[.]?\s*$', '')) AS nombre_estandar,
+  trim(regexp_replace(regexp_replace(upper(NOMBRE_ENTIDAD), '\s+S\.A\.?\s*$', ''), '\s+LTDA\.?\s*$', '')) AS nombre_estandar,
   count(*) AS filas
 FROM raw GROUP BY 1, 2"""))
 def q_standardize_name(spark, sf):
@@ -288,7 +288,7 @@ SELECT producto, count(*) AS total_quejas, count(DISTINCT nombre_entidad) AS ent
   CAST(sum(CASE WHEN tipo_entidad_desc = 'SEGUROS' THEN 1 ELSE 0 END) AS BIGINT) AS quejas_seguros,
   min(anio) AS anio_inicial, max(anio) AS anio_final, count(DISTINCT periodo_mes) AS meses_con_quejas,
   {r2('count(*) * 100e0 / sum(count(*)) OVER ()')} AS porcentaje_total,
-  CAST(row_number() OVER (ORDER BY count(*) DESC, producto) AS INTEGER) AS ranking_producto
+  CAST(row_number() OVER (ORDER BY count(*) DESC, producto) AS BIGINT) AS ranking_producto
 FROM silver GROUP BY producto"""))
 def q_product_metrics(spark, sf):
     return M.product_metrics(silver(spark, sf))
@@ -627,7 +627,7 @@ def q_select_k(spark, sf):
 @register("volume_band", O.on_silver(f"""
 SELECT {_EKEYS}, total_quejas,
   CASE WHEN total_quejas < 50 THEN 'Bajo Volumen' WHEN total_quejas < 500 THEN 'Volumen Medio'
-       WHEN total_quejas < 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda_volumen
+       WHEN total_quejas <= 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda_volumen
 FROM entity""", O.ENTITY))
 def q_volume_band(spark, sf):
     return G.with_volume_band(entity(spark, sf)).select(*ENTITY_KEYS, "total_quejas", "banda_volumen")
@@ -636,7 +636,7 @@ def q_volume_band(spark, sf):
 _PARETO = f"""pareto AS (
   SELECT {_EKEYS}, total_quejas,
     CAST(sum(total_quejas) OVER o AS BIGINT) AS acumulado,
-    CAST(row_number() OVER o AS INTEGER) AS posicion,
+    CAST(row_number() OVER o AS BIGINT) AS posicion,
     {O.r2('sum(total_quejas) OVER o * 100e0 / (SELECT sum(total_quejas) FROM entity)', 4)} AS porcentaje_acumulado,
     {O.r2('row_number() OVER o * 100e0 / (SELECT count(*) FROM entity)', 4)} AS porcentaje_entidades
   FROM entity
@@ -659,7 +659,8 @@ def q_pareto_summary(spark, sf):
 
 @register("pivot_counts", O.on_silver("""
 SELECT tipo_entidad_desc, count(*) FILTER (WHERE estado = 'VIGENTES') AS VIGENTES,
-  count(*) FILTER (WHERE estado = 'RECIBIDOS') AS RECIBIDOS, count(*) FILTER (WHERE estado = 'CERRADOS') AS CERRADOS
+  count(*) FILTER (WHERE estado = 'RECIBIDOS') AS RECIBIDOS, count(*) FILTER (WHERE estado = 'CERRADOS') AS CERRADOS,
+  count(*) FILTER (WHERE coalesce(estado NOT IN ('VIGENTES', 'RECIBIDOS', 'CERRADOS'), true)) AS otros
 FROM silver GROUP BY tipo_entidad_desc"""))
 def q_pivot_counts(spark, sf):
     return A.pivot_counts(silver(spark, sf), "tipo_entidad_desc", "estado", ["VIGENTES", "RECIBIDOS", "CERRADOS"])
@@ -667,10 +668,11 @@ def q_pivot_counts(spark, sf):
 
 @register("pivot_orders", """
 SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'O') AS O,
-  count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'P') AS P
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS F,
+  count(*) FILTER (WHERE coalesce(o_orderstatus NOT IN ('O', 'F'), true)) AS otros
 FROM orders GROUP BY o_orderpriority""")
 def q_pivot_orders(spark, sf):
-    return A.pivot_counts(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["O", "F", "P"])
+    return A.pivot_counts(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["O", "F"])
 
 
 @register("share_by_orders", f"""
@@ -724,13 +726,14 @@ def q_entity_drilldown(spark, sf):
 @register("band_transitions", O.on_silver("""
 SELECT banda_origen, banda AS banda_destino, count(*) AS transiciones
 FROM (
-  SELECT banda, lag(banda) OVER (PARTITION BY nombre_entidad ORDER BY anio) AS banda_origen
+  SELECT banda, lag(banda) OVER (PARTITION BY nombre_entidad ORDER BY anio) AS banda_origen,
+    anio - lag(anio) OVER (PARTITION BY nombre_entidad ORDER BY anio) AS salto
   FROM (
     SELECT nombre_entidad, anio,
       CASE WHEN count(*) < 50 THEN 'Bajo Volumen' WHEN count(*) < 500 THEN 'Volumen Medio'
-           WHEN count(*) < 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda
+           WHEN count(*) <= 2000 THEN 'Alto Volumen' ELSE 'Volumen Crítico' END AS banda
     FROM silver GROUP BY nombre_entidad, anio) y) t
-WHERE banda_origen IS NOT NULL
+WHERE salto = 1
 GROUP BY 1, 2"""))
 def q_band_transitions(spark, sf):
     return G.band_transitions(silver(spark, sf))

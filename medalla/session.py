@@ -79,22 +79,5 @@ def materialize(df, label: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
-#: largest lookup table broadcast after its row count was checked
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df, label: str = "lookup", max_rows: int = BROADCAST_MAX_ROWS):
-    """A per-group lookup table prepared for joining back on its key: it is
-    written once (``materialize``), its row count read from the Parquet
-    metadata, and it is broadcast when that count is within ``max_rows`` -
-    so a group holding a third of the rows never meets its lookup row in a
-    single shuffle task. Above the bound Spark plans a shuffle join (with
-    AQE's skew-join splitting)."""
-    from pyspark.sql import functions as F
-
-    m = materialize(df, label)
-    return F.broadcast(m) if m.count() <= max_rows else m
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

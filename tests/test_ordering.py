@@ -3,22 +3,10 @@
 import random
 
 import numpy as np
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from medalla.operators import ordering
-from medalla.operators.analysis import running_total
-from medalla.operators.ordering import exact_quantiles, global_rank
-
-
-@pytest.fixture(autouse=True, params=["distributed", "single_task"])
-def path(request, monkeypatch):
-    """Run every test on both paths: the distributed range-partition path
-    (bound 0) and the size-checked single-task path."""
-    if request.param == "distributed":
-        monkeypatch.setattr(ordering, "SINGLE_TASK_MAX_ROWS", 0)
-    return request.param
+from medalla.operators.ordering import exact_quantiles, global_rank, running_total
 
 
 def _data(spark, n=3000, seed=7):
@@ -57,8 +45,28 @@ def test_exact_quantiles_match_numpy(spark):
 
 def test_running_total_matches_cumsum(spark):
     df = _data(spark)
-    got = running_total(df, "v", [F.col("v").desc(), F.col("k").asc()], block=97)
+    got = running_total(df, "v", [F.col("v").desc(), F.col("k").asc()])
     pdf = df.toPandas().sort_values(["v", "k"], ascending=[False, True])
     expect = dict(zip(pdf.k, pdf.v.cumsum()))
     for r in got.select("k", "acumulado", "posicion").collect():
         assert r.acumulado == expect[r.k]
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, None, 3), (3, "a", 1), (4, "a", None)], "k long, g string, v long")
+    got = {r.k: r.r for r in global_rank(df, [F.col("v").desc(), F.col("k").asc()], "r", partition_by=["g"]).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
+    q = {(r.g, r.p): r.value for r in exact_quantiles(df, "g", "v", (0.0, 0.5, 1.0)).collect()}
+    assert q == {(None, 0.0): 3.0, (None, 0.5): 4.0, (None, 1.0): 5.0, ("a", 0.0): 1.0, ("a", 0.5): 1.0, ("a", 1.0): 1.0}
+
+
+def test_quantiles_of_many_distinct_values(spark, monkeypatch):
+    """Brackets far narrower than the data, and ones that fail their proof."""
+    from medalla.operators import ordering
+
+    df = spark.range(50_000).select(F.lit("g").alias("g"), (F.hash("id") % 100_003).cast("double").alias("v"))
+    values = np.sort(df.toPandas().v.to_numpy())
+    for sketch in (2000, 10):
+        monkeypatch.setattr(ordering, "SKETCH", sketch)
+        for r in exact_quantiles(df, "g", "v", (0.01, 0.25, 0.5, 0.99)).collect():
+            assert abs(r.value - np.quantile(values, r.p)) < 1e-9

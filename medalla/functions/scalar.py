@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 
 from medalla.schema import (
     CLUSTER_LABELS,
+    CODE_FORM,
     ENTITY_TYPE_CATEGORIES,
     ENTITY_TYPE_DEFAULT,
     NA_MARKERS,
+    NAME_SUFFIX_LTDA,
+    NAME_SUFFIX_SA,
     TREND_DOWN,
     TREND_FLAT,
     TREND_UP,
     UNSPECIFIED,
     VOLUME_BAND_EDGES,
+    YEAR_DOTTED,
+    YEAR_PLAIN,
+    YEAR_RANGE,
 )
 
 
@@ -29,20 +35,24 @@ def _c(x) -> Column:
 
 
 def normalize_year(c) -> Column:
-    """Year from raw text: '2016', '2.016', '2,016', '2.02' (a re-stringified
-    2.020) and '2016.0' all give 2016; anything else gives NULL.
+    """Year from raw text: '2016', '2.016', '2,016' and '2016.0' give 2016,
+    '2.02' (a re-stringified 2.020) gives 2020; anything else gives NULL.
 
-    Values in (0, 100) are thousands-dotted years, values in [1900, 2100]
-    are plain years.
+    One digit with up to three decimals is a thousands-dotted year, four
+    digits with zero decimals a plain one; the result must lie in
+    [1900, 2100].
     """
-    v = F.regexp_replace(F.trim(_c(c).cast("string")), ",", ".").try_cast("double")
-    return (F.when((v > 0) & (v < 100), F.round(v * 1000).cast("int"))
-             .when(v.between(1900, 2100), v.cast("int")))
+    t = F.regexp_replace(F.trim(_c(c).cast("string")), ",", ".")
+    year = (F.when(t.rlike(YEAR_DOTTED), F.round(t.try_cast("double") * 1000).cast("int"))
+             .when(t.rlike(YEAR_PLAIN), F.substring(t, 1, 4).cast("int")))
+    return F.when(year.between(*YEAR_RANGE), year)
 
 
 def parse_code(c) -> Column:
-    """Integer code from raw text; 'NA', blanks and non-integers give NULL."""
-    return F.trim(_c(c).cast("string")).try_cast("int")
+    """Integer code from raw text, zero decimals allowed ('3', '03', '3.0');
+    'NA', blanks, non-integers and values beyond an int give NULL."""
+    t = F.trim(_c(c).cast("string"))
+    return F.when(t.rlike(CODE_FORM), F.regexp_extract(t, CODE_FORM, 1).try_cast("int"))
 
 
 def normalize_month(c) -> Column:
@@ -64,8 +74,7 @@ def fill_unspecified(c, markers: Iterable[str] = NA_MARKERS, default: str = UNSP
 def standardize_name(c) -> Column:
     """Upper-case name without a trailing ' S.A.' and then a trailing ' LTDA'."""
     up = F.upper(_c(c))
-    no_sa = F.regexp_replace(up, r"\s+S[.]A[.]?\s*$", "")
-    return F.trim(F.regexp_replace(no_sa, r"\s+LTDA[.]?\s*$", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(up, NAME_SUFFIX_SA, ""), NAME_SUFFIX_LTDA, ""))
 
 
 def month_start(year, month) -> Column:
@@ -110,12 +119,14 @@ def trend_label(current, previous) -> Column:
 
 def volume_band(c, edges: Sequence[int] = VOLUME_BAND_EDGES,
                 labels: Sequence[str] | None = None) -> Column:
-    """Half-open volume bands: [0, e1), [e1, e2), ..., [eN, inf)."""
+    """Volume bands [0, e1), [e1, e2), ..., [e(N-1), eN], (eN, inf): the top
+    band starts above the last edge."""
     labels = list(labels or CLUSTER_LABELS)
     if len(labels) != len(edges) + 1:
         raise ValueError("need one label more than edges")
     col = _c(c)
     expr = F.when(col < edges[0], F.lit(labels[0]))
     for i in range(1, len(edges)):
-        expr = expr.when(col < edges[i], F.lit(labels[i]))
-    return expr.when(col >= edges[-1], F.lit(labels[-1]))
+        inside = (col <= edges[i]) if i == len(edges) - 1 else (col < edges[i])
+        expr = expr.when(inside, F.lit(labels[i]))
+    return expr.when(col > edges[-1], F.lit(labels[-1]))

@@ -1,5 +1,9 @@
 """Bronze -> silver: validate, conform, and keep the rejected rows.
 
+A line that the CSV reader could not parse (its text is in ``_rescued_data``)
+is rejected first: its fields may have shifted into the wrong columns.
+A filter on conformed columns is not pushed into the bronze scan.
+
 One narrow pass (no shuffle): the raw codes are parsed once under
 temporary names, the validity rule is applied, and the 12 silver columns are
 derived in a single select. Spark resolves names case-insensitively, so the
@@ -29,11 +33,12 @@ from medalla.functions.scalar import (
     quarter_label,
     standardize_name,
 )
-from medalla.schema import SILVER_STAMP
+from medalla.schema import RAW_RESCUE, SILVER_STAMP
 
-_Y, _M, _T, _C = "anio_n", "mes_n", "tip_n", "cod_n"
+_Y, _M, _T, _C, _L = "anio_n", "mes_n", "tip_n", "cod_n", "linea_n"
 
 # reject reasons, in the order the rules are checked
+REJECT_LINE = "LINEA_CORRUPTA"
 REJECT_YEAR = "ANIO_INVALIDO"
 REJECT_MONTH = "MES_INVALIDO"
 REJECT_TYPE = "TIPO_ENTIDAD_INVALIDO"
@@ -42,8 +47,10 @@ REJECT_CODE = "CODIGO_ENTIDAD_INVALIDO"
 
 def _parsed(raw: DataFrame, year="ANIO", month="MES", etype="TIPO_ENTIDAD",
             code="CODIGO_ENTIDAD") -> DataFrame:
+    corrupt = F.col(RAW_RESCUE).isNotNull() if RAW_RESCUE in raw.columns else F.lit(False)
     return raw.select(
         "*",
+        corrupt.alias(_L),
         normalize_year(year).alias(_Y),
         normalize_month(month).alias(_M),
         parse_code(etype).alias(_T),
@@ -52,12 +59,13 @@ def _parsed(raw: DataFrame, year="ANIO", month="MES", etype="TIPO_ENTIDAD",
 
 
 def _valid() -> Column:
-    return (F.col(_Y).isNotNull() & F.col(_M).between(1, 12)
+    return (~F.col(_L) & F.col(_Y).isNotNull() & F.col(_M).between(1, 12)
             & F.col(_T).isNotNull() & F.col(_C).isNotNull())
 
 
 def _reason() -> Column:
-    return (F.when(F.col(_Y).isNull(), F.lit(REJECT_YEAR))
+    return (F.when(F.col(_L), F.lit(REJECT_LINE))
+             .when(F.col(_Y).isNull(), F.lit(REJECT_YEAR))
              .when(F.col(_M).isNull() | ~F.col(_M).between(1, 12), F.lit(REJECT_MONTH))
              .when(F.col(_T).isNull(), F.lit(REJECT_TYPE))
              .when(F.col(_C).isNull(), F.lit(REJECT_CODE)))

@@ -29,19 +29,23 @@ RAW = """raw AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 
-PARSED = """parsed AS (
-  SELECT *,
-    CASE WHEN v > 0 AND v < 100 THEN CAST(round(v * 1000) AS INTEGER)
-         WHEN v BETWEEN 1900 AND 2100 THEN CAST(v AS INTEGER) END AS anio_n,
-    TRY_CAST(trim(MES) AS INTEGER) AS mes_n,
-    TRY_CAST(trim(TIPO_ENTIDAD) AS INTEGER) AS tip_n,
-    TRY_CAST(trim(CODIGO_ENTIDAD) AS INTEGER) AS cod_n
-  FROM (SELECT *, TRY_CAST(replace(trim(ANIO), ',', '.') AS DOUBLE) AS v FROM raw) a
+# a code: whole digits, zero decimals allowed, within an int
+_CODE = r"TRY_CAST(nullif(regexp_extract(trim({c}), '^([+-]?[0-9]+)([.]0*)?$', 1), '') AS INTEGER)"
+
+PARSED = rf"""parsed AS (
+  SELECT *, CASE WHEN y BETWEEN 1900 AND 2100 THEN y END AS anio_n,
+    {_CODE.format(c='MES')} AS mes_n,
+    {_CODE.format(c='TIPO_ENTIDAD')} AS tip_n,
+    {_CODE.format(c='CODIGO_ENTIDAD')} AS cod_n
+  FROM (SELECT *,
+      CASE WHEN regexp_matches(t, '^[0-9][.][0-9]{{1,3}}$') THEN CAST(rpad(replace(t, '.', ''), 4, '0') AS INTEGER)
+           WHEN regexp_matches(t, '^[0-9]{{4}}([.]0*)?$') THEN CAST(substr(t, 1, 4) AS INTEGER) END AS y
+    FROM (SELECT *, replace(trim(ANIO), ',', '.') AS t FROM raw) a) b
 )"""
 
 SILVER = r"""silver AS (
   SELECT tip_n AS tipo_entidad_id, cod_n AS codigo_entidad,
-    trim(regexp_replace(regexp_replace(upper(NOMBRE_ENTIDAD), '\s+S[.]A[.]?\s*$', ''), '\s+LTDA[.]?\s*$', '')) AS nombre_entidad,
+    trim(regexp_replace(regexp_replace(upper(NOMBRE_ENTIDAD), '\s+S\.A\.?\s*$', ''), '\s+LTDA\.?\s*$', '')) AS nombre_entidad,
     CASE WHEN upper(trim(PRODUCTO)) = 'NA' OR PRODUCTO IS NULL THEN 'NO ESPECIFICADO' ELSE trim(PRODUCTO) END AS producto,
     CASE WHEN upper(trim(MOTIVO)) = 'NA' OR MOTIVO IS NULL THEN 'NO ESPECIFICADO' ELSE trim(MOTIVO) END AS motivo,
     trim(upper(ESTADO)) AS estado, anio_n AS anio, mes_n AS mes,

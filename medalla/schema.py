@@ -29,6 +29,16 @@ ENTITY_TYPE_CATEGORIES = (
 )
 ENTITY_TYPE_DEFAULT = "OTRA ENTIDAD FINANCIERA"
 
+#: legal-name suffixes taken off an upper-case name, in this order
+NAME_SUFFIX_SA = r"\s+S\.A\.?\s*$"
+NAME_SUFFIX_LTDA = r"\s+LTDA\.?\s*$"
+
+#: forms of a year, of a code, and the years accepted
+YEAR_DOTTED = r"^[0-9]\.[0-9]{1,3}$"
+YEAR_PLAIN = r"^[0-9]{4}(\.0*)?$"
+YEAR_RANGE = (1900, 2100)
+CODE_FORM = r"^([+-]?[0-9]+)(\.0*)?$"
+
 TYPE_BANK = "BANCO"
 TYPE_PENSION = "PENSION Y CESANTIAS"
 TYPE_INSURANCE = "SEGUROS"

@@ -70,3 +70,18 @@ def test_stamp_column(spark):
     out = conform(_raw(spark), stamp=True)
     assert out.columns[-1] == "fecha_procesamiento"
     assert out.filter("fecha_procesamiento IS NULL").count() == 0
+
+
+def test_corrupt_lines_are_rejected_first(spark, tmp_path):
+    from medalla.sources.layers import read_raw_csv
+
+    path = tmp_path / "raw.csv"
+    path.write_text("ANIO,MES,TIPO_ENTIDAD,CODIGO_ENTIDAD,NOMBRE_ENTIDAD,PRODUCTO,MOTIVO,ESTADO\n"
+                    "2016,3.0,1,7,Banco Uno,Ahorro,Fraude,VIGENTES\n"
+                    "2016,3,1,7,Banco Uno, S.A.,Ahorro,Fraude,VIGENTES\n"
+                    "2016,3,1\n"
+                    "16,3,1,7,Banco Uno,Ahorro,Fraude,VIGENTES\n")
+    raw = read_raw_csv(spark, str(path))
+    ok, bad = conform(raw).collect(), rejects(raw).collect()
+    assert [(r.anio, r.mes, r.producto) for r in ok] == [(2016, 3, "Ahorro")]
+    assert sorted(r.motivo_rechazo for r in bad) == ["ANIO_INVALIDO", "LINEA_CORRUPTA", "LINEA_CORRUPTA"]

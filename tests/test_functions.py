@@ -28,7 +28,8 @@ def test_every_year_form_normalises(spark, years):
 
 
 def test_invalid_years_are_null(spark):
-    df = spark.createDataFrame([(x,) for x in ["NA", "", " ", "abc", "2016-01", "-2.016", "0", "3000"]] + [(None,)],
+    df = spark.createDataFrame([(x,) for x in ["NA", "", " ", "abc", "2016-01", "-2.016", "0", "3000", "16", "99", "0.5", "2.0165",
+                                             "2016d", "2016.5", "1.8", "1e3", "NaN", "20160"]] + [(None,)],
                                "raw string")
     assert df.filter(S.normalize_year("raw").isNotNull()).count() == 0
 
@@ -63,10 +64,10 @@ def test_category_map(spark):
 
 
 def test_volume_band_edges(spark):
-    df = spark.createDataFrame([(v,) for v in [0, 49, 50, 499, 500, 1999, 2000, 10**6]], "v long")
+    df = spark.createDataFrame([(v,) for v in [0, 49, 50, 499, 500, 1999, 2000, 2001, 10**6]], "v long")
     got = [r.b for r in df.select(S.volume_band("v").alias("b")).collect()]
     assert got == ["Bajo Volumen", "Bajo Volumen", "Volumen Medio", "Volumen Medio", "Alto Volumen",
-                   "Alto Volumen", "Volumen Crítico", "Volumen Crítico"]
+                   "Alto Volumen", "Alto Volumen", "Volumen Crítico", "Volumen Crítico"]
 
 
 def test_month_key_and_quarter(spark):
@@ -80,3 +81,10 @@ def test_pct_divide_by_zero_is_null(spark):
     df = spark.createDataFrame([(1, 0), (1, 3)], "a long, b long")
     got = [r.p for r in df.select(S.pct("a", "b").alias("p")).collect()]
     assert got == [None, 33.33]
+
+
+def test_codes_allow_zero_decimals(spark):
+    cases = {"3": 3, " 03 ": 3, "3.0": 3, "3.": 3, "3.5": None, "NA": None, "": None, "1e1": None, "3d": None,
+             "99999999999": None, "-4": -4, None: None}
+    df = spark.createDataFrame([(c,) for c in cases], "raw string")
+    assert {r.raw: r.n for r in df.select("raw", S.parse_code("raw").alias("n")).collect()} == cases

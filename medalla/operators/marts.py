@@ -4,9 +4,8 @@ All marts are one ``groupBy().agg()`` each: Spark aggregates partially on the
 map side before the shuffle, so a hot key (one entity holding a third of the
 complaints) reaches the shuffle as a handful of partial rows. Several
 ``countDistinct`` in one aggregate become one Expand + two-level hash
-aggregate, also partial on both levels. Percentages of the table total use
-a total computed from the aggregate itself as a scalar subquery (no
-second scan of the input, no driver round trip).
+aggregate, also partial on both levels. Percentages of the table total read
+the written aggregate twice, not its input.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from medalla.schema import (
     TYPE_INSURANCE,
     TYPE_PENSION,
 )
+from medalla.session import materialize
 
 
 def distinct_count(c: str, approx: bool = False) -> Column:
@@ -49,9 +49,10 @@ def count_if(cond: Column) -> Column:
 
 
 def with_total_share(agg: DataFrame, count_col: str, out_col: str, scale: int = 2) -> DataFrame:
-    """Add round(count * 100 / sum(count), scale). The total is a scalar
-    subquery over the aggregate itself (one value, no second scan of the
-    input)."""
+    """Add round(count * 100 / sum(count), scale). The aggregate is written
+    once and read for the total (a scalar subquery) and for the rows, so the
+    input is scanned once."""
+    agg = materialize(agg, "share")
     total = agg.agg(F.sum(count_col)).scalar()
     return agg.withColumn(out_col, pct(F.col(count_col), total, scale))
 

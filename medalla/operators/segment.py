@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalla.functions.scalar import volume_band
-from medalla.session import bounded_broadcast, materialize
+from medalla.operators.ordering import null_safe
+from medalla.session import materialize
 from medalla.schema import CLUSTER_LABELS, ENTITY_FEATURES, ENTITY_KEYS
 
-#: minimum number of partitions of the K-Means input; the actual count is
-#: max(this, spark.sql.shuffle.partitions) - fixed for a given configuration,
-#: so a fixed seed gives the same model for the same data
-FIT_PARTITIONS = 8
+#: partitions of the K-Means input unless a call says otherwise: a parameter
+#: of the model like its seed, so the cluster's settings do not change it
+FIT_PARTITIONS = 32
 
 
 def entity_features(entity: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
@@ -52,13 +52,13 @@ def standardize(df: DataFrame, features: Sequence[str] = ENTITY_FEATURES, suffix
     return df.select(*keep, *[z(i, c) for i, c in enumerate(features)])
 
 
-def _stable_input(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    n = max(FIT_PARTITIONS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _stable_input(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
 def fit_segments(features_df: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20,
-                 features: Sequence[str] = ENTITY_FEATURES, keys: Sequence[str] = ENTITY_KEYS):
+                 features: Sequence[str] = ENTITY_FEATURES, keys: Sequence[str] = ENTITY_KEYS,
+                 partitions: int = FIT_PARTITIONS):
     """Fit assembler -> scaler -> K-Means; return (model, scored rows, the
     persisted fit input - unpersist it when the scored rows are done)."""
     pipe = Pipeline(stages=[
@@ -66,7 +66,7 @@ def fit_segments(features_df: DataFrame, k: int = 4, seed: int = 42, max_iter: i
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id"),
     ])
-    data = _stable_input(features_df, keys).persist()
+    data = _stable_input(features_df, keys, partitions).persist()
     model = pipe.fit(data)
     return model, model.transform(data), data
 
@@ -86,8 +86,10 @@ def segment_entities(entity: DataFrame, k: int = 4, seed: int = 42, max_iter: in
                      keys: Sequence[str] = ENTITY_KEYS, features: Sequence[str] = ENTITY_FEATURES) -> DataFrame:
     """Entity rows with ``cluster`` (0..k-1 by mean volume), ``cluster_label``
     and the standardised feature vector ``features``."""
-    _, scored, _ = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
-    return label_clusters(scored)
+    _, scored, data = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
+    out = materialize(label_clusters(scored), "segments")
+    data.unpersist()
+    return out
 
 
 def clustering_table(segmented: DataFrame, stamp: bool = False,
@@ -168,19 +170,20 @@ def peer_benchmark(entity: DataFrame, group: str = "tipo_entidad_desc", metric:
     """Each entity's metric against its peer group's mean and its ratio to
     it. The group means are a partial aggregate (skew-safe: a group holding
     a third of the entities is still pre-aggregated per partition), joined
-    back as a broadcast after its row count is checked."""
-    g = bounded_broadcast(
-        entity.groupBy(group).agg(F.avg(metric).alias("media_grupo"), F.count(F.lit(1)).alias("pares")),
-        "peer-groups")
-    return (entity.select(*keys, metric).join(g, group)
+    back on the group; NULL is a group like any other."""
+    g = entity.groupBy(group).agg(F.avg(metric).alias("media_grupo"), F.count(F.lit(1)).alias("pares"))
+    cols = list(dict.fromkeys([*keys, group, metric]))
+    out = null_safe(entity.select(*cols), g, [group]).select(group, *[c for c in cols if c != group], "media_grupo", "pares")
+    return (out
                   .withColumn("indice_vs_pares", F.round(F.col(metric) / F.col("media_grupo"), 4))
                   .withColumn("media_grupo", F.round("media_grupo", 4)))
 
 
 def band_transitions(silver: DataFrame, keys: Sequence[str] = ("nombre_entidad",),
                      year: str = "anio") -> DataFrame:
-    """Volume band of every entity per year and the count of year-to-year
-    moves (banda_origen -> banda_destino). An entity's per-year rows are at
+    """Volume band of every entity per year and the count of moves from one
+    year to the next (banda_origen -> banda_destino; a year without
+    complaints breaks the chain). An entity's per-year rows are at
     most the number of years, so the per-entity lag window is bounded."""
     keys = list(keys)
     per = silver.groupBy(*keys, year).agg(F.count(F.lit(1)).alias("total_quejas"))
@@ -188,6 +191,6 @@ def band_transitions(silver: DataFrame, keys: Sequence[str] = ("nombre_entidad",
     w = Window.partitionBy(*keys).orderBy(year)
     moves = (per.withColumn("banda_origen", F.lag("banda").over(w))
                 .withColumn("anio_origen", F.lag(year).over(w))
-                .filter(F.col("banda_origen").isNotNull()))
+                .filter(F.col(year) - F.col("anio_origen") == 1))
     return moves.groupBy("banda_origen", F.col("banda").alias("banda_destino")).agg(
         F.count(F.lit(1)).alias("transiciones"))

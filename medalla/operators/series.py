@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medalla.functions.scalar import trend_label
+from medalla.operators.ordering import null_safe
 
 
 def _w(order: str, partition_by: Sequence[str] = ()):
@@ -96,7 +97,7 @@ def fill_calendar(series: DataFrame, value_cols: Sequence[str], date_col: str =
     keys = list(partition_by)
     span = series.groupBy(*keys).agg(F.min(date_col).alias("_a"), F.max(date_col).alias("_b"))
     cal = span.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias(date_col))
-    out = cal.join(series.select(*keys, date_col, *value_cols), keys + [date_col], "left")
+    out = null_safe(cal, series.select(*keys, date_col, *value_cols), keys + [date_col], "left")
     return out.select(*keys, date_col, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in value_cols])
 
 

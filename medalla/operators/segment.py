@@ -11,6 +11,7 @@ same model for the same data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
@@ -86,8 +87,11 @@ def segment_entities(entity: DataFrame, k: int = 4, seed: int = 42, max_iter: in
                      keys: Sequence[str] = ENTITY_KEYS, features: Sequence[str] = ENTITY_FEATURES) -> DataFrame:
     """Entity rows with ``cluster`` (0..k-1 by mean volume), ``cluster_label``
     and the standardised feature vector ``features``."""
-    _, scored, data = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
-    out = materialize(label_clusters(scored), "segments")
+    model, scored, data = fit_segments(entity_features(entity, keys, features), k, seed, max_iter, features, keys)
+    centers = entity.sparkSession.createDataFrame(  # k rows
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[-1].clusterCenters())],
+        "cluster_id int, centro array<double>")
+    out = materialize(label_clusters(scored).join(F.broadcast(centers), "cluster_id"), "segments")
     data.unpersist()
     return out
 
@@ -119,17 +123,71 @@ def cluster_examples(segmented: DataFrame, n: int = 5, name: str = "nombre_entid
 
 
 def cluster_centers(segmented: DataFrame, features: Sequence[str] = ENTITY_FEATURES) -> DataFrame:
-    """Cluster centres in standardised space, one row per cluster (the mean
-    of the members' scaled vectors, which is what K-Means converged to)."""
-    arr = vector_to_array("features")
-    return segmented.groupBy("cluster").agg(
-        *[F.avg(arr.getItem(i)).alias(f"centro_{c}") for i, c in enumerate(features)])
+    """The model's cluster centres in standardised space, one row per
+    cluster that has members."""
+    return segmented.groupBy("cluster").agg(F.first("centro").alias("_c")).select(
+        "cluster", *[F.col("_c")[i].alias(f"centro_{c}") for i, c in enumerate(features)])
+
+
+def segment_checks(segmented: DataFrame, k: int = 4, n: int = 5, name: str = "nombre_entidad") -> DataFrame:
+    """Facts that hold for any right segmentation, as (control, valor):
+    entities, members nearer to another centre than to their own, clusters
+    out of the order of their mean volume, wrong labels, examples that are
+    not the true top ``n``, and whether the silhouette recomputed from its
+    definition equals the evaluator's. k rows and one aggregate each."""
+    x = vector_to_array("features")
+
+    def square(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d)
+
+    rows = segmented.select("cluster", "cluster_label", name, "total_quejas", "centro", x.alias("x"))
+    own = rows.groupBy("cluster").agg(F.first("centro").alias("centro"), F.avg("total_quejas").alias("media"),
+                                      F.first("cluster_label").alias("label"), F.count(F.lit(1)).alias("n"),
+                                      F.array(*[F.sum(F.col("x")[i]) for i in range(len(ENTITY_FEATURES))]).alias("s"),
+                                      F.sum(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)).alias("q"))
+    others = own.agg(F.collect_list(F.struct("cluster", "centro", "n", "s", "q")).alias("all"))  # k entries
+    every = rows.withColumn("all", others.scalar())
+    far = every.select(F.sum((F.array_min(F.transform("all", lambda c: square(F.col("x"), c["centro"])))
+                              < square(F.col("x"), F.col("centro")) - 1e-9).cast("long")).alias("valor"))
+    w = Window.orderBy("cluster")  # k rows
+    order = own.select((F.col("media") < F.lag("media").over(w)).alias("bad"), F.array_position(
+        F.array(*[F.lit(v) for v in CLUSTER_LABELS]), F.col("label")).alias("at"), "cluster")
+    # silhouette of squared distances: a point's mean distance to a cluster
+    # follows from the cluster's count, sum and sum of squares
+    xx = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    dist = F.transform("all", lambda c: F.struct(c["cluster"].alias("c"), c["n"].alias("n"), (
+        c["n"] * xx + c["q"] - 2 * F.aggregate(F.zip_with("x", c["s"], lambda p, q: p * q), F.lit(0.0),
+                                               lambda a, d: a + d)).alias("t")))
+    d = every.select("cluster", dist.alias("d"))
+    d = d.select(F.filter("d", lambda e: e["c"] == F.col("cluster"))[0].alias("o"), F.array_min(F.transform(F.filter(
+        "d", lambda e: e["c"] != F.col("cluster")), lambda e: e["t"] / e["n"])).alias("b"))
+    a = F.col("o.t") / (F.col("o.n") - 1)
+    s = F.when(F.col("o.n") == 1, 0.0).otherwise((F.col("b") - a) / F.greatest(a, F.col("b")))
+    equal = d.agg((F.abs(F.avg(s) - _silhouette(segmented)) < 1e-6).cast("long").alias("valor"))
+    top = cluster_examples(segmented, n, name)
+    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy(
+        F.col("total_quejas").desc(), F.col(name).asc()))).where(F.col("r") <= n)
+    bad = ranked.join(top, ["cluster", name, "total_quejas"], "left_anti")
+    parts = {
+        "entidades": rows.agg(F.count(F.lit(1)).alias("valor")),
+        "lejos_de_su_centro": far,
+        "fuera_de_orden": order.agg(F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("valor")),
+        "etiqueta_equivocada": order.agg(F.sum((F.col("at") != F.col("cluster") + 1).cast("long")).alias("valor")),
+        "ejemplos_equivocados": bad.agg(F.count(F.lit(1)).alias("valor")),
+        "silueta_igual": equal,
+    }
+    return reduce(DataFrame.unionByName, [
+        v.select(F.lit(c).alias("control"), F.col("valor").cast("bigint").alias("valor")) for c, v in parts.items()])
+
+
+def _silhouette(segmented: DataFrame) -> float:
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
+    return float(ev.evaluate(segmented))
 
 
 def cluster_quality(segmented: DataFrame) -> DataFrame:
     """Silhouette (squared Euclidean) of the segmentation as a one-row table."""
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette")
-    s = ev.evaluate(segmented)
+    s = _silhouette(segmented)
     k = segmented.select("cluster").distinct()
     return k.agg(F.count(F.lit(1)).alias("k")).select("k", F.lit(float(s)).alias("silhouette"))
 

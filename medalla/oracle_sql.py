@@ -14,16 +14,18 @@ from __future__ import annotations
 
 RAW = """raw AS (
   SELECT
-    CASE WHEN s.s_nationkey = 0 THEN 'NA' ELSE CAST(s.s_nationkey AS VARCHAR) END AS TIPO_ENTIDAD,
+    CASE WHEN s.s_nationkey = 0 THEN 'NA' ELSE CAST(s.s_nationkey AS VARCHAR) || CASE WHEN l.l_linenumber = 4 THEN '.0' ELSE '' END END AS TIPO_ENTIDAD,
     CASE WHEN l.l_suppkey % 20 = 19 THEN 'NA' ELSE CAST(l.l_suppkey AS VARCHAR) END AS CODIGO_ENTIDAD,
     s.s_name || CASE l.l_suppkey % 3 WHEN 0 THEN ' S.A.' WHEN 1 THEN ' Ltda.' ELSE '' END AS NOMBRE_ENTIDAD,
     CASE WHEN p.p_size = 1 THEN ' na ' WHEN p.p_size = 2 THEN NULL ELSE ' ' || p.p_brand || ' ' END AS PRODUCTO,
     CASE WHEN l.l_linenumber = 1 AND l.l_returnflag = 'N' THEN 'NA'
          ELSE l.l_returnflag || '-' || o.o_orderpriority END AS MOTIVO,
     CASE o.o_orderstatus WHEN 'O' THEN 'Vigentes' WHEN 'F' THEN ' Recibidos ' ELSE 'Cerrados' END AS ESTADO,
-    substr(CAST(year(l.l_shipdate) AS VARCHAR), 1, 1) || '.' || substr(CAST(year(l.l_shipdate) AS VARCHAR), 2) AS ANIO,
-    CAST(month(l.l_shipdate) AS VARCHAR) AS MES
-  FROM lineitem l
+    CASE WHEN l.l_orderkey % 211 = 0 THEN '16' ELSE
+      substr(CAST(year(l.l_shipdate) AS VARCHAR), 1, 1) || '.' || substr(CAST(year(l.l_shipdate) AS VARCHAR), 2) END AS ANIO,
+    CAST(month(l.l_shipdate) AS VARCHAR) || CASE WHEN l.l_linenumber = 3 THEN '.0' ELSE '' END AS MES
+  FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 1 + ((l_suppkey - 1) * (l_orderkey % 97)) // 97 END
+                          AS l_suppkey) FROM lineitem) l
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN orders o ON l.l_orderkey = o.o_orderkey

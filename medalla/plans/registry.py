@@ -136,7 +136,15 @@ def q_share_by_raw_type(spark, sf):
     return M.share_by(raw(spark, sf), "TIPO_ENTIDAD", "NOMBRE_ENTIDAD")
 
 
-@register("schema_profile")
+_SILVER_TYPES = [("tipo_entidad_id", "int"), ("codigo_entidad", "int"), ("nombre_entidad", "string"),
+                 ("producto", "string"), ("motivo", "string"), ("estado", "string"), ("mes", "int"),
+                 ("fecha_queja", "date"), ("periodo_mes", "string"), ("trimestre", "string"),
+                 ("tipo_entidad_desc", "string"), ("anio", "int")]  # the folder column comes last
+
+
+@register("schema_profile", O.on_silver("\nUNION ALL\n".join(
+    f"SELECT CAST({i + 1} AS INTEGER) AS posicion, '{c}' AS columna, '{t}' AS tipo, true AS nullable, "
+    f"count({c}) AS valores_no_nulos FROM silver" for i, (c, t) in enumerate(_SILVER_TYPES))))
 def q_schema_profile(spark, sf):
     return Q.schema_profile(silver(spark, sf))
 
@@ -198,11 +206,13 @@ def q_conform(spark, sf):
     return C.conform(raw(spark, sf))
 
 
-@register("conform_stamped")
+@register("conform_stamped", O.on_silver("SELECT *, true AS con_marca FROM silver"))
 def q_conform_stamped(spark, sf):
-    """Silver with the processing timestamp (P11); rows-only: a clock value
-    has no oracle."""
-    return C.conform(raw(spark, sf), stamp=True)
+    """Silver with the processing timestamp (P11), shown as whether it lies
+    within the hour: a clock value itself has no oracle."""
+    out = C.conform(raw(spark, sf), stamp=True)
+    age = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("fecha_procesamiento"))
+    return out.withColumn("con_marca", age < 3600).drop("fecha_procesamiento")
 
 
 @register("rejects", O.on_raw("""
@@ -613,6 +623,14 @@ def q_cluster_quality(spark, sf):
     return G.cluster_quality(_segmented(spark, sf))
 
 
+@register("segment_checks", O.on_silver("""
+SELECT 'entidades' AS control, count(*) AS valor FROM entity
+UNION ALL SELECT 'lejos_de_su_centro', 0 UNION ALL SELECT 'fuera_de_orden', 0 UNION ALL SELECT 'etiqueta_equivocada', 0
+UNION ALL SELECT 'ejemplos_equivocados', 0 UNION ALL SELECT 'silueta_igual', 1""", O.ENTITY))
+def q_segment_checks(spark, sf):
+    return G.segment_checks(_segmented(spark, sf))
+
+
 @register("cluster_points")
 def q_cluster_points(spark, sf):
     return G.cluster_points(_segmented(spark, sf))

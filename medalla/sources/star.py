@@ -5,11 +5,15 @@ maps one line item to one raw complaint and injects every dirty case the
 conform step has to handle: thousands-dotted years, 'NA' markers, NULLs,
 padding and legal-name suffixes.
 
-    entity  <- supplier      (name, code = suppkey, type = nation)
+    entity  <- supplier      (name, code = suppkey, type = nation); a third of
+               the orders go to supplier 1, the others are spread so that the
+               first suppliers have thousands of rows and the last a handful,
+               with years, products and reasons missing
     product <- part brand    (size 1 -> ' na ', size 2 -> NULL)
     reason  <- return flag + order priority
     state   <- order status
-    period  <- ship date
+    period  <- ship date; one order in 211 has an impossible year, every third
+               line number a month written '3.0', every fourth such a type
 """
 
 from __future__ import annotations
@@ -64,6 +68,8 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
+    li = li.withColumn("l_suppkey", F.expr(
+        "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 1 + ((l_suppkey - 1) * (l_orderkey % 97)) DIV 97 END"))
     j = (li.join(su, li.l_suppkey == su.s_suppkey)
            .join(pa, li.l_partkey == pa.p_partkey)
            .join(od, li.l_orderkey == od.o_orderkey))
@@ -71,7 +77,8 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("l_shipdate").cast("string")
     out = j.select(
         F.when(F.col("s_nationkey") == 0, F.lit("NA"))
-         .otherwise(F.col("s_nationkey").cast("string")).alias("TIPO_ENTIDAD"),
+         .otherwise(F.concat(F.col("s_nationkey").cast("string"), F.when(F.col("l_linenumber") == 4, ".0").otherwise("")))
+         .alias("TIPO_ENTIDAD"),
         F.when(F.col("l_suppkey") % 20 == 19, F.lit("NA"))
          .otherwise(F.col("l_suppkey").cast("string")).alias("CODIGO_ENTIDAD"),
         F.concat(F.col("s_name"),
@@ -87,7 +94,8 @@ def raw_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", F.lit("Vigentes"))
          .when(F.col("o_orderstatus") == "F", F.lit(" Recibidos "))
          .otherwise(F.lit("Cerrados")).alias("ESTADO"),
-        F.concat(F.substring(year, 1, 1), F.lit("."), F.substr(year, F.lit(2))).alias("ANIO"),
-        F.month("l_shipdate").cast("string").alias("MES"),
+        F.when(F.col("l_orderkey") % 211 == 0, F.lit("16"))
+         .otherwise(F.concat(F.substring(year, 1, 1), F.lit("."), F.substr(year, F.lit(2)))).alias("ANIO"),
+        F.concat(F.month("l_shipdate").cast("string"), F.when(F.col("l_linenumber") == 3, ".0").otherwise("")).alias("MES"),
     )
     return out.select(*RAW_COLUMNS)

@@ -66,6 +66,28 @@ def lift(df: DataFrame, item: str = "producto", group: str = "tipo_entidad_desc"
         F.round(share_g / share_t, 4).alias("lift"))
 
 
+def entity_products(silver: DataFrame, entity: str | None = None, name: str = "nombre_entidad",
+                    product: str = "producto") -> DataFrame:
+    """Products of one entity: its complaints, the market's, its share of the
+    product's complaints and the product's share of its own, largest first.
+    Default entity: the one with most complaints (ties by name). Everything
+    reads one written (entity, product) count table."""
+    c = materialize(silver.groupBy(name, product).agg(F.count(F.lit(1)).alias("quejas_entidad")), "entity-products")
+    if entity is None:
+        target = (c.groupBy(name).agg(F.sum("quejas_entidad").alias("_c"))
+                  .orderBy(F.col("_c").desc(), F.col(name).asc()).limit(1).select(name).scalar())
+    else:
+        target = F.lit(entity)
+    own = c.filter(F.col(name) == target)
+    market = c.groupBy(product).agg(F.sum("quejas_entidad").alias("quejas_mercado"))
+    total = own.agg(F.sum("quejas_entidad")).scalar()
+    return (null_safe(own, market, [product])
+            .select(name, product, "quejas_entidad", "quejas_mercado",
+                    pct("quejas_entidad", "quejas_mercado").alias("participacion_en_producto"),
+                    pct(F.col("quejas_entidad"), total).alias("participacion_en_entidad"))
+            .orderBy(F.col("quejas_entidad").desc(), product))
+
+
 def entity_drilldown(silver: DataFrame, entity: str | None = None, name: str = "nombre_entidad",
                      date_col: str = "fecha_queja", period: str = "periodo_mes") -> DataFrame:
     """Monthly complaints of one entity next to the whole market, with its

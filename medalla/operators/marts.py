@@ -127,7 +127,7 @@ def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja", approx: bo
 
     base = monthly_base(silver, approx=approx)
     ma = moving_average(base, "total_quejas", date_col, 3, "promedio_movil_3meses")
-    return with_trend(ma, "total_quejas", date_col, "tendencia")
+    return with_trend(ma, "total_quejas", date_col, "tendencia").orderBy(date_col)
 
 
 # ----------------------------------------------------------------- KPI table
@@ -171,7 +171,7 @@ def yearly_distribution(raw: DataFrame, year: str = "ANIO", month: str = "MES",
                .groupBy("anio").agg(
                    F.count(F.lit(1)).alias("total_quejas"),
                    F.countDistinct(entity).alias("entidades_con_quejas"),
-                   F.round(F.avg("_mes"), 1).alias("mes_promedio")))
+                   F.round(F.avg("_mes"), 1).alias("mes_promedio")).orderBy("anio"))
 
 
 def top_entities(raw: DataFrame, n: int = 10, entity: str = "NOMBRE_ENTIDAD",
@@ -188,11 +188,13 @@ def top_entities(raw: DataFrame, n: int = 10, entity: str = "NOMBRE_ENTIDAD",
 
 def share_by(df: DataFrame, by: str, entity: str | None = None, count_name: str = "total_quejas",
              entities_name: str = "cantidad_entidades", share_name: str = "porcentaje") -> DataFrame:
-    """Rows per value of ``by``, distinct entities, and share of all rows."""
+    """Rows per value of ``by``, distinct entities, and share of all rows,
+    largest first."""
     aggs = [F.count(F.lit(1)).alias(count_name)]
     if entity:
         aggs.append(F.countDistinct(entity).alias(entities_name))
-    return with_total_share(df.groupBy(by).agg(*aggs), count_name, share_name)
+    out = with_total_share(df.groupBy(by).agg(*aggs), count_name, share_name)
+    return out.orderBy(F.col(count_name).desc(), F.col(by).asc())
 
 
 def top_products(silver: DataFrame, n: int = 15, product: str = "producto") -> DataFrame:

@@ -51,8 +51,8 @@ def _unpivot(one_row: DataFrame, names: Sequence[str], fields: Sequence[str], la
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(columna, valores_nulos, porcentaje_nulos) for every column, from one
-    aggregate."""
+    """(columna, valores_nulos, porcentaje_nulos) for every column, most nulls
+    first, from one aggregate."""
     cols = [c for c in (columns or df.columns) if c != RAW_RESCUE]
     n = F.count(F.lit(1))
     aggs = [n.alias("_n")]
@@ -61,7 +61,8 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     one = df.agg(*aggs)
     one = one.select("*", *[pct(F.col(f"valores_nulos_{i}"), F.col("_n")).alias(f"porcentaje_nulos_{i}")
                             for i in range(len(cols))])
-    return _unpivot(one, cols, ["valores_nulos", "porcentaje_nulos"], "columna")
+    out = _unpivot(one, cols, ["valores_nulos", "porcentaje_nulos"], "columna")
+    return out.orderBy(F.col("valores_nulos").desc(), "columna")
 
 
 def marker_profile(df: DataFrame, columns: Sequence[str] = ("PRODUCTO", "MOTIVO"),
@@ -131,7 +132,7 @@ def date_validation(silver: DataFrame) -> DataFrame:
     ).withColumn(
         "fechas_validas",
         (F.year("primera_fecha") == F.col("anio")) & (F.year("ultima_fecha") == F.col("anio"))
-        & (F.col("meses_con_datos") <= 12) & F.col("anio").between(1900, 2100))
+        & (F.col("meses_con_datos") <= 12) & F.col("anio").between(1900, 2100)).orderBy("anio")
 
 
 def completeness(silver: DataFrame, columns: Sequence[str] = ("nombre_entidad", "producto", "motivo", "estado"),

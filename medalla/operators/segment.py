@@ -37,6 +37,16 @@ def entity_features(entity: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
     return entity.select(*keys, *features).na.drop(subset=list(features))
 
 
+def yearly_features(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, year: str = "anio") -> DataFrame:
+    """The clustering features of every entity in each year, for clusters
+    followed over time: one row per entity and year with complaints."""
+    months = F.countDistinct("periodo_mes")
+    return silver.groupBy(*keys, year).agg(
+        F.count(F.lit(1)).alias("total_quejas"), F.countDistinct("producto").alias("productos_distintos"),
+        F.countDistinct("motivo").alias("motivos_distintos"), months.alias("meses_con_quejas"),
+        F.round(F.count(F.lit(1)) / months, 2).alias("promedio_quejas_por_mes"))
+
+
 def standardize(df: DataFrame, features: Sequence[str] = ENTITY_FEATURES, suffix: str = "_z",
                 keep: Sequence[str] = (), scale: int | None = 6) -> DataFrame:
     """(x - mean) / sample std per feature (0.0 where the std is 0 or

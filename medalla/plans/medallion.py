@@ -11,9 +11,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from medalla.operators import marts, ranking
 from medalla.operators.conform import conform, rejects
+from medalla.schema import SILVER_SCHEMA, SILVER_STAMP
 from medalla.session import scratch_root  # noqa: F401  (re-exported)
 from medalla.sources.layers import read_layer, write_layer
 from medalla.sources.star import raw_from_star
@@ -30,14 +32,15 @@ def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "par
     return {table: path}."""
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, partition_by=()) -> DataFrame:
+    def put(name: str, df: DataFrame, partition_by=(), schema=None) -> DataFrame:
         p = f"{root}/{name}"
-        write_layer(df, path=p, fmt=fmt, partition_by=partition_by)
+        write_layer(df, path=p, fmt=fmt, partition_by=partition_by, schema=schema)
         paths[name] = p
         return read_layer(spark, path=p, fmt=fmt)
 
     bronze = put("quejas_financieras_raw", raw)
-    silver = put("quejas_limpias", conform(bronze, stamp=stamp), partition_silver_by)
+    declared = T.StructType([*SILVER_SCHEMA.fields, *([T.StructField(SILVER_STAMP, T.TimestampType())] if stamp else [])])
+    silver = put("quejas_limpias", conform(bronze, stamp=stamp), partition_silver_by, declared)
     # the rejects and the five gold tables only read bronze / silver: they are
     # independent jobs, submitted together so small ones share the cores
     gold = {

@@ -623,6 +623,12 @@ def q_cluster_quality(spark, sf):
     return G.cluster_quality(_segmented(spark, sf))
 
 
+@register("peer_benchmark_cluster")
+def q_peer_benchmark_cluster(spark, sf):
+    """Each entity against the others of its K-Means cluster."""
+    return G.peer_benchmark(_segmented(spark, sf), "cluster")
+
+
 @register("segment_checks", O.on_silver("""
 SELECT 'entidades' AS control, count(*) AS valor FROM entity
 UNION ALL SELECT 'lejos_de_su_centro', 0 UNION ALL SELECT 'fuera_de_orden', 0 UNION ALL SELECT 'etiqueta_equivocada', 0
@@ -741,6 +747,40 @@ def q_entity_drilldown(spark, sf):
     return A.entity_drilldown(silver(spark, sf))
 
 
+@register("entity_products", O.on_silver(f"""
+SELECT nombre_entidad, c.producto, q AS quejas_entidad, m AS quejas_mercado,
+  {r2('q * 100e0 / m')} AS participacion_en_producto, {r2('q * 100e0 / sum(q) OVER ()')} AS participacion_en_entidad
+FROM c JOIN (SELECT producto, CAST(sum(q) AS BIGINT) AS m FROM c GROUP BY producto) p USING (producto)
+WHERE nombre_entidad = (SELECT nombre_entidad FROM tgt)""", """tgt AS (
+  SELECT nombre_entidad FROM silver GROUP BY nombre_entidad ORDER BY count(*) DESC, nombre_entidad LIMIT 1),
+c AS (SELECT nombre_entidad, producto, count(*) AS q FROM silver GROUP BY 1, 2)"""))
+def q_entity_products(spark, sf):
+    return A.entity_products(silver(spark, sf))
+
+
+@register("yearly_features", O.on_silver(f"""
+SELECT {_EKEYS}, anio, count(*) AS total_quejas, count(DISTINCT producto) AS productos_distintos,
+  count(DISTINCT motivo) AS motivos_distintos, count(DISTINCT periodo_mes) AS meses_con_quejas,
+  {r2('count(*) / count(DISTINCT periodo_mes)')} AS promedio_quejas_por_mes
+FROM silver GROUP BY {_EKEYS}, anio"""))
+def q_yearly_features(spark, sf):
+    return G.yearly_features(silver(spark, sf))
+
+
+@register("catalog_roundtrip", O.on_silver("SELECT * FROM silver"))
+def q_catalog_roundtrip(spark, sf):
+    """Silver saved as a catalog table of a new database and read by name."""
+    from medalla.plans.medallion import scratch_root
+    from medalla.schema import SILVER_SCHEMA
+    from medalla.sources.layers import read_layer, write_layer
+
+    place = scratch_root(spark, "catalog")
+    db = "medalla_" + place.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{place}'")
+    write_layer(C.conform(raw(spark, sf)), table=f"{db}.quejas_limpias", partition_by=["anio"], schema=SILVER_SCHEMA)
+    return read_layer(spark, table=f"{db}.quejas_limpias")
+
+
 @register("band_transitions", O.on_silver("""
 SELECT banda_origen, banda AS banda_destino, count(*) AS transiciones
 FROM (

@@ -43,13 +43,16 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] = RAW_CO
 
 def write_layer(df: DataFrame, table: str | None = None, path: str | None = None,
                 fmt: str = "parquet", partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", schema: T.StructType | None = None) -> None:
     """Full overwrite of one layer table (schema replaced with the new one).
+    With ``schema`` the columns and types must be the declared ones.
 
     Give ``table`` to save into the session catalog, or ``path`` to write
     files. ``partition_by`` lays the files out by those columns so that a
     filter on them prunes whole folders.
     """
+    if schema is not None:
+        check_schema(df, schema)
     w = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -61,6 +64,15 @@ def write_layer(df: DataFrame, table: str | None = None, path: str | None = None
         raise ValueError("give a table name or a path")
 
 
+def check_schema(df: DataFrame, schema: T.StructType) -> None:
+    """Raises ValueError unless ``df`` has just the columns and types of
+    ``schema``, in any order."""
+    have, want = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (df.schema, schema))
+    if have != want:
+        wrong = {c: (have.get(c), want.get(c)) for c in have.keys() | want.keys() if have.get(c) != want.get(c)}
+        raise ValueError(f"layer schema differs (found, declared): {wrong}")
+
+
 def read_layer(spark: SparkSession, table: str | None = None, path: str | None = None,
                fmt: str = "parquet") -> DataFrame:
     if path is not None:

@@ -24,18 +24,9 @@ from pyspark.sql import functions as F
 from medalla.schema import RAW_COLUMNS
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table; its schema is inferred on the first read only."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A source table, its schema taken from the files as they are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -43,11 +34,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     than the cluster has cores (a small file with few row groups), so the
     per-row work after it uses every core. A large table already has many
     more splits than cores and is returned untouched (no extra shuffle)."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
-        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
     return df.repartition(cores, key) if splits < cores else df
 
 

@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def monthly_counts(events: DataFrame, ts: str, key: str, value: str | None = None) -> DataFrame:
@@ -35,8 +36,10 @@ def run_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint:
     stream until no input is left; return the result table read back.
 
     The schema is taken once from the files present (a file stream needs a
-    fixed schema); ``complete`` output + an overwriting ``foreachBatch`` keep
-    the small result table consistent and idempotent on replay."""
+    fixed schema). Each batch writes the complete small result into a folder
+    of its own below ``out_path`` (a replayed batch its old one); readers take
+    the last folder, so they never see a half-written table. Without input
+    the result is empty."""
     batch_reader = spark.read.format(fmt)
     reader = spark.readStream.format(fmt)
     if file_glob:
@@ -48,15 +51,17 @@ def run_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint:
     agg = transform(reader.load(source_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
+    spark.createDataFrame([], agg.schema).write.mode("overwrite").parquet(f"{out_path}/batch_id=-1")
     q = (agg.writeStream.outputMode("complete")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(write_batch)
             .trigger(availableNow=True)
             .start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    every = spark.read.schema(T.StructType([*agg.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(out_path)
+    return every.where(F.col("batch_id") == every.agg(F.max("batch_id")).scalar()).drop("batch_id")
 
 
 def run_monthly_counts_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str,

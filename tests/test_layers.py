@@ -48,3 +48,30 @@ def test_csv_columns_by_name(spark):
     raw.drop("MES").coalesce(1).write.option("header", True).csv(partial)
     with pytest.raises(ValueError, match="MES"):
         read_raw_csv(spark, partial)
+
+
+def test_schema_mismatch_raises(spark, tmp_path):
+    import pytest
+
+    from medalla.schema import SILVER_SCHEMA
+    from medalla.sources.layers import write_layer
+
+    df = spark.createDataFrame([], SILVER_SCHEMA)
+    write_layer(df, path=str(tmp_path / "ok"), schema=SILVER_SCHEMA)
+    for bad in (df.drop("anio"), df.withColumn("anio", df.anio.cast("string")), df.withColumn("x", df.anio)):
+        with pytest.raises(ValueError, match="layer schema differs"):
+            write_layer(bad, path=str(tmp_path / "bad"), schema=SILVER_SCHEMA)
+
+
+def test_layers_follow_their_source_files(spark, tmp_path):
+    import shutil
+
+    from conftest import SF_SMALL
+    from medalla.plans.layers import bronze_layer
+
+    for t in ("lineitem", "orders", "part", "supplier"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    n = bronze_layer(spark, str(tmp_path)).count()
+    few = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(10).toPandas()
+    few.to_parquet(tmp_path / "lineitem.parquet")
+    assert bronze_layer(spark, str(tmp_path)).count() == 10 < n

@@ -208,3 +208,18 @@ def test_pareto_top_share(spark):
     s = analysis.pareto_summary(ent).first()
     # ceil(6 * 20 / 100) = 2 entities hold 80 % of the complaints
     assert (s.entidades, s.entidades_top, s.porcentaje_quejas_top) == (6, 2, 80.0)
+
+
+def test_reports_come_sorted(spark):
+    from medalla.operators import quality
+    from medalla.sources.star import raw_from_star
+
+    raw = raw_from_star(spark, SF_SMALL)
+    silver = conform(raw)
+    for df, key in ((marts.yearly_distribution(raw), lambda r: (r.anio is not None, r.anio or 0)),
+                    (marts.share_by(raw, "TIPO_ENTIDAD"), lambda r: (-r.total_quejas, r.TIPO_ENTIDAD)),
+                    (quality.null_profile(raw), lambda r: (-r.valores_nulos, r.columna)),
+                    (quality.date_validation(silver), lambda r: r.anio),
+                    (marts.monthly_metrics(silver), lambda r: r.fecha_queja)):
+        rows = df.collect()
+        assert rows == sorted(rows, key=key) and len(rows) > 1

@@ -17,13 +17,14 @@ from medalla.llm.common import ascii_lower, stage
 WINDOW = 10
 #: lists intersected before a place is compared word for word
 LISTS = 3
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column | str) -> Column:
     """Words of a text, A-Z lowered: runs of a-z, 0-9 and beyond ASCII."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(_WORD), F.lit(0)),
-                      F.array().cast("array<string>"))
+    # the plain lower() is faster and the same on a text of ASCII only
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(ascii_lower(text))
+    return F.coalesce(F.array_remove(F.split(low, _BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def text_key(text: Column | str) -> Column:

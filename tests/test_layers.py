@@ -72,6 +72,6 @@ def test_layers_follow_their_source_files(spark, tmp_path):
     for t in ("lineitem", "orders", "part", "supplier"):
         shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
     n = bronze_layer(spark, str(tmp_path)).count()
-    few = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(10).toPandas()
-    few.to_parquet(tmp_path / "lineitem.parquet")
+    (tmp_path / "lineitem.parquet").unlink()
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(10).write.parquet(str(tmp_path / "lineitem.parquet"))
     assert bronze_layer(spark, str(tmp_path)).count() == 10 < n

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="medalla-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)

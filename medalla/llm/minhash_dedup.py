@@ -1,15 +1,18 @@
 """MinHash near duplicates by a multi-index Hamming join.
 
 A document's set of word shingles becomes a signature of SYMBOLS b-bit
-minima. Two signatures within RADIUS differing symbols must, cut into
-CHUNKS pieces, have a piece with at most RADIUS // CHUNKS = 1 difference
-(pigeonhole). So each piece is indexed once for every symbol that may be
-wrong, with that symbol left out; two signatures within the radius always
-meet in some entry. What meets is confirmed on the full shingle sets.
+minima, each under a hash order of its own. Two signatures with at most
+2 * chunks - 1 differing symbols must, cut into chunks, have one with at most
+one difference (pigeonhole). So each chunk is indexed once for every symbol
+that may be wrong, with that symbol left out; two signatures within the
+radius always meet in some entry. What meets is confirmed on the full shingle
+sets. The chunks are as wide as the Jaccard asked for allows (``width_for``).
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +25,32 @@ from medalla.llm.common import components, stage, text_id
 
 CHUNKS, WIDTH = 12, 5
 SYMBOLS = CHUNKS * WIDTH
-#: greatest signature distance looked for; every chunk with two errors or
-#: more makes 24. Sets of Jaccard 0.85 differ in 9 of 60 symbols on average
-#: (sd 2.8) and in more than 23 about once in a million.
+#: greatest signature distance looked for with chunks of WIDTH; every chunk
+#: with two errors or more makes 24
 RADIUS = 2 * CHUNKS - 1
+#: most pairs of exactly the Jaccard asked for that may be missed. Minima
+#: under independent orders differ in a binomial number of symbols whatever
+#: the size of the sets: 2.3e-6 of the pairs at 0.85 in more than 23 of 60
+#: (chunks of 5), 2.1e-7 of those at 0.80 in more than 29 (chunks of 4).
+MISSED = 5e-6
 #: texts that one task compares with each other, or two blocks of them
 BLOCK = 256
 _M = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(2).integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+_ODD = np.random.default_rng(3).integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@functools.cache
+def width_for(percent: int) -> int:
+    """The widest chunk whose radius misses at most MISSED of the pairs of
+    Jaccard ``percent`` / 100; 2 looks at every pair with an equal symbol."""
+    q = 1 - percent / 100
+    for width in range(WIDTH, 2, -1):
+        if SYMBOLS % width == 0:
+            far = range(2 * (SYMBOLS // width), SYMBOLS + 1)
+            if sum(math.comb(SYMBOLS, d) * q ** d * (1 - q) ** (SYMBOLS - d) for d in far) <= MISSED:
+                return width
+    return 2
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -51,26 +72,37 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(s)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """16-bit minima: symbol j is the low bits of the shingle nearest to seed
-    j in the order of xor, which is a random order of the hashes."""
-    if len(s) * SYMBOLS <= 1 << 20:
-        m = (s[:, None] ^ _SEEDS[None, :]).min(axis=0)
-    else:
-        m = np.array([(s ^ x).min() for x in _SEEDS])
-    with np.errstate(over="ignore"):
-        return ((m ^ _SEEDS) * _M >> np.uint64(48)).astype("<u2")
+def _mixed(s: np.ndarray, seed, odd) -> np.ndarray:
+    """The hashes in the order of one symbol, independent of the others: a
+    mere xor would keep neighbours and tie the minima of small sets."""
+    h = (s ^ seed) * odd
+    h ^= h >> np.uint64(32)
+    h *= _M
+    h ^= h >> np.uint64(29)
+    return h
 
 
-def entries(sig: np.ndarray) -> np.ndarray:
-    """The index entries of (n, SYMBOLS) signatures: a hash of each chunk
-    with one symbol left out, (n, CHUNKS * WIDTH)."""
-    c = sig.reshape(len(sig), CHUNKS, WIDTH).astype(np.uint64)
-    out = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
+def signature(s: np.ndarray) -> np.ndarray:
+    """16-bit minima: symbol j is the low bits of the smallest shingle hash
+    in the order of symbol j."""
+    with np.errstate(over="ignore"):
+        if len(s) * SYMBOLS <= 1 << 20:
+            m = _mixed(s[:, None], _SEEDS[None, :], _ODD[None, :]).min(axis=0)
+        else:
+            m = np.array([_mixed(s, x, y).min() for x, y in zip(_SEEDS, _ODD)])
+        return (m * _M >> np.uint64(48)).astype("<u2")
+
+
+def entries(sig: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """The index entries of (n, SYMBOLS) signatures: a hash of each chunk of
+    ``width`` with one symbol left out, (n, SYMBOLS)."""
+    chunks = SYMBOLS // width
+    c = sig.reshape(len(sig), chunks, width).astype(np.uint64)
+    out = np.empty((len(sig), chunks, width), np.uint64)
     with np.errstate(over="ignore"):
-        for gone in range(WIDTH):
-            h = np.arange(CHUNKS, dtype=np.uint64)[None, :] * np.uint64(WIDTH) + np.uint64(gone + 1)
-            for i in range(WIDTH):
+        for gone in range(width):
+            h = np.arange(chunks, dtype=np.uint64)[None, :] * np.uint64(width) + np.uint64(gone + 1)
+            for i in range(width):
                 if i != gone:
                     h = (h ^ c[:, :, i]) * _M
                     h ^= h >> np.uint64(31)
@@ -98,14 +130,14 @@ def sign(docs: DataFrame, size: int) -> DataFrame:
         run, "doc_id long, n_shingles long, s1 long, s2 long, sig binary, t1 long, t2 long")
 
 
-def index(signed: DataFrame) -> DataFrame:
+def index(signed: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(entry, node)``: the index entries of ``signed(node, sig)``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lo in range(0, len(b), 2048):
                 p = b.iloc[lo:lo + 2048]
-                e = entries(np.frombuffer(b"".join(p.sig), "<u2").reshape(len(p), SYMBOLS))
+                e = entries(np.frombuffer(b"".join(p.sig), "<u2").reshape(len(p), SYMBOLS), width)
                 yield pd.DataFrame({"entry": e.ravel(), "node": np.repeat(p.node.to_numpy(), e.shape[1])})
 
     return signed.select("node", "sig").mapInPandas(run, "entry long, node long")
@@ -122,7 +154,9 @@ def near_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     grows with the data. In a group the signature distance comes first, then
     the full sets, and only links that join what is not yet joined leave it.
     """
-    entry = index(nodes)
+    width = width_for(percent)
+    radius = 2 * (SYMBOLS // width) - 1
+    entry = index(nodes, width)
     low = entry.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = stage(low.where("low <> high"), "entries")
     # entries of two nodes are done; of the others every node is tied to the lowest
@@ -164,7 +198,7 @@ def near_links(nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
             to = (np.arange(len(g)) > k) if same else ~left
             to &= root != root[k]
             near = np.flatnonzero(to)
-            near = near[(sig[near] != sig[k]).sum(axis=1) <= RADIUS]
+            near = near[(sig[near] != sig[k]).sum(axis=1) <= radius]
             for m in near.tolist():
                 if root[m] == root[k]:
                     continue

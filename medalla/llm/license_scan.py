@@ -26,6 +26,59 @@ PHRASES = {
     "mit": "mit license",
 }
 
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
+        "following conditions are met <<opt>>1<<end>> redistributions of source code must retain the above copyright "
+        "notice this list of conditions and the following disclaimer <<opt>>2<<end>> redistributions in binary form must "
+        "reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+        "and or other materials provided with the distribution ")
+_BSD_DISCLAIMER = (
+    "this software is provided by <<var 12>> as is and any express or implied warranties including but not limited to "
+    "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+    "<<var 12>> be liable for any direct indirect incidental special exemplary or consequential damages including but "
+    "not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+    "otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
+_GPL_START = "<<opt>>this <<var 6>> is free software you can<<end>> redistribute it and or modify it under the terms of "
+_GPL_REST = (
+    " <<opt>>this <<var 6>> is distributed in the hope that it will be useful but without any warranty without even the "
+    "implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more "
+    "details <<opt>>you should have received a copy of the gnu general public license along with <<var 6>> if not "
+    "<<opt>>see <<opt>>http<<end>> <<opt>>https<<end>> www gnu org licenses<<end>> "
+    "<<opt>>write to the free software foundation <<opt>>inc<<end>><<end>><<end>><<end>>")
+
+
+def _gpl_headers(version: int) -> dict[str, str]:
+    """The notices of the Free Software Foundation, with the version after
+    or before its name."""
+    return {
+        f"gpl-{version}.0-header": f"{_GPL_START}the gnu general public license as published by <<var 6>> "
+                                   f"<<opt>>either<<end>> version {version} <<opt>>of the license<<end>> <<opt>>only<<end>> "
+                                   f"<<opt>>or at your option any later version<<end>>{_GPL_REST}",
+        f"gpl-{version}.0-header-fixed": f"{_GPL_START}the gnu general public license version {version} <<opt>>only<<end>> "
+                                         f"<<opt>>as published by the free software foundation<<end>>{_GPL_REST}",
+        f"gpl-{version}.0-header-of": f"{_GPL_START}version {version} of the gnu general public license <<opt>>as published "
+                                      f"by the free software foundation<<end>>{_GPL_REST}",
+    }
+
+
+def _creative_commons() -> dict[str, str]:
+    """Names and addresses of the six licences in version 4.0, and the short
+    forms that are not below."""
+    names = {"by": [""], "by-sa": ["sharealike", "share alike"], "by-nc": ["noncommercial", "non commercial"],
+             "by-nd": ["noderivatives", "noderivs"], "by-nc-sa": ["noncommercial sharealike", "non commercial share alike"],
+             "by-nc-nd": ["noncommercial noderivatives", "noncommercial noderivs"]}
+    out = {}
+    for short, wordings in names.items():
+        for i, w in enumerate(wordings):
+            out[f"cc-{short}-4.0-name" + "-other" * i] = (
+                f"creative commons attribution {w} 4.0 <<opt>>international<<end>> <<opt>>public<<end>> <<opt>>license<<end>>")
+        out[f"cc-{short}-4.0-url"] = f"creativecommons org licenses {short} 4.0"
+        if short in ("by-nd", "by-nc-sa", "by-nc-nd"):
+            out[f"cc-{short}-4.0"] = (f"licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc {short} 4.0 "
+                                      "<<opt>>international license<<end>>")
+    return out
+
+
 # Wording of public licences and notices. <<opt>> ... <<end>>
 # may be absent; <<var n>> stands for up to n words of any kind.
 TEMPLATES = {
@@ -34,7 +87,11 @@ TEMPLATES = {
     "gpl-3.0": "<<opt>>this <<var 6>> is<<end>> licensed under the <<opt>>terms of the<<end>> gnu general public "
                "license <<opt>>as published by the free software foundation<<end>> <<opt>>either<<end>> version 3",
     "apache-2.0": "licensed under the apache license version 2.0 <<opt>>the license you may not use this file except "
-                  "in compliance with the license you may obtain a copy of the license at <<var 8>><<end>>",
+                  "in compliance with the license you may obtain a copy of the license at <<var 8>> <<opt>>unless "
+                  "required by applicable law or agreed to in writing software distributed under the license is "
+                  "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+                  "see the license for the specific language governing permissions and limitations under the "
+                  "license<<end>><<end>>",
     "cc-by-4.0": "licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc by 4.0 <<opt>>international license<<end>>",
     "cc-by-sa-4.0": "licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc by sa 4.0 <<opt>>international license<<end>>",
     "cc-by-nc-4.0": "licensed under <<opt>>a<<end>> <<opt>>the<<end>> cc by nc 4.0 <<opt>>international license<<end>>",
@@ -44,12 +101,28 @@ TEMPLATES = {
                 "documentation files the software to deal in the software without restriction including without "
                 "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of "
                 "the software and to permit persons to whom the software is furnished to do so subject to the "
-                "following conditions",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-           "hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided "
-           "that the following conditions are met",
+                "following conditions the above copyright notice and this permission notice <<opt>>including the next "
+                "paragraph<<end>> shall be included in all copies or substantial portions of the software the software "
+                "is provided as is without warranty of any kind express or implied including but not limited to the "
+                "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+                "<<var 12>> be liable for any claim damages or other liability whether in an action of contract tort "
+                "or otherwise arising from out of or in connection with the software or the use or other dealings in "
+                "the software",
+    "isc": "permission to use copy modify <<opt>>and<<end>> <<opt>>or<<end>> distribute this software for any purpose "
+           "with or without fee is hereby granted provided that the above copyright notice and this permission notice "
+           "appear in all copies the software is provided as is and <<var 8>> disclaims all warranties with regard to "
+           "this software including all implied warranties of merchantability and fitness in no event shall <<var 8>> "
+           "be liable for any special direct indirect or consequential damages or any damages whatsoever resulting "
+           "from loss of use data or profits whether in an action of contract negligence or other tortious action "
+           "arising out of or in connection with the use or performance of this software",
+    "bsd-2-clause": _BSD + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD + "<<opt>>3<<end>> neither the name of <<var 12>> nor the names of <<var 8>> may be used to "
+                    "endorse or promote products derived from this software without specific prior written permission "
+                    + _BSD_DISCLAIMER,
     "all-rights-reserved": "<<opt>>copyright <<opt>>c<<end>> <<var 8>><<end>> all rights reserved",
+    **_gpl_headers(2),
+    **_gpl_headers(3),
+    **_creative_commons(),
 }
 
 _OTHER = bytes(c if c >= 0x80 or chr(c).isdigit() or chr(c).islower() else 0x20 for c in range(256))

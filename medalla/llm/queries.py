@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, sharding, suffix_dedup
+from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, quality_rules, sharding, suffix_dedup
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,14 +88,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack, op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_shard,
-                                    op10_suffix_dedup)}
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "dup_line_chars", "dup_5gram_chars", "dup_10gram_chars")
+
+
+QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack,
+                                   op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_shard,
+                                   op10_suffix_dedup, op13_quality_rules)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_ANY_WORD = r"[^\x20\x09-\x0D]+"
+
 SQL = {
     "op3_decontaminate": f"""
 with d as (select doc_id, {_WORDS} as w from documents),
@@ -150,4 +160,32 @@ select conv_id, count(*) as n_turns,
   cast(sum(length(role) + length(text) + 23 + len(regexp_extract_all(text, '{_ESCAPED}'))
        + len(regexp_extract_all(role, '{_ESCAPED}'))) as bigint) as formatted_chars
 from c group by conv_id""",
+    "op13_quality_rules": f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '{_ANY_WORD}') as w, string_split(text, chr(10)) as l from d),
+lines as (select rid, line, row_number() over (partition by rid, line) as k
+  from (select rid, unnest(l) as line from w) where regexp_matches(line, '{_ANY_WORD}')),
+dup_lines as (select rid, count(*) as n, sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) as chars
+  from lines where k > 1 group by 1),
+win as (select rid, n, unnest(range(1, len(w) - n + 2)) as i, w
+  from w, (select unnest([{quality_rules.BASE_WINDOW}, {', '.join(map(str, quality_rules.MOST_IN_NGRAMS))}]) as n) where len(w) >= n),
+seen as (select rid, n, i, count(*) over g as times, row_number() over (g order by i) as k
+  from (select rid, n, i, w[i:i + n - 1] as terms from win) window g as (partition by rid, n, terms)),
+marked as (select distinct rid, n, unnest(range(i, i + n)) as p from seen where times > 1 and (n = 3 or k > 1)),
+cover as (select rid, marked.n, count(*) as words, sum(length(w[p])) as chars from marked join w using (rid) group by all),
+c as (select w.doc_id, cast(len(w) as bigint) as n_words,
+    cast(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+    cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,
+    coalesce(dup_lines.n, 0) as n_dup_lines, cast(coalesce(dup_lines.chars, 0) as bigint) as dup_line_chars,
+    coalesce((select words from cover where cover.rid = w.rid and n = 3), 0) as n_repeat_words,
+    cast(coalesce((select chars from cover where cover.rid = w.rid and n = 5), 0) as bigint) as dup_5gram_chars,
+    cast(coalesce((select chars from cover where cover.rid = w.rid and n = 10), 0) as bigint) as dup_10gram_chars,
+    exists (select 1 from cover where cover.rid = w.rid and n > 3 and 100 * chars > (case n {' '.join(
+        f'when {n} then {most}' for n, most in quality_rules.MOST_IN_NGRAMS.items())} end) * word_chars) as over
+  from w left join dup_lines using (rid))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  not (base_failed or over or 100 * dup_line_chars > 20 * word_chars) as kept,
+  dup_line_chars, dup_5gram_chars, dup_10gram_chars
+from c""",
 }

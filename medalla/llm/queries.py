@@ -167,12 +167,15 @@ lines as (select rid, line, row_number() over (partition by rid, line) as k
   from (select rid, unnest(l) as line from w) where regexp_matches(line, '{_ANY_WORD}')),
 dup_lines as (select rid, count(*) as n, sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) as chars
   from lines where k > 1 group by 1),
-win as (select rid, n, unnest(range(1, len(w) - n + 2)) as i, w
-  from w, (select unnest([{quality_rules.BASE_WINDOW}, {', '.join(map(str, quality_rules.MOST_IN_NGRAMS))}]) as n) where len(w) >= n),
-seen as (select rid, n, i, count(*) over g as times, row_number() over (g order by i) as k
-  from (select rid, n, i, w[i:i + n - 1] as terms from win) window g as (partition by rid, n, terms)),
-marked as (select distinct rid, n, unnest(range(i, i + n)) as p from seen where times > 1 and (n = 3 or k > 1)),
-cover as (select rid, marked.n, count(*) as words, sum(length(w[p])) as chars from marked join w using (rid) group by all),
+words as (select rid, p, w[p] as word, length(w[p]) as chars from (select rid, w, unnest(range(1, len(w) + 1)) as p from w)),
+nums as (select word, row_number() over () as num from (select distinct word from words)),
+ids as (select rid, p, chars, num from words join nums using (word)),
+win as (select rid, p, {', '.join(f'lead(num, {j}) over r as a{j}' for j in range(10))} from ids window r as (partition by rid order by p)),
+seen as ({' union all '.join(f"""select rid, {n} as n, p, count(*) over (partition by rid, {', '.join(f'a{j}' for j in range(n))}) as times,
+  row_number() over (partition by rid, {', '.join(f'a{j}' for j in range(n))} order by p) as k from win where a{n - 1} is not null"""
+     for n in (quality_rules.BASE_WINDOW, *quality_rules.MOST_IN_NGRAMS))}),
+marked as (select distinct rid, n, unnest(range(p, p + n)) as p from seen where times > 1 and (n = 3 or k > 1)),
+cover as (select rid, n, count(*) as words, sum(chars) as chars from marked join ids using (rid, p) group by all),
 c as (select w.doc_id, cast(len(w) as bigint) as n_words,
     cast(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
     cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, quality_rules, sharding, suffix_dedup
+from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, prefix_trie, quality_rules, sharding, suffix_dedup
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +88,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.quality(docs).select(
@@ -97,7 +101,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack,
                                    op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_shard,
-                                   op10_suffix_dedup, op13_quality_rules)}
+                                   op10_suffix_dedup, op12_prefix_trie, op13_quality_rules)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 
@@ -106,6 +110,15 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 
 _ANY_WORD = r"[^\x20\x09-\x0D]+"
 
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: cast(ascii(c) as bigint))), "
+            "lambda a, b: list_reduce(list_prepend(xor(a, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), "
+            "lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+
+
+
 SQL = {
     "op3_decontaminate": f"""
 with d as (select doc_id, {_WORDS} as w from documents),
@@ -160,6 +173,25 @@ select conv_id, count(*) as n_turns,
   cast(sum(length(role) + length(text) + 23 + len(regexp_extract_all(text, '{_ESCAPED}'))
        + len(regexp_extract_all(role, '{_ESCAPED}'))) as bigint) as formatted_chars
 from c group by conv_id""",
+    "op12_prefix_trie": f"""
+with t as (select conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) as x,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos
+  from conversations where conv_id is not null),
+own as (select conv_id, list(x order by pos) as ts from t group by 1),
+h as (select *, {_crc32('cast(conv_id as varchar)')} % 4 as h from own),
+s as (select h.conv_id, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) as ts
+  from h left join own b on b.conv_id = h.conv_id - h.conv_id % 20),
+m as (select conv_id, ts[1:d] as p, d, d = len(ts) as ends from (select *, unnest(range(0, len(ts) + 1)) as d from s)),
+n as (select p, d, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from m group by p, d),
+k as (select n.*, (select count(*) from n c where c.d = n.d + 1 and c.p[1:n.d] = n.p) as n_children,
+    case when d > 0 then (n_convs - 1) * len(regexp_extract_all(p[d].t, '{_ANY_WORD}')) else 0 end as saved from n),
+u as (select p[1:a] as p, a as d, sum(saved) as saved, count(*) filter (n_children = 0) as leaves
+  from (select *, unnest(range(0, d + 1)) as a from k) group by 1, 2)
+select k.conv_id, k.d as depth, o.conv_id as parent_conv_id, k.n_convs, k.n_children, u.leaves as n_leaves,
+  cast(u.saved as bigint) as saved_tokens, k.ends_sha256
+from k join u on u.d = k.d and u.p = k.p left join n o on o.d = k.d - 1 and o.p = k.p[1:k.d - 1]""",
     "op13_quality_rules": f"""
 with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
 w as (select *, regexp_extract_all(text, '{_ANY_WORD}') as w, string_split(text, chr(10)) as l from d),

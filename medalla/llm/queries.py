@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.llm import chat_format, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, prefix_trie, quality_rules, sharding, suffix_dedup
+from medalla.llm import chat_format, conversation_repair, decontaminate, embedding_dedup, lang_id, license_scan, line_dedup, minhash_dedup, packing, prefix_trie, quality_rules, sharding, suffix_dedup
 from medalla.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +88,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(read(spark, sf_dir, "conversations"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
@@ -101,7 +105,8 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_lang_id, op2_minhash, op3_decontaminate, op4_chat_format, op5_pack,
                                    op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_shard,
-                                   op10_suffix_dedup, op12_prefix_trie, op13_quality_rules)}
+                                   op10_suffix_dedup, op11_conversation_repair, op12_prefix_trie,
+                                   op13_quality_rules)}
 
 _ESCAPED = r"[<](?:\x{2060}*)(?:/?s>|[|](?:turn|text|end|im_start|im_end|endoftext|system|user|assistant|eot_id|begin_of_text|start_header_id|end_header_id)[|]>)|\[(?:\x{2060}*)/?INST\]"
 

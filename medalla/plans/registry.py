@@ -9,6 +9,7 @@ K-Means family, schema metadata) are checked on invariants in the tests.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -834,6 +835,59 @@ def q_monthly_counts_stream(spark, sf):
     return out.withColumn("valor_total", F.round("valor_total", 6))
 
 
+def _event_time_sql(rows: str, end: str, delay: str, keys: str) -> tuple[str, str]:
+    """Body and CTEs; ``rows``: a query with ``arrival, periodo``, the keys."""
+    ctes = f"""r AS (SELECT *, {end} AS cierre FROM ({rows})),
+marks AS (SELECT arrival, max(max(cierre)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            - INTERVAL '{delay}' AS mark, max(max(cierre)) OVER () - INTERVAL '{delay}' AS final FROM r GROUP BY arrival)"""
+    return f"""
+SELECT CASE WHEN mark IS NOT NULL AND cierre <= mark THEN 'tarde' WHEN cierre <= final THEN 'cerrado' ELSE 'abierto' END AS estado,
+  CAST(periodo AS DATE) AS periodo, {keys}, count(*) AS eventos
+FROM r JOIN marks USING (arrival) GROUP BY ALL""", ctes
+
+
+def _event_time(spark, rows: DataFrame, ts: str, keys: list[str], folders, **kw) -> DataFrame:
+    from medalla.plans.medallion import scratch_root
+    from medalla.streaming.event_time import END, EventTimeCounts, _start, arrivals
+
+    root = scratch_root(spark, "event-time")
+    schema = rows.drop("arrival").schema
+    spark.createDataFrame([], schema).write.parquet(f"{root}/landing")
+    counts = EventTimeCounts(spark, f"{root}/landing", f"{root}/tables", schema, ts, keys, **kw)
+    arrivals(counts, rows, "arrival", folders)
+    late = counts.late().withColumn("periodo", _start(kw["unit"])).drop(END).groupBy("periodo", *keys).agg(
+        F.count(F.lit(1)).alias("eventos"))
+    parts = {"cerrado": counts.closed(), "tarde": late, "abierto": counts.open_periods()}
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("estado"), "periodo", *keys, "eventos") for name, df in parts.items()])
+
+
+# a refresh every ten days; every 17th event lands ten days late
+_EV_ARRIVAL = "CAST(day(ts) + CASE WHEN event_id % 17 = 0 THEN 10 ELSE 0 END AS INTEGER)"
+
+
+@register("late_events_stream", O.with_ctes(*_event_time_sql(
+    f"SELECT ({_EV_ARRIVAL} - 1) // 10 AS arrival, date_trunc('day', ts) AS periodo, event_type FROM events",
+    "periodo + INTERVAL 1 DAY", "3 days", "event_type")))
+def q_late_events_stream(spark, sf):
+    rows = read_table(spark, sf, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.floor((F.expr(_EV_ARRIVAL) - 1) / 10).alias("arrival"))
+    return _event_time(spark, rows, "ts", ["event_type"], range(5), unit="day", delay="3 days")
+
+
+# one refresh for every four years; every seventh entity sends the last quarters a refresh late
+_CQ_ARRIVAL = "anio + CASE WHEN codigo_entidad % 7 = 0 AND mes > 9 THEN 4 ELSE 0 END"
+
+
+@register("late_complaints_stream", O.on_silver(*_event_time_sql(
+    f"SELECT CAST(floor(({_CQ_ARRIVAL} - 1992) / 4) AS INTEGER) AS arrival, fecha_queja AS periodo, tipo_entidad_desc FROM silver",
+    "CAST(periodo AS TIMESTAMP) + INTERVAL 1 MONTH", "35 days", "tipo_entidad_desc")))
+def q_late_complaints_stream(spark, sf):
+    rows = silver(spark, sf).select(F.col("fecha_queja").cast("timestamp").alias("fecha"), "tipo_entidad_desc",
+                                    F.floor((F.expr(_CQ_ARRIVAL) - 1992) / 4).alias("arrival"))
+    return _event_time(spark, rows, "fecha", ["tipo_entidad_desc"], range(4), unit="month", delay="35 days")
+
+
 # ======================================= generic operators on other tables
 _LI_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 

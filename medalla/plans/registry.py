@@ -20,6 +20,7 @@ from medalla.functions import scalar as S
 from medalla.operators import analysis as A
 from medalla.operators import conform as C
 from medalla.operators import eda as E
+from medalla.operators import evolution as V
 from medalla.operators import marts as M
 from medalla.operators import quality as Q
 from medalla.operators import ranking as R
@@ -821,6 +822,35 @@ def q_document_terms(spark, sf):
     return X.term_counts(read_table(spark, sf, "documents"), "text", "lang", 20)
 
 
+# ====================================================== clusters over time
+def evolution(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return V.cluster_evolution(silver(spark, sf))
+
+
+_EY = f"ey AS (SELECT DISTINCT {', '.join(ENTITY_KEYS)}, anio FROM silver)"
+_EY_ON = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in ENTITY_KEYS)
+
+
+@register("evolution_checks", O.on_silver(f"""
+SELECT 'entidades_anio' AS control, count(*) AS valor FROM ey
+UNION ALL SELECT 'entidades_en_ambos_anios', count(*) FROM ey a JOIN ey b ON b.anio = a.anio + 1 AND {_EY_ON}
+UNION ALL SELECT 'lejos_de_su_centro', 0
+UNION ALL SELECT 'filas_sin_100', 0
+UNION ALL SELECT 'emparejamientos_superados', 0""", _EY))
+def q_evolution_checks(spark, sf):
+    return V.evolution_checks(*evolution(spark, sf))
+
+
+@register("cluster_transitions")
+def q_cluster_transitions(spark, sf):
+    return V.track_transitions(evolution(spark, sf)[0])
+
+
+@register("cluster_tracks")
+def q_cluster_tracks(spark, sf):
+    return V.track_profile(*evolution(spark, sf))
+
+
 # =============================================================== streaming
 @register("monthly_counts_stream", f"""
 SELECT make_date(year(ts), month(ts), 1) AS mes, event_type, count(*) AS eventos,

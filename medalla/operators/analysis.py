@@ -70,7 +70,8 @@ def entity_products(silver: DataFrame, entity: str | None = None, name: str = "n
                     product: str = "producto") -> DataFrame:
     """Products of one entity: its complaints, the market's, its share of the
     product's complaints and the product's share of its own, largest first.
-    Default entity: the one with most complaints (ties by name). Everything
+    Default entity: the one with most complaints (ties by name); the rows
+    without a name are an entity like any other. Everything
     reads one written (entity, product) count table."""
     c = materialize(silver.groupBy(name, product).agg(F.count(F.lit(1)).alias("quejas_entidad")), "entity-products")
     if entity is None:
@@ -78,7 +79,7 @@ def entity_products(silver: DataFrame, entity: str | None = None, name: str = "n
                   .orderBy(F.col("_c").desc(), F.col(name).asc()).limit(1).select(name).scalar())
     else:
         target = F.lit(entity)
-    own = c.filter(F.col(name) == target)
+    own = c.filter(F.col(name).eqNullSafe(target))
     market = c.groupBy(product).agg(F.sum("quejas_entidad").alias("quejas_mercado"))
     total = own.agg(F.sum("quejas_entidad")).scalar()
     return (null_safe(own, market, [product])
@@ -100,9 +101,9 @@ def entity_drilldown(silver: DataFrame, entity: str | None = None, name: str = "
         target = F.lit(entity)
     market = (silver.groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_mercado"))
                     .withColumn(name, target))
-    own = (silver.filter(F.col(name) == target)
-                 .groupBy(name, date_col, period).agg(F.count(F.lit(1)).alias("quejas_entidad")))
-    out = market.join(own, [name, date_col, period], "left")
+    own = (silver.filter(F.col(name).eqNullSafe(target))
+                 .groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_entidad")))
+    out = null_safe(market, own, [date_col, period], "left")
     return out.select(name, date_col, period,
                       F.coalesce("quejas_entidad", F.lit(0).cast("bigint")).alias("quejas_entidad"),
                       "quejas_mercado",

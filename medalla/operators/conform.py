@@ -79,9 +79,9 @@ def _keep_where(df: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
 
 def conform(raw: DataFrame, stamp: bool = False, year="ANIO", month="MES",
             etype="TIPO_ENTIDAD", code="CODIGO_ENTIDAD", name="NOMBRE_ENTIDAD",
-            product="PRODUCTO", reason="MOTIVO", state="ESTADO") -> DataFrame:
+            product="PRODUCTO", reason="MOTIVO", state="ESTADO", keep=()) -> DataFrame:
     """Accepted rows in the silver shape (12 columns, plus the processing
-    timestamp when ``stamp``)."""
+    timestamp when ``stamp`` and the columns ``keep`` of the raw rows)."""
     p = _parsed(raw, year, month, etype, code)
     date = month_start(_Y, _M)
     cols = [
@@ -97,6 +97,7 @@ def conform(raw: DataFrame, stamp: bool = False, year="ANIO", month="MES",
         month_key(_Y, _M).alias("periodo_mes"),
         quarter_label(date).alias("trimestre"),
         categorize(_T).alias("tipo_entidad_desc"),
+        *map(F.col, keep),
     ]
     out = _keep_where(p, F.coalesce(_valid(), F.lit(False)), cols)
     if stamp:

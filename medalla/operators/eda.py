@@ -24,17 +24,23 @@ def to_long(df: DataFrame, columns: Sequence[str], name_col: str = "metrica",
         F.struct(F.lit(c).alias(name_col), F.col(c).cast("double").alias(value_col)) for c in columns])))
 
 
-def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, scale: int = 6) -> DataFrame:
+def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, scale: int | None = 6) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column:
-    one row per column (floating results rounded to ``scale`` places).
-
-    The mean is an exact decimal sum divided by the count: a double sum
-    depends on the order rows are added in (so on the partitioning), and a
-    mean of few-decimal data often lies exactly on a rounding boundary."""
+    one row per column (floating results rounded to ``scale`` places, or not
+    at all for None).
+
+    Where every value is a decimal of at most ten places below 10^15, the mean
+    is an exact decimal sum divided by the count: a double sum depends on the
+    order rows are added in (so on the partitioning), and a mean of
+    few-decimal data often lies exactly on a rounding boundary. Else (very
+    large, very small or many-digit doubles, NaN, infinities) it is the mean
+    of the doubles."""
     long = to_long(df, columns)
+    exact = F.when(F.abs("valor") < 1e15, F.col("valor")).cast("decimal(38,10)")
+    whole = F.count(F.when(exact.cast("double") == F.col("valor"), 1)) == F.count("valor")
     basic = long.groupBy("metrica").agg(
         F.count("valor").alias("conteo"),
-        (F.sum(F.col("valor").cast("decimal(38,10)")) / F.count("valor")).alias("media"),
+        F.when(whole, (F.sum(exact) / F.count("valor")).cast("double")).otherwise(F.avg("valor")).alias("media"),
         F.stddev_samp("valor").alias("desviacion"), F.min("valor").alias("minimo"),
         F.max("valor").alias("maximo"))
     q = exact_quantiles(long, "metrica", "valor", (0.25, 0.5, 0.75))
@@ -42,7 +48,7 @@ def describe_metrics(df: DataFrame, columns: Sequence[str] = ENTITY_FEATURES, sc
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("p50"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("p75"))
-    r = lambda c: F.round(c, scale).cast("double").alias(c)
+    r = lambda c: F.col(c) if scale is None else F.round(c, scale).cast("double").alias(c)
     return basic.join(qw, "metrica", "left").select(
         "metrica", "conteo", r("media"), r("desviacion"), "minimo", r("p25"), r("p50"), r("p75"), "maximo")
 
@@ -57,11 +63,15 @@ def key_percentiles(df: DataFrame, columns: Sequence[str] = ("total_quejas", "pr
 def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 6) -> DataFrame:
     """Equal-width histogram like numpy's: bins over [min, max], the last
     bin closed, min = max widened to +/- 0.5. All bins are returned, empty
-    ones with 0, plus log10 of the count (NULL for 0).
+    ones with 0, plus log10 of the count (NULL for 0). NaN and infinities
+    take no part in the range; if there are any, a last row without a bin
+    counts them.
 
     Two aggregates: (min, max) as a scalar subquery, then per-bin counts;
     both partial, and the output has ``bins`` rows."""
-    v = F.col(column).cast("double")
+    every = F.col(column).cast("double")
+    finite = F.abs(every) < float("inf")  # false for NaN: Spark orders it last
+    v = F.when(finite, every)
     mn, mx = F.min(v), F.max(v)
     rng = df.agg(F.struct(F.when(mn == mx, mn - 0.5).otherwise(mn).alias("lo"),
                           F.when(mn == mx, mx + 0.5).otherwise(mx).alias("hi"))).scalar()
@@ -69,6 +79,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 6) -> Dat
     b = F.least(F.floor((v - lo) * F.lit(bins) / (hi - lo)).cast("int"), F.lit(bins - 1))
     counts = (df.select(column).filter(F.col(column).isNotNull())
                 .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("frecuencia")))
+    odd = counts.where("bin is null").select("bin", *[F.lit(None).cast("double").alias(c) for c in (
+        "limite_inferior", "limite_superior")], "frecuencia")
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"),
                                               lo.alias("_lo"), hi.alias("_hi"))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
@@ -77,7 +89,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 6) -> Dat
         F.round(F.col("_lo") + F.col("bin") * w, scale).alias("limite_inferior"),
         F.round(F.when(F.col("bin") == bins - 1, F.col("_hi"))
                  .otherwise(F.col("_lo") + (F.col("bin") + 1) * w), scale).alias("limite_superior"),
-        F.coalesce(F.col("frecuencia"), F.lit(0).cast("bigint")).alias("frecuencia"))
+        F.coalesce(F.col("frecuencia"), F.lit(0).cast("bigint")).alias("frecuencia")).unionByName(odd)
     return out.withColumn("log10_frecuencia", F.when(
         F.col("frecuencia") > 0, F.round(F.log10(F.col("frecuencia").cast("double")), scale)))
 

@@ -5,7 +5,8 @@ map side before the shuffle, so a hot key (one entity holding a third of the
 complaints) reaches the shuffle as a handful of partial rows. Several
 ``countDistinct`` in one aggregate become one Expand + two-level hash
 aggregate, also partial on both levels. Percentages of the table total read
-the written aggregate twice, not its input.
+the written aggregate twice, not its input. The marts also take a count cube
+(operators/cube): ``weight`` names its count column.
 """
 
 from __future__ import annotations
@@ -43,9 +44,15 @@ def distinct_count(c: str, approx: bool = False) -> Column:
     return F.approx_count_distinct(c, rsd=0.01) if approx else F.countDistinct(c)
 
 
-def count_if(cond: Column) -> Column:
+def row_count(weight: str | None = None) -> Column:
+    """Rows, or with ``weight`` the rows that the input's rows stand for (a
+    count column, as in a count cube)."""
+    return F.coalesce(F.sum(weight), F.lit(0).cast("long")) if weight else F.count(F.lit(1))
+
+
+def count_if(cond: Column, weight: str | None = None) -> Column:
     """sum(when(cond, 1).otherwise(0)): a bigint count of rows meeting cond."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
+    return F.sum(F.when(cond, F.col(weight) if weight else F.lit(1)).otherwise(F.lit(0)))
 
 
 def with_total_share(agg: DataFrame, count_col: str, out_col: str, scale: int = 2) -> DataFrame:
@@ -63,20 +70,20 @@ def _order_desc(metric: str, keys: Sequence[str]) -> list:
 
 # ---------------------------------------------------------------- entity mart
 def entity_metrics(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, rank: bool = True,
-                   approx: bool = False) -> DataFrame:
+                   approx: bool = False, weight: str | None = None) -> DataFrame:
     """One row per entity: volume, diversity, first/last month, months with
     complaints, open/received counts, mean per active month and rank."""
     keys = list(keys)
     agg = silver.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_quejas"),
+        row_count(weight).alias("total_quejas"),
         distinct_count("producto", approx).alias("productos_distintos"),
         distinct_count("motivo", approx).alias("motivos_distintos"),
         F.min("fecha_queja").alias("primera_queja"),
         F.max("fecha_queja").alias("ultima_queja"),
         distinct_count("periodo_mes", approx).alias("meses_con_quejas"),
-        count_if(F.col("estado") == STATE_OPEN).alias("quejas_vigentes"),
-        count_if(F.col("estado") == STATE_RECEIVED).alias("quejas_recibidas"),
-        F.round(F.count(F.lit(1)) / distinct_count("periodo_mes", approx), 2).alias("promedio_quejas_por_mes"),
+        count_if(F.col("estado") == STATE_OPEN, weight).alias("quejas_vigentes"),
+        count_if(F.col("estado") == STATE_RECEIVED, weight).alias("quejas_recibidas"),
+        F.round(row_count(weight) / distinct_count("periodo_mes", approx), 2).alias("promedio_quejas_por_mes"),
     )
     if not rank:
         return agg
@@ -85,14 +92,14 @@ def entity_metrics(silver: DataFrame, keys: Sequence[str] = ENTITY_KEYS, rank: b
 
 # --------------------------------------------------------------- product mart
 def product_metrics(silver: DataFrame, product: str = "producto", rank: bool = True,
-                    approx: bool = False) -> DataFrame:
+                    approx: bool = False, weight: str | None = None) -> DataFrame:
     agg = silver.groupBy(product).agg(
-        F.count(F.lit(1)).alias("total_quejas"),
+        row_count(weight).alias("total_quejas"),
         distinct_count("nombre_entidad", approx).alias("entidades_afectadas"),
         distinct_count("motivo", approx).alias("motivos_distintos"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_BANK).alias("quejas_bancos"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_PENSION).alias("quejas_pensiones"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE).alias("quejas_seguros"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_BANK, weight).alias("quejas_bancos"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_PENSION, weight).alias("quejas_pensiones"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE, weight).alias("quejas_seguros"),
         F.min("anio").alias("anio_inicial"),
         F.max("anio").alias("anio_final"),
         distinct_count("periodo_mes", approx).alias("meses_con_quejas"),
@@ -104,20 +111,22 @@ def product_metrics(silver: DataFrame, product: str = "producto", rank: bool = T
 
 
 # --------------------------------------------------------------- monthly mart
-def monthly_base(silver: DataFrame, keys: Sequence[str] = MONTH_KEYS, approx: bool = False) -> DataFrame:
+def monthly_base(silver: DataFrame, keys: Sequence[str] = MONTH_KEYS, approx: bool = False,
+                 weight: str | None = None) -> DataFrame:
     return silver.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_quejas"),
+        row_count(weight).alias("total_quejas"),
         distinct_count("nombre_entidad", approx).alias("entidades_con_quejas"),
         distinct_count("producto", approx).alias("productos_distintos"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_BANK).alias("quejas_bancos"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_PENSION).alias("quejas_pensiones"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE).alias("quejas_seguros"),
-        count_if(F.col("estado") == STATE_OPEN).alias("quejas_vigentes"),
-        count_if(F.col("estado") == STATE_RECEIVED).alias("quejas_recibidas"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_BANK, weight).alias("quejas_bancos"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_PENSION, weight).alias("quejas_pensiones"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_INSURANCE, weight).alias("quejas_seguros"),
+        count_if(F.col("estado") == STATE_OPEN, weight).alias("quejas_vigentes"),
+        count_if(F.col("estado") == STATE_RECEIVED, weight).alias("quejas_recibidas"),
     )
 
 
-def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja", approx: bool = False) -> DataFrame:
+def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja", approx: bool = False,
+                    weight: str | None = None) -> DataFrame:
     """Monthly mart with the trailing 3-month mean and the trend label.
 
     The series has one row per calendar month present, so its window runs
@@ -125,22 +134,22 @@ def monthly_metrics(silver: DataFrame, date_col: str = "fecha_queja", approx: bo
     """
     from medalla.operators.series import moving_average, with_trend
 
-    base = monthly_base(silver, approx=approx)
+    base = monthly_base(silver, approx=approx, weight=weight)
     ma = moving_average(base, "total_quejas", date_col, 3, "promedio_movil_3meses")
     return with_trend(ma, "total_quejas", date_col, "tendencia").orderBy(date_col)
 
 
 # ----------------------------------------------------------------- KPI table
 def kpi_table(silver: DataFrame, entity: str = "nombre_entidad", product: str = "producto",
-              stamp: bool = False) -> DataFrame:
+              stamp: bool = False, weight: str | None = None) -> DataFrame:
     """Six dashboard KPIs from ONE aggregate over silver, unpivoted to rows
     (kpi_nombre, kpi_valor, kpi_categoria, kpi_descripcion)."""
     a = silver.agg(
-        F.count(F.lit(1)).alias("n"),
+        row_count(weight).alias("n"),
         F.countDistinct(entity).alias("ents"),
         F.countDistinct(product).alias("prods"),
-        count_if(F.col("tipo_entidad_desc") == TYPE_BANK).alias("banks"),
-        count_if(F.col("estado") == STATE_OPEN).alias("open"),
+        count_if(F.col("tipo_entidad_desc") == TYPE_BANK, weight).alias("banks"),
+        count_if(F.col("estado") == STATE_OPEN, weight).alias("open"),
     )
     values = [
         (KPI_TOTAL, F.col("n").cast("double")),

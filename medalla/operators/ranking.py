@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medalla.operators.marts import row_count
 from medalla.operators.ordering import global_rank
 from medalla.schema import RANK_PRODUCTS, RANK_RECENT_PREFIX, RANK_TOTAL, RANKING_KEYS
 
 
 def rankings(silver: DataFrame, recent_year: int | None = None, keys: Sequence[str] = RANKING_KEYS,
-             product: str = "producto", year: str = "anio") -> DataFrame:
+             product: str = "producto", year: str = "anio", weight: str | None = None) -> DataFrame:
     """(nombre_entidad, tipo_entidad_desc, total_quejas, ranking_tipo, posicion).
 
     ``recent_year`` defaults to the latest year in the data (a scalar
@@ -29,7 +30,7 @@ def rankings(silver: DataFrame, recent_year: int | None = None, keys: Sequence[s
     keys = list(keys)
     # one pass over silver: (entity, year, product) counts; every measure
     # and the latest year are computed from this much smaller table
-    cube = silver.groupBy(*keys, year, product).agg(F.count(F.lit(1)).alias("_n"))
+    cube = silver.groupBy(*keys, year, product).agg(row_count(weight).alias("_n"))
     ry = cube.agg(F.max(year)).scalar() if recent_year is None else F.lit(recent_year).cast("int")
     per = (cube.withColumn("_ry", ry)
                .groupBy(*keys).agg(

@@ -55,6 +55,12 @@ def _build_entity(spark: SparkSession, sf: str) -> DataFrame:
     return marts.entity_metrics(silver_layer(spark, sf))
 
 
+def _build_cube(spark: SparkSession, sf: str) -> DataFrame:
+    from medalla.operators.cube import count_cube
+
+    return count_cube(silver_layer(spark, sf))
+
+
 def _build_segments(spark: SparkSession, sf: str) -> DataFrame:
     from medalla.operators.segment import segment_entities
 
@@ -65,6 +71,7 @@ _BUILDERS = {
     "quejas_financieras_raw": (_build_bronze, ()),
     "quejas_limpias": (_build_silver, ("anio",)),
     "metricas_por_entidad": (_build_entity, ()),
+    "cubo_quejas": (_build_cube, ("anio",)),
     "segmentos_entidades": (_build_segments, ()),
 }
 
@@ -111,6 +118,11 @@ def entity_layer(spark: SparkSession, sf: str) -> DataFrame:
     return layer(spark, sf, "metricas_por_entidad")
 
 
+def cube_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """The count cube of silver, by year."""
+    return layer(spark, sf, "cubo_quejas")
+
+
 def segments_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Entities with their K-Means cluster, label and scaled feature vector
     (one fit per session; the cluster reports read it)."""

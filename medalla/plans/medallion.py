@@ -13,8 +13,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from medalla.operators import marts, ranking
 from medalla.operators.conform import conform, rejects
+from medalla.operators.cube import count_cube, gold_tables
 from medalla.schema import SILVER_SCHEMA, SILVER_STAMP
 from medalla.session import scratch_root  # noqa: F401  (re-exported)
 from medalla.sources.layers import read_layer, write_layer
@@ -22,6 +22,8 @@ from medalla.sources.star import raw_from_star
 
 GOLD_TABLES = ("metricas_por_entidad", "metricas_por_producto", "metricas_temporales",
                "ranking_entidades", "dashboard_kpis")
+#: the written count cube beside the layers (not a table of the load report)
+CUBE = "cubo_quejas"
 
 
 def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "parquet",
@@ -41,16 +43,12 @@ def build_layers(spark: SparkSession, raw: DataFrame, root: str, fmt: str = "par
     bronze = put("quejas_financieras_raw", raw)
     declared = T.StructType([*SILVER_SCHEMA.fields, *([T.StructField(SILVER_STAMP, T.TimestampType())] if stamp else [])])
     silver = put("quejas_limpias", conform(bronze, stamp=stamp), partition_silver_by, declared)
-    # the rejects and the five gold tables only read bronze / silver: they are
-    # independent jobs, submitted together so small ones share the cores
-    gold = {
-        "quejas_rechazadas": lambda: rejects(bronze),
-        "metricas_por_entidad": lambda: marts.entity_metrics(silver),
-        "metricas_por_producto": lambda: marts.product_metrics(silver),
-        "metricas_temporales": lambda: marts.monthly_metrics(silver),
-        "ranking_entidades": lambda: ranking.rankings(silver),
-        "dashboard_kpis": lambda: marts.kpi_table(silver, stamp=stamp),
-    }
+    # silver is read once, into the count cube; the five gold tables read that
+    write_layer(count_cube(silver), path=f"{root}/{CUBE}", fmt=fmt)
+    cube = read_layer(spark, path=f"{root}/{CUBE}", fmt=fmt)
+    # the rejects and the five gold tables are independent jobs, submitted
+    # together so small ones share the cores
+    gold = {"quejas_rechazadas": lambda: rejects(bronze), **gold_tables(cube, stamp)}
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         done = {name: pool.submit(lambda n=name, b=build: put(n, b())) for name, build in gold.items()}
         written = {name: f.result() for name, f in done.items()}

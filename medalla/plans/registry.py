@@ -19,6 +19,7 @@ from medalla import oracle_sql as O
 from medalla.functions import scalar as S
 from medalla.operators import analysis as A
 from medalla.operators import conform as C
+from medalla.operators import cube as K
 from medalla.operators import eda as E
 from medalla.operators import evolution as V
 from medalla.operators import marts as M
@@ -27,7 +28,7 @@ from medalla.operators import ranking as R
 from medalla.operators import segment as G
 from medalla.operators import series as T
 from medalla.operators import text as X
-from medalla.plans.layers import bronze_layer, entity_layer, segments_layer, silver_layer
+from medalla.plans.layers import bronze_layer, cube_layer, entity_layer, segments_layer, silver_layer
 from medalla.schema import ENTITY_FEATURES, ENTITY_KEYS, RAW_COLUMNS
 from medalla.sources.star import raw_from_star, read_table
 
@@ -822,6 +823,98 @@ def q_document_terms(spark, sf):
     return X.term_counts(read_table(spark, sf, "documents"), "text", "lang", 20)
 
 
+# ========================================================== the count cube
+def cube(spark, sf) -> DataFrame:
+    """The written count cube of silver, as gold tables read it."""
+    return cube_layer(spark, sf)
+
+
+_CUBE = f"SELECT {', '.join(K.DIMS)}, count(*) AS quejas FROM silver GROUP BY ALL"
+
+
+@register("count_cube", O.on_silver(_CUBE))
+def q_count_cube(spark, sf):
+    return K.count_cube(silver(spark, sf))
+
+
+@register("merge_cubes", O.on_silver(_CUBE))
+def q_merge_cubes(spark, sf):
+    """Cubes of two loads add up to that of both."""
+    s = silver(spark, sf)
+    odd = F.col("anio") % 2 == 1
+    return K.merge_cubes([K.count_cube(s.where(odd)), K.count_cube(s.where(~odd))])
+
+
+def _register_gold(name: str, table: str) -> None:
+    """The gold table ``table`` from the cube: the same SQL as from silver."""
+    @register(f"{name}_cube", SQL[name])
+    def query(spark, sf):
+        return K.gold_tables(cube(spark, sf))[table]()
+
+
+for _name, _table in {"entity_metrics": "metricas_por_entidad", "product_metrics": "metricas_por_producto",
+                      "monthly_metrics": "metricas_temporales", "rankings": "ranking_entidades", "kpi_table": "dashboard_kpis"}.items():
+    _register_gold(_name, _table)
+
+
+_SKETCHED = ("nombre_entidad", "producto", "motivo")
+
+
+@register("distinct_rollup", O.on_silver(f"""
+SELECT anio, count(*) AS quejas, {', '.join(f'count(DISTINCT {c}) AS {c}_exacto, true AS {c}_dentro' for c in _SKETCHED)}
+FROM silver GROUP BY anio"""))
+def q_distinct_rollup(spark, sf):
+    """Distinct values per year from the sketches of its months, next to the
+    exact counts: within four standard errors."""
+    sketches = K.distinct_sketches(cube(spark, sf), ["anio", "periodo_mes"], _SKETCHED)
+    rough = K.merge_sketches(sketches, ["anio"], _SKETCHED)
+    exact = cube(spark, sf).groupBy("anio").agg(*[F.countDistinct(c).alias(f"{c}_exacto") for c in _SKETCHED])
+    error = 4 * 1.04 / 2 ** (K.LG_K / 2)
+    return rough.join(exact, "anio").select("anio", "quejas", *[x for c in _SKETCHED for x in (F.col(f"{c}_exacto"), (
+        F.abs(F.col(f"{c}_aprox") - F.col(f"{c}_exacto")) <= error * F.col(f"{c}_exacto") + 0.5).alias(f"{c}_dentro"))])
+
+
+# ======================================================= incremental loads
+def _landed(spark, sf) -> tuple:
+    """Bronze landed in three goes, the last of two years only."""
+    from medalla.plans.incremental import IncrementalLayers
+    from medalla.plans.medallion import scratch_root
+
+    root = scratch_root(spark, "incremental")
+    bronze = raw(spark, sf)
+    part = F.pmod(F.xxhash64("NOMBRE_ENTIDAD", "PRODUCTO", "MOTIVO"), F.lit(4))
+    recent = F.coalesce(F.col("ANIO").isin("1.997", "1.998"), F.lit(False))
+
+    def land(rows: DataFrame, name: str) -> None:
+        rows.write.parquet(f"{root}/landing/{name}")
+
+    layers = IncrementalLayers(spark, f"{root}/landing", f"{root}/layers")
+    out = []
+    land(bronze.where(~recent & (part < 2)), "a")
+    out.append(layers.refresh(gold=False))
+    land(bronze.where(~recent & (part >= 2)), "b")
+    out.append(layers.refresh(gold=False))
+    land(bronze.where(recent), "c")
+    out.append(layers.refresh())
+    return layers, out, root
+
+
+@register("incremental_refresh", SQL["entity_metrics"])
+def q_incremental_refresh(spark, sf):
+    """The entity mart after three loads is that of one full build."""
+    _, _, root = _landed(spark, sf)
+    return spark.read.parquet(f"{root}/layers/metricas_por_entidad")
+
+
+@register("refresh_report", O.on_silver("""
+SELECT lote, count(DISTINCT anio) AS anios FROM (
+  SELECT anio, unnest(CASE WHEN anio IN (1997, 1998) THEN [3] ELSE [1, 2] END) AS lote FROM silver) GROUP BY lote"""))
+def q_refresh_report(spark, sf):
+    """Years that each load recounted."""
+    _, loads, _ = _landed(spark, sf)
+    return spark.createDataFrame([(r["lote"], len(r["anios"])) for r in loads], "lote int, anios long")
+
+
 # ====================================================== clusters over time
 def evolution(spark, sf) -> tuple[DataFrame, DataFrame]:
     return V.cluster_evolution(silver(spark, sf))

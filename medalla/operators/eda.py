@@ -76,7 +76,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 6) -> Dat
     rng = df.agg(F.struct(F.when(mn == mx, mn - 0.5).otherwise(mn).alias("lo"),
                           F.when(mn == mx, mx + 0.5).otherwise(mx).alias("hi"))).scalar()
     lo, hi = rng.getField("lo"), rng.getField("hi")
-    b = F.least(F.floor((v - lo) * F.lit(bins) / (hi - lo)).cast("int"), F.lit(bins - 1))
+    b = F.when(v.isNotNull(), F.least(F.floor((v - lo) * F.lit(bins) / (hi - lo)).cast("int"), F.lit(bins - 1)))
     counts = (df.select(column).filter(F.col(column).isNotNull())
                 .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("frecuencia")))
     odd = counts.where("bin is null").select("bin", *[F.lit(None).cast("double").alias(c) for c in (

@@ -23,8 +23,10 @@ from medalla.operators import cube as K
 from medalla.operators import eda as E
 from medalla.operators import evolution as V
 from medalla.operators import marts as M
+from medalla.operators import patterns as P
 from medalla.operators import quality as Q
 from medalla.operators import ranking as R
+from medalla.operators import seasonal as W
 from medalla.operators import segment as G
 from medalla.operators import series as T
 from medalla.operators import text as X
@@ -915,6 +917,84 @@ def q_refresh_report(spark, sf):
     return spark.createDataFrame([(r["lote"], len(r["anios"])) for r in loads], "lote int, anios long")
 
 
+# ================================================= patterns between values
+def _sets_sql(columns, support: float) -> str:
+    """Counts of every combination of the attributes' values."""
+    parts = []
+    for k in range(1, len(columns) + 1):
+        for some in combinations(columns, k):
+            items = ", ".join(f"'{c}=' || {c}" for c in some)
+            parts.append(f"SELECT list_sort([{items}]) AS items, count(*) AS n FROM silver "
+                         f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in some)} GROUP BY {', '.join(some)}")
+    return (f"sets AS (SELECT *, (SELECT count(*) FROM silver) AS total FROM ({' UNION ALL '.join(parts)}) "
+            f"WHERE n >= ceil({support} * (SELECT count(*) FROM silver)))")
+
+
+@register("frequent_sets", O.on_silver("""
+SELECT array_to_string(items, ' & ') AS conjunto, CAST(len(items) AS INTEGER) AS elementos, n AS quejas FROM sets""",
+                                       _sets_sql(P.ATTRIBUTES, 0.05)))
+def q_frequent_sets(spark, sf):
+    return P.frequent_sets(silver(spark, sf))
+
+
+@register("association_rules", O.on_silver(f"""
+SELECT array_to_string(a.items, ' & ') AS antecedente, one.items[1] AS consecuente, {r6('w.n * 1e0 / w.total')} AS soporte,
+  {r6('w.n * 1e0 / a.n')} AS confianza, {r6('(w.n * 1e0 / a.n) / (one.n * 1e0 / w.total)')} AS lift
+FROM (SELECT *, unnest(items) AS item FROM sets WHERE len(items) > 1) w
+JOIN sets a ON a.items = list_filter(w.items, lambda x: x <> w.item) JOIN sets one ON one.items = [w.item]
+WHERE w.n >= 0.3 * a.n""", _sets_sql(P.ATTRIBUTES, 0.05)))
+def q_association_rules(spark, sf):
+    return P.association_rules(silver(spark, sf))
+
+
+# ===================================== seasonal forecasts and change points
+def _monthly_by(spark, sf, *keys) -> DataFrame:
+    return K.roll_up(cube(spark, sf), [*keys, "fecha_queja"])
+
+
+_SERIES = """ends AS (SELECT tipo_entidad_desc AS k, min(fecha_queja) AS a, max(fecha_queja) AS b FROM silver GROUP BY 1),
+months AS (SELECT k, a, b, unnest(generate_series(a, b, INTERVAL 1 MONTH))::DATE AS m FROM ends),
+vals AS (SELECT months.k, months.m, CAST(coalesce(c.n, 0) AS DOUBLE) AS v FROM months LEFT JOIN (
+  SELECT tipo_entidad_desc AS k, fecha_queja AS m, count(*) AS n FROM silver GROUP BY 1, 2) c
+  ON c.k IS NOT DISTINCT FROM months.k AND c.m = months.m),
+x AS (SELECT k, max(m) AS last, list(v ORDER BY m) AS x FROM vals GROUP BY k HAVING count(*) >= 24),
+grid AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, {a}e0, {b}e0, {g}e0)" for i, (a, b, g) in enumerate(W.GRID)) + """) AS g(i, alfa, beta, gama)),
+hw AS (
+  SELECT k, i, 12 AS t, list_sum(x[1:12]) / 12 AS level, (list_sum(x[13:24]) / 12 - list_sum(x[1:12]) / 12) / 12 AS trend,
+    list_transform(x[1:12], lambda v: v - list_sum(x[1:12]) / 12) AS season, 0e0 AS sse FROM x, grid
+  UNION ALL
+  SELECT k, i, t + 1, new_level, new_trend, list_append(season[2:12], gama * (v - new_level) + (1 - gama) * season[1]),
+    sse + (v - (level + trend + season[1])) * (v - (level + trend + season[1]))
+  FROM (SELECT *, beta * (new_level - level) + (1 - beta) * trend AS new_trend FROM (
+    SELECT hw.*, x.x[t + 1] AS v, beta, gama, alfa * (x.x[t + 1] - season[1]) + (1 - alfa) * (level + trend) AS new_level
+    FROM hw JOIN x ON x.k IS NOT DISTINCT FROM hw.k JOIN grid USING (i) WHERE t < len(x.x)))),
+best AS (SELECT hw.*, x.last, x.x, row_number() OVER (PARTITION BY hw.k ORDER BY sse, i) AS r
+  FROM hw JOIN x ON x.k IS NOT DISTINCT FROM hw.k WHERE t = len(x.x))"""
+
+
+@register("seasonal_forecast", O.on_silver(f"""
+SELECT k AS tipo_entidad_desc, CAST(paso AS INTEGER) AS paso, CAST(last + to_months(CAST(paso AS INTEGER)) AS DATE) AS fecha,
+  {r6('level + paso * trend + season[paso]')} AS prediccion, alfa, beta, gama, {r6('sqrt(sse / (len(x) - 12))')} AS error_estacional,
+  {r6('sqrt(list_sum(list_transform(range(13, len(x) + 1), lambda t: pow(x[t] - list_sum(x[t - 6:t - 1]) / 6, 2))) / (len(x) - 12))')} AS error_plano
+FROM best JOIN grid USING (i), range(1, 4) AS p(paso) WHERE r = 1""", _SERIES).replace("WITH raw", "WITH RECURSIVE raw", 1))
+def q_seasonal_forecast(spark, sf):
+    return W.seasonal_forecast(_monthly_by(spark, sf, "tipo_entidad_desc"), ["tipo_entidad_desc"], "fecha_queja", "quejas")
+
+
+@register("change_points")
+def q_change_points(spark, sf):
+    return W.change_points(_monthly_by(spark, sf, *ENTITY_KEYS), ENTITY_KEYS, "fecha_queja", "quejas")
+
+
+@register("change_checks", O.on_silver("""
+SELECT 'series' AS control, count(*) AS valor FROM e UNION ALL SELECT 'meses', CAST(sum(meses) AS BIGINT) FROM e
+UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT) FROM e UNION ALL SELECT 'huecos', 0 UNION ALL SELECT 'totales_distintos', 0""", f"""e AS (
+  SELECT datediff('month', min(fecha_queja), max(fecha_queja)) + 1 AS meses, count(*) AS n FROM silver GROUP BY {', '.join(ENTITY_KEYS)})"""))
+def q_change_checks(spark, sf):
+    m = _monthly_by(spark, sf, *ENTITY_KEYS)
+    return W.change_checks(q_change_points(spark, sf), m, ENTITY_KEYS, "fecha_queja", "quejas")
+
+
 # ====================================================== clusters over time
 def evolution(spark, sf) -> tuple[DataFrame, DataFrame]:
     return V.cluster_evolution(silver(spark, sf))

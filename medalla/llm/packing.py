@@ -11,19 +11,39 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from medalla.llm.common import stage
 
+#: a text with so many characters of white space beyond one between words may
+#: hold a run that tiktoken's regular expression cannot match (its stack ends
+#: at some hundred thousand): ``tokenizers`` encodes it
+LONG_BLANKS = 16_384
 #: pieces packed by one task; each task leaves a few sequences unfilled
 PIECES_PER_GROUP = 65_536
 
 
+class Encoder:
+    """``fast`` and ``slow`` give the same ids; ``slow`` takes any text."""
+
+    def __init__(self, fast, slow):
+        self.fast, self.slow = fast, slow
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        if len(text) > LONG_BLANKS:
+            words = text.split()
+            if len(text) - sum(map(len, words)) - len(words) > LONG_BLANKS:
+                return self.slow.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
 @functools.cache
-def encoder(path: str):
+def encoder(path: str) -> Encoder:
     """The byte-level BPE of a ``tokenizers`` JSON file, run by tiktoken on
     the same vocabulary: the ids are equal (``tests/llm`` compare them) at
     about seven times the speed. Both encoders are compared on a probe text
-    when a worker loads the file."""
+    when a worker loads the file. Texts with very long runs of white space go
+    to ``tokenizers`` itself."""
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -41,7 +61,7 @@ def encoder(path: str):
     probe = "A probe's text:  ß 12,345\n\n\té漢字 <|endoftext|> x" * 2
     if fast.encode_ordinary(probe) != slow.encode(probe, add_special_tokens=False).ids:
         raise ValueError(f"{path} is not the byte-level BPE this encoder expects")
-    return fast
+    return Encoder(fast, slow)
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
@@ -123,26 +143,47 @@ def pack(pieces: DataFrame, capacity: int = 2048, per_group: int = PIECES_PER_GR
     lengths and places are in memory. Repeated rows are packed as often as
     they occur; a null doc_id is kept; an empty input gives an empty result.
     """
-    pieces = stage(pieces, "pieces")
+    pieces = stage(pieces.withColumn("_id", F.monotonically_increasing_id()), "pieces")
     short = F.col("length") < capacity
     n = pieces.where(short).count()
     groups = max(1, -(-n // per_group))
     width = 40  # sequence_id = group in the high bits, bin in the low ones
-    dealt = pieces.withColumn("_g", F.when(short, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
-                              .cast("int"))
-    full = dealt.where("_g is null").select(
-        *pieces.columns, (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"))
+    # only numbers and lengths are placed; a number is dealt, so that equal rows spread
+    dealt = pieces.where(short).select("_id", "length", F.pmod(F.xxhash64("_id"), F.lit(groups)).cast("int").alias("_g"))
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "piece"], kind="stable")
+        group = group.sort_values("_id", kind="stable")
         group = group.iloc[np.random.default_rng(0).permutation(len(group))]
         rank = -group.length.where(group.length >= capacity // 4, 0)
         group = group.iloc[np.argsort(rank.to_numpy(), kind="stable")]
         bins, offsets, _ = sum_of_squares(group.length.to_numpy(), capacity)
-        out = group.drop(columns="_g")
-        out["sequence_id"], out["offset"] = (int(key[0]) << width) + bins, offsets
-        return out
+        return pd.DataFrame({"_id": group["_id"].to_numpy(), "sequence_id": (int(key[0]) << width) + bins, "offset": offsets})
+
+    placed = dealt.groupBy("_g").applyInPandas(place, "_id long, sequence_id long, offset long")
+    full = pieces.where(~short).withColumns({"sequence_id": F.lit(1 << 62) + F.col("_id"), "offset": F.lit(0).cast("long")})
+    return pieces.where(short).join(placed, "_id").unionByName(full).drop("_id")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """The packed sequences of ``pack``'s pieces with ids: ``sequence_id,
+    length, parts`` (offset, doc_id, piece, start, length of each piece, in
+    order) and ``ids``. A sequence holds at most its capacity of ids."""
+    parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
+    rows = packed.groupBy("sequence_id").agg(parts.alias("parts"), F.sum("length").alias("length"))
+    return rows.select("sequence_id", "length", F.transform("parts", lambda p: p.dropFields("ids")).alias("parts"),
+                       F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+
+
+@F.pandas_udf(LongType())
+def ids_crc32(ids: pd.Series) -> pd.Series:
+    """CRC-32 of token ids as little-endian unsigned 32-bit numbers."""
+    return pd.Series([zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in ids], dtype="int64")
+
 
-    schema = pieces.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
-    return dealt.where("_g is not null").groupBy("_g").applyInPandas(place, schema).unionByName(full)
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The pieces of ``sequences``, each read from its place in the ids:
+    ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
+    one = rows.select("sequence_id", F.explode("parts").alias("p"), "ids").select(
+        "p.*", "sequence_id", F.slice("ids", F.col("p.offset").cast("int") + 1, F.col("p.length").cast("int")).alias("ids"))
+    return one.select("doc_id", "piece", "start", F.size("ids").cast("long").alias("length"),
+                      ids_crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

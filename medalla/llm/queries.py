@@ -67,7 +67,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, text=False).select("doc_id", "n_lines", "n_removed", "removed_lines")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "removed_lines",
+                                               F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

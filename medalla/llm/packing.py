@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from medalla.llm.common import stage
 
@@ -67,7 +67,8 @@ def encoder(path: str) -> Encoder:
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
                     with_ids: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and,
-    with ``with_ids``, ``ids``.
+    with ``with_ids``, ``ids`` (little-endian unsigned 32-bit numbers, so that
+    they move and are stored as one value; ``id_array`` reads them).
 
     A document is its token ids and ``end_id``; one longer than ``capacity``
     is cut into pieces of exactly ``capacity``, the first being what is left
@@ -88,13 +89,13 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048,
                     bounds = [0, *range(first, len(ids) + 1, capacity)]
                     for i, (s, e) in enumerate(zip(bounds, bounds[1:])):
                         p = ids[s:e]
-                        out.append((d, i, s, e - s, zlib.crc32(p.tobytes()), *([p.view("<i4")] if with_ids else [])))
+                        out.append((d, i, s, e - s, zlib.crc32(p.tobytes()), *([p.tobytes()] if with_ids else [])))
                 df = pd.DataFrame(out, columns=names)
                 df["doc_id"] = df.doc_id.astype("Int64")
                 yield df
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return rows.mapInPandas(cut, schema)
 
 
@@ -170,20 +171,28 @@ def sequences(packed: DataFrame) -> DataFrame:
     order) and ``ids``. A sequence holds at most its capacity of ids."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
     rows = packed.groupBy("sequence_id").agg(parts.alias("parts"), F.sum("length").alias("length"))
+    # Latin-1 maps bytes to characters one to one: joined as text, which takes linear time
+    joined = F.array_join(F.transform("parts", lambda p: F.decode(p["ids"], "ISO-8859-1")), "")
     return rows.select("sequence_id", "length", F.transform("parts", lambda p: p.dropFields("ids")).alias("parts"),
-                       F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+                       F.encode(joined, "ISO-8859-1").alias("ids"))
 
 
-@F.pandas_udf(LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    """CRC-32 of token ids as little-endian unsigned 32-bit numbers."""
-    return pd.Series([zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in ids], dtype="int64")
+@F.pandas_udf(ArrayType(IntegerType()))
+def id_array(ids: pd.Series) -> pd.Series:
+    """Packed ids as numbers."""
+    return pd.Series([np.frombuffer(x, dtype="<i4") for x in ids])
 
 
 def unpacked(rows: DataFrame) -> DataFrame:
     """The pieces of ``sequences``, each read from its place in the ids:
     ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    one = rows.select("sequence_id", F.explode("parts").alias("p"), "ids").select(
-        "p.*", "sequence_id", F.slice("ids", F.col("p.offset").cast("int") + 1, F.col("p.length").cast("int")).alias("ids"))
-    return one.select("doc_id", "piece", "start", F.size("ids").cast("long").alias("length"),
-                      ids_crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    at, n = F.col("p.offset").cast("int") * 4 + 1, F.col("p.length").cast("int") * 4
+    return described(rows.select("sequence_id", F.explode("parts").alias("p"), "ids").select(
+        "p.*", "sequence_id", F.substring("ids", at, n).alias("ids")))
+
+
+def described(packed: DataFrame) -> DataFrame:
+    """Pieces with what their ids say: ``doc_id, piece, start, length,
+    ids_crc32, sequence_id, offset``."""
+    return packed.select("doc_id", "piece", "start", F.shiftright(F.octet_length("ids"), 2).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")

@@ -41,7 +41,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize_pieces(read(spark, sf_dir, "documents"), TOKENIZER)
-    return packing.unpacked(packing.sequences(packing.pack(pieces)))
+    return packing.described(packing.pack(pieces))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,14 +90,16 @@ def test_documents(spark):
     assert n <= 1.2 * least  # groups of a hundred pieces
     n, least = check(packing.pack(pieces).collect(), rows, 2048)
     assert n <= 1.05 * least
-    assert packing.tokenize_pieces(docs, TOK).where(F.size("ids") != F.col("length")).count() == 0
+    assert packing.tokenize_pieces(docs, TOK).where(F.octet_length("ids") != 4 * F.col("length")).count() == 0
 
 
 def test_packed_rows_hold_the_ids(spark):
     rows = [(1, "a b c " * 40), (2, None), (1, "a b c " * 40), (None, "x y"), (4, "word " * 300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    seqs = packing.sequences(packing.pack(packing.tokenize_pieces(docs, TOK, 64), 64)).persist()
-    assert all(r.length == len(r.ids) <= 64 and r.length == sum(p.length for p in r.parts) for r in seqs.collect())
+    packed = packing.pack(packing.tokenize_pieces(docs, TOK, 64), 64)
+    check(packing.described(packed).collect(), rows, 64)
+    seqs = packing.sequences(packed).withColumn("ids4", packing.id_array("ids")).persist()
+    assert all(r.length == len(r.ids4) <= 64 and r.length == sum(p.length for p in r.parts) for r in seqs.collect())
     n, least = check(packing.unpacked(seqs).collect(), rows, 64)
     assert n <= least + 1
 
@@ -109,7 +111,7 @@ def test_long_runs_of_white_space(spark):
     for t in texts:
         assert packing.encoder(TOK).encode_ordinary(t) == slow.encode(t, add_special_tokens=False).ids
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = packing.unpacked(packing.sequences(packing.pack(packing.tokenize_pieces(docs, TOK)))).collect()
+    out = packing.described(packing.pack(packing.tokenize_pieces(docs, TOK))).collect()
     assert sum(r.length for r in out) == sum(len(slow.encode(t, add_special_tokens=False).ids) + 1 for t in texts)
 
 

@@ -79,7 +79,7 @@ def entity_products(silver: DataFrame, entity: str | None = None, name: str = "n
                   .orderBy(F.col("_c").desc(), F.col(name).asc()).limit(1).select(name).scalar())
     else:
         target = F.lit(entity)
-    own = c.filter(F.col(name).eqNullSafe(target))
+    own = c.filter(F.col(name).eqNullSafe(target) if entity is None else F.col(name) == target)
     market = c.groupBy(product).agg(F.sum("quejas_entidad").alias("quejas_mercado"))
     total = own.agg(F.sum("quejas_entidad")).scalar()
     return (null_safe(own, market, [product])
@@ -101,7 +101,8 @@ def entity_drilldown(silver: DataFrame, entity: str | None = None, name: str = "
         target = F.lit(entity)
     market = (silver.groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_mercado"))
                     .withColumn(name, target))
-    own = (silver.filter(F.col(name).eqNullSafe(target))
+    # a given name is pushed to the scan as an equality
+    own = (silver.filter(F.col(name).eqNullSafe(target) if entity is None else F.col(name) == target)
                  .groupBy(date_col, period).agg(F.count(F.lit(1)).alias("quejas_entidad")))
     out = null_safe(market, own, [date_col, period], "left")
     return out.select(name, date_col, period,

@@ -1,50 +1,56 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-One model per language, counted over every labelled text; each model is a
-set of sorted 64-bit hash arrays (n-gram -> discounted probability, context
--> back-off weight). A text gets the language whose model has the lowest
-cross-entropy per character; it is rejected if even that is above what the
-labelled texts of that language and length show.
+One model per language, counted over every labelled text, no n-gram left out;
+each model is a set of sorted 64-bit hash arrays (n-gram -> discounted
+probability, context -> back-off weight), written by Spark in ranges of hashes
+below the shared checkpoint folder. Tasks read the ranges they need from there
+and keep a bounded number of bytes of them. A text gets the language whose
+model has the lowest cross-entropy per character; it is rejected if even that
+is above what the labelled texts of that language show at its length.
 """
 
 from __future__ import annotations
 
 import functools
+from collections import OrderedDict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
-from medalla.llm.common import stage
+from medalla.llm.common import scratch_root, stage
 
 ORDER = 5
-#: most n-grams kept of each language and order (the most frequent): the size
-#: that a model may reach on the driver and the executors
-MAX_NGRAMS = 100_000
+#: entries of the models in one range of hashes, about: what a task reads at once
+PER_RANGE = 2_000_000
+#: bytes of the models that a Python worker holds; ranges beyond are read anew
+HELD_BYTES = 192 << 20
 #: characters handled at a time
 CHUNK = 1 << 20
+#: letters from which on the subject of a text, not their number, is what
+#: moves its cross-entropy
+TOPIC = 2000
 SPACE = 0x20
 _B = np.uint64(0x9E3779B97F4A7C15)
+#: marks the hash of an n-gram as that of a context
+_CONTEXT = 0x5851F42D4C957F2D
 UNKNOWN = "und"
 
 
-class Level(NamedTuple):
-    """One order of one model: sorted hashes and their values."""
-
-    grams: np.ndarray
-    alpha: np.ndarray
-    contexts: np.ndarray
-    gamma: np.ndarray
-
-
 class Model(NamedTuple):
+    """What finds the models: languages in order, the folder of the hash
+    arrays, the bits of a hash that name its range at each order from 1 up,
+    and the kinds of characters."""
+
     langs: list[str]
-    levels: list[list[Level]]  # of each language, from order 1 up
+    path: str
+    bits: list[int]
     alphabet: int
 
 
@@ -149,84 +155,127 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def train(docs: DataFrame, order: int = ORDER, max_ngrams: int = MAX_NGRAMS) -> Model:
+def train(docs: DataFrame, order: int = ORDER, per_range: int = PER_RANGE) -> Model:
     """Fits a model for each non-null ``lang`` of ``docs(text, lang)``.
 
     The highest order counts occurrences, each lower one the distinct
-    characters seen before (continuation counts), all in Spark. The most
-    frequent ``max_ngrams`` of each language and order come to the driver.
-    No labelled text with a letter: a model without languages.
+    characters seen before (continuation counts), all in Spark. Every n-gram
+    and every context stays in the model, which grows with the corpus: of
+    each order a folder of ranges of hashes, about ``per_range`` entries each,
+    sorted by language and hash. Only the languages and the sizes come to the
+    driver. No labelled text with a letter: a model without languages.
     """
+    spark = docs.sparkSession
     counts = stage(count_ngrams(docs, order), "ngrams")
-    levels: dict[str, list[Level]] = {}
-    alphabet = 1
+    path, bits, alphabet = scratch_root(spark, "lang-model"), [], 1
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     for k in range(order, 0, -1):
         context = F.substring("gram", 1, k - 1)
         ctx = counts.groupBy("lang", context.alias("ctx")).agg(F.sum("n").alias("total"),
                                                               F.count(F.lit(1)).alias("kinds"))
         one, two = (F.sum((F.col("n") == i).cast("long")) for i in (1, 2))
         discount = counts.groupBy("lang").agg(F.when(one > 0, F.least(F.lit(0.95), F.greatest(
-            F.lit(0.05), one / (one + 2 * two)))).otherwise(F.lit(0.5)).alias("d"))
-        rows = _top(counts, max_ngrams).withColumn("ctx", context).join(ctx, ["lang", "ctx"]).join(discount, "lang")
-        rows = stage(rows, "ngrams-kept")
-        alpha = _hashed(rows.select("lang", F.col("gram").alias("text"), (
-            F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("v")), k)
-        gamma = _hashed(rows.select("lang", F.col("ctx").alias("text"), (
-            F.col("d") * F.col("kinds") / F.col("total")).alias("v")).distinct(), k - 1)
+            F.lit(0.05), one / (one + 2 * two)))).otherwise(F.lit(0.5)).alias("d"))  # one row a language
+        ctx = stage(ctx.join(F.broadcast(discount), "lang"), "contexts")
+        alpha = counts.withColumn("ctx", context).join(ctx, ["lang", "ctx"]).select(
+            "lang", F.col("gram").alias("text"), (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("v"))
+        gamma = ctx.select("lang", F.col("ctx").alias("text"), (F.col("d") * F.col("kinds") / F.col("total")).alias("v"))
+        grams = counts.count()
+        bits.insert(0, max(0, (grams + ctx.count() - 1).bit_length() - per_range.bit_length() + 1))
+        _write(_hashed(alpha, k).unionByName(_hashed(gamma, k - 1, _CONTEXT)), langs, bits[0], f"{path}/{k}")
         if k == 1:
-            alphabet = max(2, rows.select("gram").distinct().count())
-        for lang, (h, v) in alpha.items():
-            levels.setdefault(lang, []).insert(0, Level(h, v, *gamma[lang]))
-        if k > 1:  # continuation counts: distinct characters before
+            alphabet = max(2, counts.select("gram").distinct().count())
+        else:  # continuation counts: distinct characters before
             counts = stage(counts.groupBy("lang", F.substring("gram", 2, k - 1).alias("gram")).agg(
                 F.count(F.lit(1)).alias("n")), "ngrams")
-    langs = sorted(levels)
-    return Model(langs, [levels[x] for x in langs], alphabet)
+    return Model(langs, path, bits, alphabet)
 
 
-def _hashed(rows: DataFrame, k: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Sorted hashes and values of each language in ``rows(lang, text, v)``,
-    texts of ``k`` characters. Hashed by Spark; numbers only are collected."""
+def _hashed(rows: DataFrame, k: int, mark: int = 0) -> DataFrame:
+    """``(lang, h, v)`` of ``rows(lang, text, v)``, texts of ``k`` characters;
+    hashes xored with ``mark``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             points = np.frombuffer("".join(b.text).encode("utf-32-le"), np.uint32) if k else np.empty(0, np.uint32)
-            yield pd.DataFrame({"lang": b.lang, "h": hashes(points.reshape(len(b), k), k).view(np.int64),
-                                "v": b.v.astype("float32")})
-
-    out = {}
-    t = rows.mapInPandas(run, "lang string, h long, v float").toArrow()
-    names = t["lang"].combine_chunks().dictionary_encode()
-    names = names.combine_chunks() if hasattr(names, "combine_chunks") else names
-    code, h, v = names.indices.to_numpy(), t["h"].to_numpy().view(np.uint64), t["v"].to_numpy()
-    for i, lang in enumerate(names.dictionary.to_pylist()):
-        mine = code == i
-        o = np.argsort(h[mine])
-        out[lang] = h[mine][o], v[mine][o]
-    return out
-
-
-def _top(counts: DataFrame, most: int) -> DataFrame:
-    """The n-grams above the count that leaves at most about ``most`` of a
-    language: a histogram of counts finds it, no row is sorted."""
-    by = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("k"))
-    running = by.withColumn("above", F.sum("k").over(W.partitionBy("lang").orderBy(F.col("n").desc())))
-    least = running.where(F.col("above") <= most).groupBy("lang").agg(F.min("n").alias("least"))
-    return counts.join(least, "lang").where("n >= least").drop("least")
-
-
-def log_probs(model: Model, chars: np.ndarray) -> np.ndarray:
+            h = hashes(points.reshape(len(b), k), k) ^ np.uint64(mark)
+            yield pd.DataFrame({"lang": b.lang, "h": h.view(np.int64), "v": b.v.astype("float32")})
+
+    return rows.mapInPandas(run, "lang string, h long, v float")
+
+
+def _write(rows: DataFrame, langs: list[str], bits: int, path: str) -> None:
+    """Ranges of ``rows(lang, h, v)``, hashed evenly, one folder each, sorted
+    by language (its number in ``langs``) and unsigned hash."""
+    number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1 if langs else F.lit(0)
+    part = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
+    rows = rows.select(part.alias("range"), number.cast("int").alias("lang"), "h", "v")
+    (rows.repartition(1 << bits, "range").sortWithinPartitions("range", "lang", F.col("h").bitwiseXOR(F.lit(-(1 << 63))))
+     .write.partitionBy("range").parquet(path))
+
+
+class Ranges:
+    """Reads ranges of a model's hash arrays, the last ones used kept up to
+    ``HELD_BYTES``."""
+
+    def __init__(self, model: Model):
+        self.model, self.held, self.bytes = model, OrderedDict(), 0
+        if "://" in model.path:
+            self.fs, self.root = pyarrow.fs.FileSystem.from_uri(model.path)
+        else:
+            self.fs, self.root = pyarrow.fs.LocalFileSystem(), model.path.removeprefix("file:")
+
+    def arrays(self, k: int, part: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Sorted hashes and values of each language."""
+        if (k, part) in self.held:
+            self.held.move_to_end((k, part))
+            return self.held[k, part]
+        folder = pyarrow.fs.FileSelector(f"{self.root}/{k}/range={part}", allow_not_found=True)
+        tables = [pq.read_table(f.path, filesystem=self.fs, columns=["lang", "h", "v"], partitioning=None)
+                  for f in sorted(self.fs.get_file_info(folder), key=lambda f: f.path) if f.path.endswith(".parquet")]
+        lang, h, v = (np.concatenate([t[c].to_numpy() for t in tables] or [np.empty(0, d)])
+                      for c, d in (("lang", np.int32), ("h", np.int64), ("v", np.float32)))
+        h, out = h.view(np.uint64), []
+        if len(tables) > 1:
+            o = np.lexsort((h, lang))
+            lang, h, v = lang[o], h[o], v[o]
+        for i in range(len(self.model.langs)):
+            lo, hi = np.searchsorted(lang, [i, i + 1])
+            out.append((h[lo:hi], v[lo:hi]))
+        self.held[k, part] = out
+        self.bytes += h.nbytes + v.nbytes
+        while self.bytes > HELD_BYTES and len(self.held) > 1:
+            _, old = self.held.popitem(last=False)
+            self.bytes -= sum(a.nbytes + b.nbytes for a, b in old)
+        return out
+
+    def find(self, k: int, wanted: np.ndarray, default: float) -> np.ndarray:
+        """The (n, languages) values of hashes at order ``k``."""
+        out = np.full((len(wanted), len(self.model.langs)), default)
+        u, number = np.unique(wanted, return_inverse=True)
+        bits = self.model.bits[k - 1]
+        part = (u >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(u), np.int64)
+        found = np.full((len(u), len(self.model.langs)), default)
+        ends = np.searchsorted(part, np.arange((1 << bits) + 1))
+        for r in np.flatnonzero(np.diff(ends)):
+            mine = slice(ends[r], ends[r + 1])
+            for j, (keys, values) in enumerate(self.arrays(k, int(r))):
+                found[mine, j] = _find(keys, values, u[mine], default)
+        np.take(found, number, axis=0, out=out)
+        return out
+
+
+def log_probs(model: Model, chars: np.ndarray, ranges: Ranges | None = None) -> np.ndarray:
     """log P(last character | those before) of (n, ORDER) n-grams under each
-    language: interpolated from order 1 up."""
-    order, out = chars.shape[1], np.empty((chars.shape[0], len(model.langs)))
-    gram = [hashes(chars[:, order - k:], k) for k in range(1, order + 1)]
-    ctx = [hashes(chars[:, order - k:], k - 1) for k in range(1, order + 1)]
-    for j, levels in enumerate(model.levels):
-        p = np.full(chars.shape[0], 1.0 / (model.alphabet + 1))
-        for level, g, c in zip(levels, gram, ctx):
-            p = _find(level.grams, level.alpha, g, 0.0) + _find(level.contexts, level.gamma, c, 1.0) * p
-        out[:, j] = np.log(np.maximum(p, 1e-12))
-    return out
+    language: interpolated from order 1 up. A context that a language never
+    had has back-off 1: the next lower order holds."""
+    ranges = ranges or Ranges(model)
+    order = chars.shape[1]
+    p = np.full((chars.shape[0], len(model.langs)), 1.0 / (model.alphabet + 1))
+    for k in range(1, order + 1):
+        p *= ranges.find(k, hashes(chars[:, order - k:], k - 1) ^ np.uint64(_CONTEXT), 1.0)
+        p += ranges.find(k, hashes(chars[:, order - k:], k), 0.0)
+    return np.log(np.maximum(p, 1e-12))
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
@@ -236,7 +285,7 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: flo
     return np.where(keys[at] == wanted, values[at], default)
 
 
-def cross_entropies(model: Model, texts: list[str | None], memo: dict) -> tuple[np.ndarray, np.ndarray]:
+def cross_entropies(model: Model, texts: list[str | None], memo: dict, ranges: Ranges) -> tuple[np.ndarray, np.ndarray]:
     """Nats per character of each text under each language, and the
     characters. ``memo`` keeps n-grams already looked up, 1,000,000 at most."""
     total = np.zeros((len(texts), len(model.langs)))
@@ -251,7 +300,7 @@ def cross_entropies(model: Model, texts: list[str | None], memo: dict) -> tuple[
             if len(keys) + len(fresh) > 1_000_000:
                 keys, vals, fresh, known = keys[:0], vals[:0], u, np.zeros(len(u), bool)
             keys = np.concatenate([keys, fresh])
-            vals = np.concatenate([vals, log_probs(model, chars[at[~known]])])
+            vals = np.concatenate([vals, log_probs(model, chars[at[~known]], ranges)])
             o = np.argsort(keys)
             memo["keys"], memo["vals"] = keys, vals = keys[o], vals[o]
             pos = np.searchsorted(keys, u)
@@ -271,20 +320,18 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
     and null nats; ties go to the first language in order. A narrow pass over
     whole texts; other columns are kept, columns of these names replaced.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
     out = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()),
                         T.StructField("nats", T.DoubleType()), T.StructField("n", T.LongType())])
 
     @F.pandas_udf(out)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, memo = shared.value, {}
+        m, memo, ranges = model, {}, Ranges(model)
         names = np.array([*m.langs, UNKNOWN], dtype=object)
         for texts in batches:
             if not m.langs:
                 yield pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0, "nats": None, "n": 0})
                 continue
-            ce, n = cross_entropies(m, texts.tolist(), memo)
+            ce, n = cross_entropies(m, texts.tolist(), memo, ranges)
             best = ce.argmin(axis=1)
             low = ce[np.arange(len(ce)), best]
             share = 1.0 / np.exp(low[:, None] - ce).sum(axis=1)
@@ -298,35 +345,41 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
             .withColumns({k: F.col(f"_lid.{v}") for k, v in added.items()}).drop("_lid"))
 
 
-def calibrate(scored: DataFrame, rate: float = 0.0005, margin: float = 1.0, least: float = 0.8) -> DataFrame:
-    """``(lang, size_class, most_nats, rows)``: the cross-entropy above which a text
-    is rejected, for each language and power of two of ``n_letters``.
+def _spread(n) -> Column:
+    """How far the cross-entropy of a text of ``n`` letters strays, up to a
+    factor: by chance of its letters, and by its subject, as if no text were
+    longer than ``TOPIC`` letters."""
+    return F.sqrt(1 / F.col(n) + F.lit(1 / TOPIC))
+
+
+def calibrate(scored: DataFrame, rate: float = 0.0005) -> DataFrame:
+    """``(lang, middle, strays)``, one row a language: the median
+    cross-entropy and the quantile at 1 - ``rate`` of how far texts lie above
+    it, in units of ``_spread``; every row counts, whatever its length.
 
     From ``scored(lang, lang_pred, nats, n_letters)``, rows the models have
-    not seen, whose label is known and was found: the quantile at 1 -
-    ``rate`` plus ``margin`` times its distance from the median, ``least``
-    nats more at the least. At most some thirty rows a language.
+    not seen, whose label is known and was found.
     """
     ok = scored.where("lang = lang_pred and n_letters > 0")
-    return (ok.groupBy("lang", F.floor(F.log2("n_letters")).cast("int").alias("size_class"))
-            .agg(F.percentile_approx("nats", [0.5, 1 - rate], 10000).alias("q"), F.count(F.lit(1)).alias("rows"))
-            .select("lang", "size_class", (F.col("q")[1] + F.greatest(
-                F.lit(least), margin * (F.col("q")[1] - F.col("q")[0]))).alias("most_nats"), "rows"))
+    middle = ok.groupBy("lang").agg(F.percentile_approx("nats", 0.5, 10000).alias("middle"))
+    over = (F.col("nats") - F.col("middle")) / _spread("n_letters")
+    return (ok.join(F.broadcast(middle), "lang")  # one row a language
+            .groupBy("lang").agg(F.first("middle").alias("middle"), F.greatest(F.lit(0.0), F.percentile_approx(
+                over, 1 - rate, 10000)).alias("strays")))
 
 
-def with_rejection(scored: DataFrame, limits: DataFrame, least_rows: int = 200) -> DataFrame:
+def with_rejection(scored: DataFrame, limits: DataFrame, margin: float = 1.0, least: float = 0.8) -> DataFrame:
     """``scored`` with boolean ``rejected``: ``und``, or nats above the limit
-    of the language and size class. For a class with fewer than
-    ``least_rows`` rows behind its limit the largest one of the language
-    holds; without any the text is kept."""
-    any_size = limits.groupBy("lang").agg(F.max("most_nats").alias("_any"))
-    lim = limits.where(F.col("rows") >= least_rows).drop("rows").withColumnsRenamed(
-        {"lang": "_lang", "size_class": "_class", "most_nats": "_most"})
-    j = (scored.join(F.broadcast(lim), (F.col("lang_pred") == F.col("_lang"))  # some thirty rows a language
-                     & (F.floor(F.log2("n_letters")).cast("int") == F.col("_class")), "left")
-         .join(F.broadcast(any_size.withColumnRenamed("lang", "_lang2")), F.col("lang_pred") == F.col("_lang2"), "left"))
+    of the language at the text's length. The limit lies ``strays`` spreads
+    above the median and then as much again times ``margin``, ``least`` nats
+    more at the least. One smooth rule at every length and number of rows; of
+    a language that has no calibrating row at all every text is kept."""
+    lim = limits.select(F.col("lang").alias("_lang"), F.col("middle").alias("_middle"), F.col("strays").alias("_strays"))
+    out = F.col("_strays") * _spread("n_letters")
+    j = scored.join(F.broadcast(lim), F.col("lang_pred") == F.col("_lang"), "left")  # one row a language
     return j.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | F.coalesce(
-        F.col("nats") > F.coalesce("_most", "_any"), F.lit(False))).drop("_lang", "_class", "_most", "_lang2", "_any")
+        F.col("nats") > F.col("_middle") + out + F.greatest(F.lit(least), margin * out), F.lit(False))).drop(
+        "_lang", "_middle", "_strays")
 
 
 def fold(doc_id="doc_id"):

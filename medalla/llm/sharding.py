@@ -1,5 +1,5 @@
 """Sharding by histogram sort: exact splitters from repeated counting, then
-one exchange."""
+one exchange that brings every row, text and all, to its place in key order."""
 
 from __future__ import annotations
 
@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from medalla.llm.common import stage
+from medalla.session import shuffle_partitions
 
 #: hex digits by which each round refines an open interval (4096 probes)
 DIGITS = 3
-#: rows numbered by one task
-ROWS_PER_SLICE = 200_000
 
 
 def sort_key(doc_id: Column, text: Column) -> Column:
@@ -75,28 +74,32 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = 0.0) ->
 
     A row's shard is the number of splitters at or below its key, so a row
     with x bytes before it goes to shard floor(x * shards / total), up to
-    the row that straddles a boundary. Null and empty texts have size 1 and
-    the same key but for doc_id; a null doc_id sorts first; rows equal in both
-    share a key and stay in one shard; fewer rows than shards leave shards
-    empty, an empty table gives an empty result. Columns named size, shard or
-    slot are replaced; all others are carried through the one exchange.
+    the row that straddles a boundary. Shards are sorted by key: ``slot``
+    follows it, equal texts stand side by side, and where a splitter falls
+    between copies of one text they go on in the next shard. Null and empty
+    texts have size 1 and the same key but for doc_id; a null doc_id sorts
+    first; rows equal in both share a key and stay in one shard; fewer rows
+    than shards leave shards empty, an empty table gives an empty result.
+    Columns named size, shard or slot are replaced; all others, whatever
+    their names, are carried through the one exchange.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    keyed = stage(docs.select(sort_key(F.col("doc_id"), F.col("text")).alias("_key"), size.alias("_size")), "shard-keys")
+    key = sort_key(F.col("doc_id"), F.col("text"))
+    keyed = stage(docs.select(key.alias("_key"), size.alias("_size")), "shard-keys")
     cuts = splitters(keyed, shards, tolerance)
-
-    def place(df: DataFrame) -> DataFrame:
-        shard = sum((F.when(F.col("_key") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-        return df.withColumn("shard", shard.cast("int")).withColumn(
-            "_slice", F.pmod(F.xxhash64("_key"), F.lit(slices)).cast("int"))
-
-    slices = max(1, -(-keyed.count() // (ROWS_PER_SLICE * shards)))
-    # rows before each slice of a shard: a table of shards * slices rows
-    counts = stage(place(keyed).groupBy("shard", "_slice").agg(F.count(F.lit(1)).alias("_n")), "shard-counts")
-    before = counts.select("shard", "_slice", (F.sum("_n").over(
-        W.partitionBy("shard").orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
-    rows = place(docs.withColumn("_key", sort_key(F.col("doc_id"), F.col("text"))).withColumn("size", size))
-    number = F.row_number().over(W.partitionBy("shard", "_slice").orderBy("_key"))
-    return (rows.join(before, ["shard", "_slice"])
-            .withColumn("slot", F.col("_before") + number - 1)
-            .drop("_key", "_slice", "_before"))
+    own = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    # the row travels as one column, so that no name of its own clashes
+    rows = docs.select(key.alias("key"), size.alias("size"), F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"))
+    shard = sum((F.when(F.col("key") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    # the exchange: ranges of keys, sorted, so a shard is a run of partitions
+    rows = (rows.withColumn("shard", shard.cast("int"))
+            .repartitionByRange(shuffle_partitions(docs.sparkSession), "shard", "key").sortWithinPartitions("shard", "key")
+            .select("shard", "size", "row", F.monotonically_increasing_id().alias("at")))
+    rows = stage(rows, "shards")
+    # rows before each part of a shard: a table of partitions + shards rows at most
+    part = F.shiftright("at", 33).alias("part")
+    counts = rows.groupBy("shard", part).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = counts.select("shard", "part", "first", (F.sum("n").over(
+        W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    return (rows.withColumn("part", part).join(before, ["shard", "part"])
+            .select("row.*", "size", "shard", (F.col("before") + F.col("at") - F.col("first")).alias("slot")))

@@ -59,3 +59,13 @@ def test_tolerance_small_and_empty_tables(spark):
     assert len(few) == 3
     gapless(few)
     assert sharding.shard_by_bytes(df.limit(0), 16).count() == 0
+
+
+def test_slots_follow_the_key_and_texts_arrive(spark):
+    rows = [(i, f"text {i % 700} " * (i % 9), i, str(i)) for i in range(4000)] + [(None, None, 0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key long, `a.b` string")
+    keyed = df.withColumn("k", sharding.sort_key(df.doc_id, df.text)).collect()
+    want = [(r.doc_id, r.text, r["_key"], r["a.b"]) for r in sorted(keyed, key=lambda r: r.k)]
+    out = sharding.shard_by_bytes(df, 8).collect()
+    gapless(out)
+    assert [(r.doc_id, r.text, r["_key"], r["a.b"]) for r in sorted(out, key=lambda r: (r.shard, r.slot))] == want

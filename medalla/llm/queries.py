@@ -84,8 +84,8 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.remove_repeats(docs, kept=False).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,20 +98,20 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     wins = stage(windows(items, length), "item-windows")
     terms = stage(wins.select(F.explode("terms").alias("term")).distinct(), "item-terms")
     places = phrase_places(index(docs, terms), wins)
-    by_text = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "len", "win", "items"))).alias("_at"))
-    rows = docs.withColumn("_key", text_key("text")).join(
-        by_text.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
-    rows = rows.withColumn("_w", words("text"))
-    rows = rows.withColumns({"n_words": F.size("_w").cast("long"), "_m": F.filter(
-        F.coalesce("_at", F.array()), lambda p: F.xxhash64(F.slice("_w", p["start"] + 1, p["len"])) == p["win"])})
+    by_text = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "len", "win", "items"))).alias("at"))
+    # the row travels as one column, so that no name of its own clashes
+    rows = docs.select(F.struct("*").alias("row"), text_key("text").alias("key")).join(by_text, "key", "left")
+    rows = rows.withColumn("w", words("row.text"))
+    rows = rows.withColumns({"n_words": F.size("w").cast("long"), "m": F.filter(
+        F.coalesce("at", F.array()), lambda p: F.xxhash64(F.slice("w", p["start"] + 1, p["len"])) == p["win"])})
     zero = F.lit(0).cast("long")
-    hit = F.aggregate("_m", F.struct(zero.alias("n"), zero.alias("to")), lambda a, p: F.struct(
+    hit = F.aggregate("m", F.struct(zero.alias("n"), zero.alias("to")), lambda a, p: F.struct(
         (a["n"] + F.greatest(zero, p["start"] + p["len"] - F.greatest(p["start"].cast("long"), a["to"]))).alias("n"),
         F.greatest(a["to"], (p["start"] + p["len"]).cast("long")).alias("to")))["n"]
-    ids = F.array_sort(F.array_distinct(F.flatten(F.transform("_m", lambda p: p["items"]))))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.transform("m", lambda p: p["items"]))))
     rows = rows.withColumns({"n_hit": hit, "item_ids": ids})
-    return rows.withColumns({"n_items": F.size("item_ids").cast("long"), "contaminated": F.col("n_hit") > 0}).drop(
-        "_at", "_w", "_m")
+    rows = rows.withColumns({"n_items": F.size("item_ids").cast("long"), "contaminated": F.col("n_hit") > 0})
+    return rows.select("row.*", *added)
 
 
 def proximity_places(postings: DataFrame, sets: DataFrame, span: int) -> DataFrame:

@@ -341,8 +341,9 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
                                 "n": n})
 
     added = {lang: "lang", score: "score", "nats": "nats", "n_letters": "n"}
-    return (docs.drop(*added).withColumn("_lid", run("text"))
-            .withColumns({k: F.col(f"_lid.{v}") for k, v in added.items()}).drop("_lid"))
+    # the row travels as one column, so that no name of its own clashes
+    return (docs.drop(*added).select(F.struct("*").alias("row"), run("text").alias("found"))
+            .select("row.*", *(F.col(f"found.{v}").alias(k) for k, v in added.items())))
 
 
 def _spread(n) -> Column:
@@ -360,7 +361,7 @@ def calibrate(scored: DataFrame, rate: float = 0.0005) -> DataFrame:
     From ``scored(lang, lang_pred, nats, n_letters)``, rows the models have
     not seen, whose label is known and was found.
     """
-    ok = scored.where("lang = lang_pred and n_letters > 0")
+    ok = scored.where("lang = lang_pred and n_letters > 0").select("lang", "nats", "n_letters")
     middle = ok.groupBy("lang").agg(F.percentile_approx("nats", 0.5, 10000).alias("middle"))
     over = (F.col("nats") - F.col("middle")) / _spread("n_letters")
     return (ok.join(F.broadcast(middle), "lang")  # one row a language
@@ -374,12 +375,11 @@ def with_rejection(scored: DataFrame, limits: DataFrame, margin: float = 1.0, le
     above the median and then as much again times ``margin``, ``least`` nats
     more at the least. One smooth rule at every length and number of rows; of
     a language that has no calibrating row at all every text is kept."""
-    lim = limits.select(F.col("lang").alias("_lang"), F.col("middle").alias("_middle"), F.col("strays").alias("_strays"))
-    out = F.col("_strays") * _spread("n_letters")
-    j = scored.join(F.broadcast(lim), F.col("lang_pred") == F.col("_lang"), "left")  # one row a language
-    return j.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | F.coalesce(
-        F.col("nats") > F.col("_middle") + out + F.greatest(F.lit(least), margin * out), F.lit(False))).drop(
-        "_lang", "_middle", "_strays")
+    out = F.col("strays") * _spread("row.n_letters")
+    j = scored.drop("rejected").select(F.struct("*").alias("row"))  # one column: no name of its own clashes
+    j = j.join(F.broadcast(limits), F.col("row.lang_pred") == F.col("lang"), "left")  # one row a language
+    return j.select("row.*", ((F.col("row.lang_pred") == UNKNOWN) | F.coalesce(
+        F.col("row.nats") > F.col("middle") + out + F.greatest(F.lit(least), margin * out), F.lit(False))).alias("rejected"))
 
 
 def fold(doc_id="doc_id"):

@@ -274,12 +274,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, group: int = GROUP, ke
         digest, "_key long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept))
     # a text may come from several partitions: all its rows are equal
     done = stage(done, "removed").dropDuplicates(["_key"])
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = {"n_bytes": F.octet_length(text).cast("long"), "_sha": F.sha2(text.cast("binary"), 256)}
-    rows = docs.drop("n_bytes", *names).withColumn("_key", F.xxhash64("text")).withColumns(own)
-    rows = rows.join(done.withColumnRenamed("kept_sha256", "_kept_sha"), "_key", "left").withColumns({
-        "n_removed": F.coalesce("n_removed", F.lit(0)).cast("long"), "n_spans": F.coalesce("n_spans", F.lit(0)).cast("long"),
-        "kept_sha256": F.coalesce("_kept_sha", "_sha")})
-    if kept:
-        rows = rows.withColumn("kept", F.coalesce(F.col("kept"), text.cast("binary")))
-    return rows.drop("_key", "_sha", "_kept_sha")
+    # the row travels as one column, so that no name of its own clashes
+    rows = docs.drop("n_bytes", *names[1:]).select(F.struct("*").alias("row"), F.xxhash64("text").alias("_key"),
+                                               F.coalesce("text", F.lit("")).cast("binary").alias("all"))
+    rows = rows.join(done, "_key", "left")
+    zero = F.lit(0).cast("long")
+    return rows.select(
+        "row.*", F.octet_length("all").cast("long").alias("n_bytes"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", F.sha2("all", 256)).alias("kept_sha256"),
+        *([F.coalesce("kept", "all").alias("kept")] if kept else []))

@@ -91,6 +91,28 @@ def running_total(df: DataFrame, value: str, order: Sequence, out: str = "acumul
             .drop("_part", "_pos", "_off", "_sum"))
 
 
+def step_up(df: DataFrame, p: str, keys: Sequence[str], out: str = "q", materialized: bool = False) -> DataFrame:
+    """``df`` with the p-values ``p`` adjusted by Benjamini and Hochberg:
+    the least of p * m / rank over a value and all larger ones, at most 1, m
+    being the number of values. From the largest p downwards this is a
+    running minimum: the one inside a range partition, and the minima of
+    the partitions before. Rows without a p-value are not counted and get
+    none."""
+    numbered = _numbered(df, [F.col(p).desc_nulls_last(), *keys], None, materialized)
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    total = numbered.agg(F.count(p)).scalar()
+    placed = numbered.join(sizes.select("_part", _offset("_n").alias("_off")), "_part")
+    placed = placed.withColumn("_v", F.when(F.col(p).isNotNull(), F.least(
+        F.lit(1.0), F.col(p) * total / (total - F.col("_off") - F.col("_pos")))))
+    least = placed.groupBy("_part").agg(F.min("_v").alias("_least"))
+    least = least.select("_part", F.min("_least").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    inner = F.min("_v").over(Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0))
+    return (placed.withColumn("_inner", inner).join(least, "_part")
+            .withColumn(out, F.when(F.col(p).isNotNull(), F.least("_inner", "_before")))
+            .drop("_part", "_pos", "_off", "_v", "_inner", "_before"))
+
+
 def global_rank(df: DataFrame, order: Sequence, rank_col: str,
                 partition_by: Sequence[str] = (), materialized: bool = False) -> DataFrame:
     """``row_number() OVER ([PARTITION BY p] ORDER BY order)`` as a bigint,

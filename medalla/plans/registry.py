@@ -22,6 +22,7 @@ from medalla.operators import conform as C
 from medalla.operators import cube as K
 from medalla.operators import eda as E
 from medalla.operators import evolution as V
+from medalla.operators import inference as I
 from medalla.operators import marts as M
 from medalla.operators import patterns as P
 from medalla.operators import quality as Q
@@ -729,6 +730,59 @@ def q_lift(spark, sf):
     return A.lift(silver(spark, sf))
 
 
+_NORMAL_TAIL = ("exp(-z * z / 2) / sqrt(2 * pi()) * (" + " + ".join(
+    f"{b!r} * pow(1 / (1 + {I.TAIL_SCALE!r} * abs(z)), {i})" for i, b in enumerate(I.TAIL, 1)) + ")")
+
+
+@register("tested_lift", O.on_silver(f"""
+SELECT motivo, nombre_entidad, quejas, {O.r2('e', 4)} AS esperadas, {O.r2('quejas / e', 4)} AS lift,
+  {O.r2('(quejas * s + 1) / (e * s + 1)', 4)} AS lift_ajustado, {O.r2('z', 4)} AS z, {r6('p')} AS p, {r6('q')} AS q,
+  q <= 0.05e0 AS significativo
+FROM (
+  SELECT *, least(1e0, min(p * m / k) OVER (ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS q
+  FROM (SELECT *, row_number() OVER (ORDER BY p, motivo, nombre_entidad) AS k, count(*) OVER () AS m
+    FROM (SELECT *, least(1e0, 2 * {_NORMAL_TAIL}) AS p
+      FROM (SELECT *, 2 * (sqrt(quejas) - sqrt(e)) AS z,
+          greatest(0e0, sum((quejas - e) * (quejas - e) - e) OVER () / sum(e * e) OVER ()) AS s
+        FROM (SELECT motivo, nombre_entidad, quejas,
+            CAST(sum(quejas) OVER (PARTITION BY nombre_entidad) AS DOUBLE) * sum(quejas) OVER (PARTITION BY motivo)
+              / sum(quejas) OVER () AS e
+          FROM (SELECT motivo, nombre_entidad, count(*) AS quejas FROM silver GROUP BY 1, 2) c) x) y) t) r) f"""))
+def q_tested_lift(spark, sf):
+    return I.tested_lift(silver(spark, sf))
+
+
+_REPLICAS = f"""drawn AS (
+  SELECT b AS replica, {_EKEYS}, total_quejas AS v,
+    CASE WHEN b = 0 THEN 1 ELSE {' + '.join(f'(u >= {x})::BIGINT' for x in I.POISSON_STEPS)} END AS w
+  FROM (SELECT *, CAST('0x' || substr(md5(concat_ws('|', 1, b, {', '.join(f'CAST({k} AS VARCHAR)' for k in ENTITY_KEYS)})), 1, 8)
+      AS BIGINT) AS u FROM entity, range(0, 201) AS t(b))),
+running AS (
+  SELECT *, sum(w) OVER o AS cw, sum(w * v) OVER o AS cs,
+    sum(w) OVER (PARTITION BY replica) AS tw, sum(w * v) OVER (PARTITION BY replica) AS ts
+  FROM drawn WINDOW o AS (PARTITION BY replica ORDER BY v DESC, {_EKEYS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+replicas AS (
+  SELECT CAST(replica AS INTEGER) AS replica, CAST(max(tw) AS BIGINT) AS entidades, CAST(max(ts) AS BIGINT) AS quejas,
+    {r6('CAST(sum(w * (2 * cs - w * v)) AS DOUBLE) / max(tw) / max(ts) - 1')} AS gini,
+    {r6('CAST(sum(greatest(0, least(100 * w, 20 * tw - 100 * (cw - w))) * v) AS DOUBLE) / max(ts)')} AS participacion_top
+  FROM running GROUP BY 1)"""
+
+
+@register("concentration_replicates", O.on_silver("SELECT * FROM replicas", O.ENTITY, _REPLICAS))
+def q_concentration_replicates(spark, sf):
+    return I.concentration_replicates(entity(spark, sf))
+
+
+@register("concentration", O.on_silver(f"""
+SELECT count(*) FILTER (WHERE replica > 0) AS replicas, {', '.join(
+    f"max({c}) FILTER (WHERE replica = 0) AS {c}, " + ', '.join(
+        f"{r6(f'quantile_cont({c}, {x}) FILTER (WHERE replica > 0)')} AS {c}_{name}"
+        for x, name in ((0.05, 'inferior'), (0.95, 'superior'))) for c in ('gini', 'participacion_top'))}
+FROM replicas""", O.ENTITY, _REPLICAS))
+def q_concentration(spark, sf):
+    return I.concentration(I.concentration_replicates(entity(spark, sf)))
+
+
 @register("peer_benchmark", O.on_silver(f"""
 SELECT tipo_entidad_desc, codigo_entidad, nombre_entidad, total_quejas,
   {O.r2('avg(total_quejas) OVER (PARTITION BY tipo_entidad_desc)', 4)} AS media_grupo,

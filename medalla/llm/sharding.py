@@ -101,5 +101,6 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = 0.0) ->
     counts = rows.groupBy("shard", part).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "part", "first", (F.sum("n").over(
         W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("before"))
-    return (rows.withColumn("part", part).join(before, ["shard", "part"])
+    # broadcast: as few rows as that, so that the rows stay where they are
+    return (rows.withColumn("part", part).join(F.broadcast(before), ["shard", "part"])
             .select("row.*", "size", "shard", (F.col("before") + F.col("at") - F.col("first")).alias("slot")))

@@ -24,6 +24,7 @@ from medalla.operators import eda as E
 from medalla.operators import evolution as V
 from medalla.operators import inference as I
 from medalla.operators import marts as M
+from medalla.operators import neighbours as N
 from medalla.operators import patterns as P
 from medalla.operators import quality as Q
 from medalla.operators import ranking as R
@@ -593,6 +594,21 @@ def q_standardize(spark, sf):
     return G.standardize(G.entity_features(entity(spark, sf)), keep=ENTITY_KEYS)
 
 
+@register("nearest_peers", O.on_silver(f"""
+SELECT {', '.join(f'a.{c}' for c in ENTITY_KEYS)}, {', '.join(f'b.{c} AS vecino_{c}' for c in ENTITY_KEYS)},
+  CAST(row_number() OVER w AS INTEGER) AS posicion,
+  {r6('sqrt(' + ' + '.join(f'pow(a.{c}_z - b.{c}_z, 2)' for c in ENTITY_FEATURES) + ')')} AS distancia
+FROM z a JOIN z b ON a.id <> b.id
+WINDOW w AS (PARTITION BY a.id ORDER BY {' + '.join(f'pow(a.{c}_z - b.{c}_z, 2)' for c in ENTITY_FEATURES)},
+  {', '.join(f'b.{c} NULLS FIRST' for c in ENTITY_KEYS)})
+QUALIFY posicion <= 5""", O.ENTITY, f"""z AS (SELECT row_number() OVER () AS id, {_EKEYS}, """ + ", ".join(
+    f"CASE WHEN coalesce(stddev_samp({c}) OVER (), 0) = 0 THEN 0e0 "
+    f"ELSE {r6(f'({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()')} END AS {c}_z"
+    for c in ENTITY_FEATURES) + " FROM entity)"))
+def q_nearest_peers(spark, sf):
+    return N.nearest_peers(entity(spark, sf))
+
+
 # ============================================================ segmentation
 def _segmented(spark, sf):
     """The written segmentation layer (one K-Means fit per session)."""

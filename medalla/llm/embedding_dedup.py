@@ -3,9 +3,10 @@
 Unit vectors with cosine >= t lie within epsilon = sqrt(2 - 2t) of each other,
 and so do their coordinates on any orthonormal axes. Vectors are sorted by the
 grid cells (edge epsilon) of their leading principal coordinates, cut into
-blocks of that sequence, and only blocks whose bounding boxes come within
-epsilon are joined; a joined pair of blocks is halved again and again, its
-distant halves being skipped, before cosines are taken.
+blocks of that sequence. The sequence is joined with itself by recursion over
+its intervals, those whose bounding boxes are over epsilon apart being skipped,
+down to pairs of blocks, which are halved again and again in the same way
+before cosines are taken.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from medalla.llm.common import components, stage
 
 #: vectors of a block, and those below which an interval is not halved
 BLOCK, LEAF = 256, 32
+#: bits by which an interval of blocks is cut in a round
+FAN = 4
 #: principal axes of the grid
 AXES = 12
 #: vectors, at most, that the axes are fitted on; axes only decide what is skipped
@@ -109,19 +112,45 @@ def blocks(classes: DataFrame, basis: np.ndarray, eps: float) -> DataFrame:
 
 def near_blocks(meta: DataFrame, eps: float) -> DataFrame:
     """Pairs ``(a, b)``, a <= b, of ``meta(block, label, dim, low, high)``
-    whose boxes are within ``eps``. Blocks meet in the cells that they cover
-    on the first axis, widened by one: an equi-join, each pair taken in one
-    of its cells only."""
-    cell = meta.withColumns({"c0": F.floor(F.col("low")[0] / eps), "c1": F.floor(F.col("high")[0] / eps) + 1})
-    cell = cell.withColumn("c", F.explode(F.sequence("c0", "c1")))
-    a, b = (cell.select(*(F.col(c).alias(f"{s}_{c}") for c in cell.columns)) for s in "ab")
+    whose boxes are within ``eps``.
+
+    A block's number gives its place in the sequence, and each FAN bits fewer
+    name an interval of 2^FAN times as many blocks, up to the whole sequence
+    of a label. From there on every round cuts the intervals of a pair and
+    keeps the parts whose boxes are within ``eps``; distant ones are skipped
+    with all their blocks. A round is two equi-joins on the interval, in which
+    a key has 2^FAN parts at most, so no task holds the blocks of a label.
+    """
+    part, made = F.shiftright("block", 32), F.col("block").bitwiseAND((1 << 32) - 1)
+    most = meta.agg(F.max(part), F.max(made)).first()
+    if most[0] is None:
+        return meta.select(F.col("block").alias("a"), F.col("block").alias("b"))
+    width = int(most[1]).bit_length()
+    code = F.shiftleft(part, width).bitwiseOR(made)
+    rounds = -(-(int(most[0]).bit_length() + width) // FAN)
+
+    def side(level: int, name: str) -> DataFrame:
+        n = F.shiftright(code, FAN * level) if level else code
+        boxes = meta.groupBy("label", "dim", n.alias("n")).agg(
+            F.array(*(F.min(F.col("low")[i]) for i in range(AXES))).alias("low"),
+            F.array(*(F.max(F.col("high")[i]) for i in range(AXES))).alias("high"))
+        return boxes.select("label", "dim", F.shiftright("n", FAN).alias(name),
+                            *(F.col(c).alias(f"{name}_{c}") for c in ("n", "low", "high")))
+
     gap = F.zip_with(F.arrays_zip("a_low", "a_high"), F.arrays_zip("b_low", "b_high"),
                      lambda x, y: F.greatest(F.lit(0.0), x["a_low"] - y["b_high"], y["b_low"] - x["a_high"]))
     square = F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x)
-    return (a.join(b, (F.col("a_label") == F.col("b_label")) & (F.col("a_dim") == F.col("b_dim"))
-                   & (F.col("a_c") == F.col("b_c")) & (F.col("a_block") <= F.col("b_block")))
-            .where(F.col("a_c") == F.greatest("a_c0", "b_c0")).where(square <= eps * eps)
-            .select(F.col("a_block").alias("a"), F.col("b_block").alias("b")))
+    zero = F.lit(0).cast("long")
+    pairs = meta.select("label", "dim", zero.alias("a"), zero.alias("b")).distinct()
+    for level in reversed(range(rounds)):
+        pairs = pairs.join(side(level, "a"), ["label", "dim", "a"]).join(side(level, "b"), ["label", "dim", "b"])
+        pairs = stage(pairs.where("a_n <= b_n").where(square <= eps * eps).select(
+            "label", "dim", F.col("a_n").alias("a"), F.col("b_n").alias("b")), "vec-intervals")
+
+    def block(c: str):
+        return F.shiftleft(F.shiftright(c, width), 32).bitwiseOR(F.col(c).bitwiseAND((1 << width) - 1)).alias(c)
+
+    return pairs.select(block("a"), block("b"))
 
 
 def join_blocks(av: np.ndarray, bv: np.ndarray, ay: np.ndarray, by: np.ndarray, same: bool, cosine: float,

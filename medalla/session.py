@@ -77,7 +77,17 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     path = scratch_root(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
+    table = spark.read.schema(df.schema).parquet(path)  # known schema: no inference job
+    table.scratch_path = path
+    return table
+
+
+def release(*tables) -> None:
+    """Deletes the folders of tables that ``materialize`` returned. For those
+    whose successor is written: whatever reads them later, fails."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -70,3 +70,16 @@ def test_quantiles_of_many_distinct_values(spark, monkeypatch):
         monkeypatch.setattr(ordering, "SKETCH", sketch)
         for r in exact_quantiles(df, "g", "v", (0.01, 0.25, 0.5, 0.99)).collect():
             assert abs(r.value - np.quantile(values, r.p)) < 1e-9
+
+
+def test_released_tables_leave_the_disk(spark):
+    import os
+
+    from medalla.session import materialize, release
+
+    one = materialize(spark.range(10), "released")
+    two = materialize(one.selectExpr("id * 2 as id"), "kept")
+    folder = one.scratch_path.removeprefix("file:")
+    assert os.path.isdir(folder)
+    release(one)
+    assert not os.path.isdir(folder) and two.count() == 10

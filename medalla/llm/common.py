@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medalla.session import materialize, scratch_root
+from medalla.session import materialize, release, scratch_root
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,7 +56,7 @@ def per_batch(fn: Callable[[pd.DataFrame], pd.DataFrame]):
     return run
 
 
-def components(edges: DataFrame, label: str = "cc", max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Connected components of the undirected graph ``edges(a, b)`` (bigint).
 
     Distributed union-find by alternating stars: each round links every
@@ -65,7 +65,9 @@ def components(edges: DataFrame, label: str = "cc", max_rounds: int = 50) -> Dat
     changes; O(log^2 n) rounds. The minima are pre-aggregated, so a node
     holding a third of the edges costs no more than the others; the edges are
     joined to their one-row-per-node minimum, which AQE may split. Each round
-    is a written table, so nothing is recomputed when an executor is lost.
+    is a written table, so nothing is recomputed when an executor is lost; the
+    one before it is released then. The edges only ever move to smaller ends,
+    so the rounds come to an end whatever the graph.
 
     Returns ``(node, root)`` for every node of an edge other than the roots
     themselves, ``root`` being the smallest node of the component. Null ends
@@ -88,13 +90,13 @@ def components(edges: DataFrame, label: str = "cc", max_rounds: int = 50) -> Dat
                    .unionByName(low.select("u", F.col("m").alias("v"))))
         return out.where("u <> v").distinct()
 
-    for _ in range(max_rounds):
+    while True:
         n = stage(star(star(e, True), False), label)
         a, b = (x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (e, n))
+        release(e)
         e = n
         if a == b:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-__all__ = ["ascii_lower", "components", "per_batch", "read", "scratch_root", "stage", "text_id"]
+__all__ = ["ascii_lower", "components", "per_batch", "read", "release", "scratch_root", "stage", "text_id"]

@@ -136,10 +136,10 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequen
     """Exact linear-interpolation quantiles of ``value_col`` per group
     (numpy/pandas default, DuckDB ``quantile_cont``): (group_col, p, value).
 
-    Two narrow passes over the rows instead of a global sort. A quantile
+    A few narrow passes over the rows instead of a global sort. A quantile
     sketch gives each wanted position a bracket of values that surely holds
-    it (its rank error is bounded); the second pass counts the rows below
-    each bracket and gathers the distinct values inside, some 8 / SKETCH of
+    it (its rank error is bounded); further passes count the rows below
+    each bracket and gather the distinct values inside, some 8 / SKETCH of
     the rows; only those are ordered. The counts prove each bracket: one that
     fails is replaced by the group's whole range and counted again. NULL
     values are left out; NULL is a group like any other.
@@ -162,13 +162,20 @@ def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequen
                          "quantile-brackets")
 
     def count(brackets: DataFrame) -> DataFrame:
-        """Distinct values in each bracket with the rows before them; a value
-        of -inf stands for all rows below the bracket."""
-        per = brackets.groupBy("_g").agg(F.collect_list(F.struct("j", "lo", "hi")).alias("_b"))
-        hit = F.filter("_b", lambda b: F.col("_v") <= b["hi"])
-        rows = null_safe(base, per, ["_g"]).select("_g", "_v", F.explode(hit).alias("b"))
-        value = F.when(F.col("_v") >= F.col("b.lo"), F.col("_v"))  # NULL: below
-        return rows.groupBy("_g", F.col("b.j").alias("j"), value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        """Distinct values in each bracket with their rows; NULL stands for
+        all rows below the bracket. One wide aggregate counts those; only
+        rows inside a bracket are taken out one by one."""
+        every = range(len(probs))
+        per = brackets.groupBy("_g").agg(*(F.max(F.when(F.col("j") == i, F.col(c))).alias(f"{c}{i}") for i in every for c in ("lo", "hi")))
+        rows = null_safe(base, per, ["_g"])
+        below = rows.groupBy("_g").agg(*(F.count(F.when(F.col("_v") < F.col(f"lo{i}"), 1)).alias(f"c{i}") for i in every))
+        below = below.select("_g", F.inline(F.array(*(F.struct(
+            F.lit(i).alias("j"), F.lit(None).cast("double").alias("_v"), F.col(f"c{i}").alias("_c")) for i in every))))
+        inside = [F.col("_v").between(F.col(f"lo{i}"), F.col(f"hi{i}")) for i in every]
+        hit = rows.where(reduce(Column.__or__, inside)).select(
+            "_g", "_v", F.explode(F.array_compact(F.array(*(F.when(x, F.lit(i)) for i, x in enumerate(inside))))).alias("j"))
+        hit = hit.groupBy("_g", "j", "_v").agg(F.count(F.lit(1)).alias("_c"))
+        return hit.unionByName(below.where("_c > 0"))
 
     def spans(brackets: DataFrame) -> DataFrame:
         before = F.sum("_c").over(Window.partitionBy("_g", "j").orderBy(F.col("_v").asc_nulls_first())

@@ -474,7 +474,7 @@ def q_forecast_mean(spark, sf):
 
 @register("fill_calendar", O.on_silver("""
 SELECT c.nombre_entidad, c.fecha_queja, coalesce(m.total_quejas, 0) AS total_quejas
-FROM cal c LEFT JOIN m ON c.nombre_entidad = m.nombre_entidad AND c.fecha_queja = m.fecha_queja""", """m AS (
+FROM cal c LEFT JOIN m ON c.nombre_entidad IS NOT DISTINCT FROM m.nombre_entidad AND c.fecha_queja = m.fecha_queja""", """m AS (
   SELECT nombre_entidad, fecha_queja, count(*) AS total_quejas FROM silver GROUP BY 1, 2),
 span AS (SELECT nombre_entidad, min(fecha_queja) AS a, max(fecha_queja) AS b FROM m GROUP BY 1),
 cal AS (

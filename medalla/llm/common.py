@@ -31,9 +31,30 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: tables staged inside each ``concluded`` that is under way
+_staged: list[list[DataFrame]] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back."""
-    return materialize(df, label)
+    out = materialize(df, label)
+    for made in _staged:
+        made.append(out)
+    return out
+
+
+def concluded(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` returns, staged; the tables that were staged on the way,
+    which nothing but the result reads, are released."""
+    _staged.append([])
+    try:
+        out = materialize(make(), label)
+    finally:
+        made = _staged.pop()
+    release(*made)
+    for outer in _staged:
+        outer.append(out)
+    return out
 
 
 def ascii_lower(text: Column | str) -> Column:
@@ -99,4 +120,4 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-__all__ = ["ascii_lower", "components", "per_batch", "read", "release", "scratch_root", "stage", "text_id"]
+__all__ = ["ascii_lower", "components", "concluded", "per_batch", "read", "release", "scratch_root", "stage", "text_id"]

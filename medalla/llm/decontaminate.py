@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from medalla.llm.common import ascii_lower, stage
+from medalla.llm.common import ascii_lower, concluded, stage
 
 WINDOW = 10
 #: lists intersected before a place is compared word for word
@@ -95,10 +95,14 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     """
     added = ["n_words", "n_hit", "n_items", "item_ids", "contaminated"]
     docs = docs.drop(*added)
-    wins = stage(windows(items, length), "item-windows")
-    terms = stage(wins.select(F.explode("terms").alias("term")).distinct(), "item-terms")
-    places = phrase_places(index(docs, terms), wins)
-    by_text = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "len", "win", "items"))).alias("at"))
+
+    def found() -> DataFrame:
+        wins = stage(windows(items, length), "item-windows")
+        terms = stage(wins.select(F.explode("terms").alias("term")).distinct(), "item-terms")
+        places = phrase_places(index(docs, terms), wins)
+        return places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "len", "win", "items"))).alias("at"))
+
+    by_text = concluded(found, "places-by-text")
     # the row travels as one column, so that no name of its own clashes
     rows = docs.select(F.struct("*").alias("row"), text_key("text").alias("key")).join(by_text, "key", "left")
     rows = rows.withColumn("w", words("row.text"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medalla.llm.common import components, stage, text_id
+from medalla.llm.common import components, concluded, stage, text_id
 
 CHUNKS, WIDTH = 12, 5
 SYMBOLS = CHUNKS * WIDTH
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = stage(signed.where(has).groupBy("s1", "s2", "n_shingles").agg(
         F.min("doc_id").alias("low"), F.first("sig").alias("sig"), F.min(F.struct("doc_id", "t1", "t2")).alias("rep")),
         "set-classes").withColumn("node", F.col("s1"))
-    links = stage(near_links(classes.select("node", "sig", "rep"), docs, size, percent), "near-links")
+    links = concluded(lambda: near_links(classes.select("node", "sig", "rep"), docs, size, percent), "near-links")
     # rows that share a doc_id but not a set meet in that doc_id
     ids = signed.where(has).groupBy("doc_id").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b")
     same = signed.where(has).join(ids, "doc_id").select("a", F.col("s1").alias("b"))
@@ -253,7 +253,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     the smallest doc_id stays (null last, then the smallest text hash).
     Documents without a shingle all stay. Rows equal in doc_id and text are
     one document and come out once."""
-    found = stage(near_duplicates(docs, size, percent), "near-duplicates")
+    found = concluded(lambda: near_duplicates(docs, size, percent), "near-duplicates")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.xxhash64("doc_id").alias("i"), "t1", "t2")
     by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
     best = found.where("root is not null").groupBy("root").agg(F.min(F.struct(by_id.alias("by"), place.alias("at")))["at"]

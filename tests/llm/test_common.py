@@ -22,3 +22,23 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r.node, r.root) for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_concluded_releases_what_was_staged_on_the_way(spark):
+    import os
+
+    from medalla.llm.common import concluded, stage
+
+    made = []
+
+    def inner():
+        made.append(stage(spark.range(5), "inner"))
+        return made[0].selectExpr("id + 1 as id")
+
+    def outer():
+        made.append(concluded(inner, "inner-result"))
+        return made[1].selectExpr("id * 2 as id")
+
+    out = concluded(outer, "outer-result")
+    assert sorted(r.id for r in out.collect()) == [2, 4, 6, 8, 10]
+    assert not any(os.path.isdir(t.scratch_path.removeprefix("file:")) for t in made)

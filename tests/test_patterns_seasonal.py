@@ -98,3 +98,11 @@ def test_two_years_with_a_level_shift(spark):
     assert got == [("a", 1, _month(0), _month(13), 14, 147.0, 10.5, None), ("a", 2, _month(14), _month(23), 10, 405.0, 40.5, 30.0),
                    (None, 1, _month(3), _month(3), 1, 7.0, 7.0, None)]
     assert S.change_points(df.limit(0), ["k"], "d", "v").count() == 0
+
+
+def test_equal_rows_are_one_transaction(spark):
+    """What is mined does not grow with the rows."""
+    rows = [("a", "x"), ("a", None), ("b", "x")]
+    for k in (1, 50):
+        got = P.transactions(spark.createDataFrame(rows * k, "t string, u string"), ("t", "u")).collect()
+        assert sorted((list(r["items"]), r["n"]) for r in got) == [(["t=a"], k), (["t=a", "u=x"], k), (["t=b", "u=x"], k)]

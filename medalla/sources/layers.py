@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 
 from medalla.schema import RAW_COLUMNS, RAW_RESCUE
 
+#: rows of a layer file. Spark deals files to tasks by their bytes, and
+#: repeated values shrink to a few bytes a row, so the rows of one task would
+#: grow with the table. Every file counts as spark.sql.files.openCostInBytes
+#: besides, so files of so many rows bound the rows, and the memory, of a task
+ROWS_PER_FILE = 50_000
+
 
 def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] = RAW_COLUMNS,
                  sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -49,11 +55,13 @@ def write_layer(df: DataFrame, table: str | None = None, path: str | None = None
 
     Give ``table`` to save into the session catalog, or ``path`` to write
     files. ``partition_by`` lays the files out by those columns so that a
-    filter on them prunes whole folders.
+    filter on them prunes whole folders. Files hold ``ROWS_PER_FILE`` rows
+    at most.
     """
     if schema is not None:
         check_schema(df, schema)
     w = df.write.format(fmt).mode(mode).option("overwriteSchema", "true")
+    w = w.option("maxRecordsPerFile", ROWS_PER_FILE)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path is not None:

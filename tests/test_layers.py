@@ -75,3 +75,13 @@ def test_layers_follow_their_source_files(spark, tmp_path):
     (tmp_path / "lineitem.parquet").unlink()
     spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(10).write.parquet(str(tmp_path / "lineitem.parquet"))
     assert bronze_layer(spark, str(tmp_path)).count() == 10 < n
+
+
+def test_files_bound_the_rows_of_a_task(spark):
+    from medalla.sources.layers import ROWS_PER_FILE, write_layer
+
+    path = os.path.join(tempfile.mkdtemp(prefix="layer-files-", dir="/tmp"), "t")
+    write_layer(spark.range(2 * ROWS_PER_FILE + 1).coalesce(1).selectExpr("id", "0 as anio"), path=path, partition_by=["anio"])
+    table = read_layer(spark, path=path)
+    per = [r["count"] for r in table.selectExpr("_metadata.file_path as f").groupBy("f").count().collect()]
+    assert len(per) == 3 and max(per) <= ROWS_PER_FILE and table.count() == 2 * ROWS_PER_FILE + 1

@@ -64,7 +64,8 @@ def poisson_weight(key: Column, replicate: Column, seed: int) -> Column:
     """A Poisson(1) count that depends on key, replicate and seed only: the
     same in every task and after the loss of any."""
     u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), replicate, key)), 1, 8), 16, 10).cast("long")
-    return sum((F.when(u >= s, 1).otherwise(0) for s in POISSON_STEPS), F.lit(0)).cast("long")
+    # bound by a lambda, the digest is taken once, not once a step
+    return F.transform(F.array(u), lambda v: sum((F.when(v >= s, 1).otherwise(0) for s in POISSON_STEPS), F.lit(0)).cast("long"))[0]
 
 
 def concentration_replicates(entity: DataFrame, value: str = "total_quejas", keys: Sequence[str] = ENTITY_KEYS,
@@ -83,9 +84,10 @@ def concentration_replicates(entity: DataFrame, value: str = "total_quejas", key
     order = [F.col("v").desc(), *(F.col(k).asc() for k in keys)]
     rows = _numbered(entity.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("long").alias("v")), order, None, False)
     text = F.concat_ws("|", *(F.col(k).cast("string") for k in keys))
-    rows = rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
-    rows = rows.withColumn("w", F.when(F.col("replica") == 0, F.lit(1).cast("long")).otherwise(
-        poisson_weight(text, F.col("replica"), seed))).where("w > 0")
+    # behind the generator a weight is taken once, not once a reference
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(replicates)), lambda r: F.struct(r.alias("replica"), F.when(
+        r == 0, F.lit(1).cast("long")).otherwise(poisson_weight(text, r, seed)).alias("w")))
+    rows = rows.select("*", F.inline(drawn)).where("w > 0")
     held = F.col("w") * F.col("v")
     part = materialize(rows.groupBy("replica", "_part").agg(F.sum("w").alias("pw"), F.sum(held).alias("ps")), "bootstrap-parts")
     before = Window.partitionBy("replica").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

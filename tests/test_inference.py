@@ -62,3 +62,9 @@ def test_replicates(spark):
     band = I.concentration(I.concentration_replicates(df, "v", ["k"], 20)).first()
     assert band.replicas == 20 and band.gini_inferior < band.gini < band.gini_superior + 0.1
     assert I.concentration_replicates(df.limit(0), "v", ["k"], 5).count() == 0
+
+
+def test_digest_taken_once_a_draw(spark):
+    plan = I.concentration_replicates(spark.createDataFrame([("a", 1)], "k string, v long"), "v", ["k"], 3)._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line for line in plan.splitlines() if "md5" in line]
+    assert steps and all("Generate" in line and line.count("md5(") == 1 for line in steps)

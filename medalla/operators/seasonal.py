@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medalla.operators.ordering import null_safe
+from medalla.session import materialize
 
 SEASON = 12
 #: smoothing parameters tried: level, trend, season
@@ -161,6 +162,7 @@ def change_checks(found: DataFrame, monthly: DataFrame, keys: Sequence[str], dat
     series, the months and the total that the segments cover, and segments
     that overlap another one of their series or leave a gap."""
     ends = found.groupBy(*keys).agg(F.min("desde").alias("a"), F.max("hasta").alias("b"), F.sum("meses").alias("n"), F.sum("total").alias("t"))
+    ends = materialize(ends, "change-ends")  # read twice, the series are cut once
     span = F.months_between("b", "a") + 1
     facts = ends.agg(F.count(F.lit(1)).alias("series"), F.sum("n").alias("meses"), F.sum("t").alias("total"),
                      F.sum((F.col("n") != span).cast("long")).alias("huecos"))

@@ -106,3 +106,10 @@ def test_equal_rows_are_one_transaction(spark):
     for k in (1, 50):
         got = P.transactions(spark.createDataFrame(rows * k, "t string, u string"), ("t", "u")).collect()
         assert sorted((list(r["items"]), r["n"]) for r in got) == [(["t=a"], k), (["t=a", "u=x"], k), (["t=b", "u=x"], k)]
+
+
+def test_checks_cut_the_series_once(spark):
+    df = spark.createDataFrame([("a", _month(i), 5) for i in range(8)] + [(None, _month(1), 3)], "k string, d date, v long")
+    checks = S.change_checks(S.change_points(df, ["k"], "d", "v"), df, ["k"], "d", "v")
+    assert "InPandas" not in checks._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.control: r.valor for r in checks.collect()} == {"series": 2, "meses": 9, "total": 43, "huecos": 0, "totales_distintos": 0}

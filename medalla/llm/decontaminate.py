@@ -17,6 +17,9 @@ from medalla.llm.common import ascii_lower, concluded, stage
 WINDOW = 10
 #: lists intersected before a place is compared word for word
 LISTS = 3
+#: a list is left out if it is so many times as long as the places that a
+#: window has left: these are sooner compared word for word
+LONGER = 8
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -53,11 +56,14 @@ def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def phrase_places(postings: DataFrame, wins: DataFrame, lists: int = LISTS) -> DataFrame:
-    """Places ``(key, start, len, win, items)`` that hold the ``lists``
-    rarest terms of a window at the window's offsets.
+    """Places ``(key, start, len, win, items)`` that hold up to ``lists`` of
+    the rarest terms of a window at the window's offsets.
 
     Starts from the list of the rarest term of each window, shifted by its
-    offset, and keeps what the next rarest list, shifted likewise, holds too.
+    offset, and keeps what the next rarest list, shifted likewise, holds too,
+    unless that list is ``LONGER`` times as long as the places left: what moves
+    grows with the places, not with the lists of frequent terms. Places are
+    candidates, those of every occurrence among them.
     Equal texts have one key, so copies collapse before anything is joined.
     """
     frequency = stage(postings.groupBy("term").agg(F.count(F.lit(1)).alias("freq")), "term-counts")
@@ -69,14 +75,16 @@ def phrase_places(postings: DataFrame, wins: DataFrame, lists: int = LISTS) -> D
     places = None
     for k in range(lists):
         step = ranked.where(F.size("by") > k).select("win", F.col("by")[k]["off"].alias("off"),
-                                                     F.col("by")[k]["term"].alias("term"))
-        found = (postings.join(step, "term").select("key", "win", (F.col("pos") - F.col("off")).alias("start"))
-                 .where("start >= 0"))
+                                                     F.col("by")[k]["term"].alias("term"), F.col("by")[k]["freq"].alias("freq"))
+        if places is not None:  # one row a window
+            left = places.groupBy("win").agg(F.count(F.lit(1)).alias("left"))
+            step = stage(step.join(left, "win").where(F.col("freq") <= LONGER * F.col("left")), "window-steps")
+        found = (postings.join(step.select("win", "off", "term"), "term")
+                 .select("key", "win", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0"))
         if places is None:
             places = stage(found.distinct(), "places")
             continue
-        short = ranked.where(F.size("by") <= k).select("win")  # windows with no further term
-        done = places.join(short, "win", "left_semi")
+        done = places.join(step.select("win"), "win", "left_anti")  # windows with no further list
         places = stage(places.join(found, ["key", "win", "start"], "left_semi").unionByName(done), "places")
     return places.join(ranked.select("win", "len", "items"), "win").select("key", "start", "len", "win", "items")
 

@@ -85,3 +85,16 @@ def test_no_python_in_the_plan(spark, tables):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     plan = dc.contamination(df, spark.createDataFrame(items, "item_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_long_lists_are_left_out(spark):
+    """The list of a frequent term is not joined to a few places: these are
+    compared word for word."""
+    rows = [(i, "the " * 30) for i in range(5)] + [(10, "so rare the end"), (11, "so rare an end"), (12, "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Rare the")], "item_id long, text string")
+    wins = dc.windows(items)
+    post = dc.index(docs, wins.select(F.explode("terms").alias("term")).distinct())
+    assert sorted(r.start for r in dc.phrase_places(post, wins).select("start").collect()) == [0, 1, 1]
+    got = {r.doc_id: (r.n_hit, r.item_ids) for r in dc.contamination(docs, items).collect()}
+    assert got == {i: (2, ["1"]) if i == 10 else (0, []) for i, _ in rows}

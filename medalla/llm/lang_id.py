@@ -30,9 +30,11 @@ ORDER = 5
 #: entries of the models in one range of hashes, about: what a task reads at once
 PER_RANGE = 2_000_000
 #: bytes of the models that a Python worker holds; ranges beyond are read anew
-HELD_BYTES = 192 << 20
+HELD_BYTES = 96 << 20
 #: characters handled at a time
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: n-grams already looked up that a Python worker holds, at most
+REMEMBERED = 500_000
 #: letters from which on the subject of a text, not their number, is what
 #: moves its cross-entropy
 TOPIC = 2000
@@ -287,7 +289,7 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: flo
 
 def cross_entropies(model: Model, texts: list[str | None], memo: dict, ranges: Ranges) -> tuple[np.ndarray, np.ndarray]:
     """Nats per character of each text under each language, and the
-    characters. ``memo`` keeps n-grams already looked up, 1,000,000 at most."""
+    characters. ``memo`` keeps n-grams already looked up, ``REMEMBERED`` at most."""
     total = np.zeros((len(texts), len(model.langs)))
     n = np.zeros(len(texts), dtype=np.int64)
     for chars, starts, owner in chunks(texts):
@@ -297,12 +299,13 @@ def cross_entropies(model: Model, texts: list[str | None], memo: dict, ranges: R
         known = keys[pos] == u if len(keys) else np.zeros(len(u), bool)
         if not known.all():
             fresh = u[~known]
-            if len(keys) + len(fresh) > 1_000_000:
+            if len(keys) + len(fresh) > REMEMBERED:
+                memo.clear()
                 keys, vals, fresh, known = keys[:0], vals[:0], u, np.zeros(len(u), bool)
-            keys = np.concatenate([keys, fresh])
-            vals = np.concatenate([vals, log_probs(model, chars[at[~known]], ranges)])
-            o = np.argsort(keys)
-            memo["keys"], memo["vals"] = keys, vals = keys[o], vals[o]
+            into = np.searchsorted(keys, fresh)  # both sorted
+            vals = np.insert(vals, into, log_probs(model, chars[at[~known]], ranges), axis=0)
+            keys = np.insert(keys, into, fresh)
+            memo["keys"], memo["vals"] = keys, vals
             pos = np.searchsorted(keys, u)
         place = vals[pos][number]
         np.add.at(total, owner, np.add.reduceat(place, starts, axis=0))

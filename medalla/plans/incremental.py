@@ -16,6 +16,7 @@ recounted as well. Files that have gone from the folder stay counted.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,8 +101,11 @@ class IncrementalLayers:
         self._overwrite(rows, "quejas_limpias", ("anio", LOAD))
         taken = manifest.unionByName(new.withColumn(LOAD, F.lit(load)))
         every = self.table("quejas_limpias")
-        replaced = every.join(new.select(FILE), FILE, "left_semi")
-        years = sorted(r[0] for r in every.where(F.col(LOAD) == load).unionByName(replaced).select("anio").distinct().collect())
+        years = {r[0] for r in every.where(F.col(LOAD) == load).select("anio").distinct().collect()}  # from folder names
+        again = manifest.select(FILE).join(new, FILE, "left_semi").distinct()
+        if not again.isEmpty():  # files taken in anew: the rows are read for the years that they were in
+            years |= {r[0] for r in every.join(again, FILE, "left_semi").select("anio").distinct().collect()}
+        years = sorted(years)
         touched = self.silver(taken).where(F.col("anio").isin(years))  # prunes the folders of other years
         counted = materialize(count_cube(touched), "touched-years")
         self._overwrite(counted, CUBE, ("anio",))
@@ -109,7 +113,11 @@ class IncrementalLayers:
             # all its rows have been replaced: an overwrite by partitions would leave the old folder
             counted.drop("anio").limit(0).write.mode("overwrite").parquet(f"{self.root}/{CUBE}/anio={year}")
         if gold:
-            for name, build in gold_tables(self.cube()).items():
-                write_layer(build(), path=f"{self.root}/{name}")
+            # independent jobs, submitted together so that small ones share the cores
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                done = [pool.submit(lambda n=name, b=build: write_layer(b(), path=f"{self.root}/{n}"))
+                        for name, build in gold_tables(self.cube()).items()]
+                for f in done:
+                    f.result()
         self._overwrite(new.withColumn(LOAD, F.lit(load)), "manifiesto", (LOAD,))
         return {LOAD: load, "archivos": len(files), "anios": years}

@@ -1,6 +1,7 @@
 """Count cube and incremental loads."""
 
 import os
+import threading
 import time
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from conftest import SF_SMALL
 from medalla.operators import cube as K
 from medalla.operators import marts
 from medalla.operators.conform import conform
+from medalla.plans import incremental
 from medalla.plans.incremental import IncrementalLayers
 from medalla.schema import RAW_COLUMNS
 from medalla.session import scratch_root
@@ -113,3 +115,24 @@ def test_a_failed_load_is_done_again(spark):
     assert layers.silver().count() == 0
     assert layers.refresh()["lote"] == 1
     assert layers.silver().count() == 2 and layers.cube().agg(F.sum("quejas")).first()[0] == 2
+
+
+def test_gold_tables_are_built_together(spark, monkeypatch):
+    root = scratch_root(spark, "incremental-test").removeprefix("file:")
+    layers = IncrementalLayers(spark, f"{root}/landing", f"{root}/layers")
+    _raw(spark, [{"ANIO": "2015"}, {"ANIO": "2017"}]).coalesce(1).write.parquet(f"{root}/landing/a")
+    lock, running, most, write = threading.Lock(), [], [], incremental.write_layer
+
+    def slow(df, path):
+        with lock:
+            running.append(path)
+            most.append(len(running))
+        time.sleep(1)
+        write(df, path=path)
+        with lock:
+            running.remove(path)
+    monkeypatch.setattr(incremental, "write_layer", slow)
+    assert layers.refresh()["anios"] == [2015, 2017]
+    assert len(most) == 5 and max(most) > 1
+    kpis = spark.read.parquet(f"{root}/layers/dashboard_kpis")
+    assert kpis.count() == 6

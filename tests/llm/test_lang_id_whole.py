@@ -1,6 +1,8 @@
 """Language ID without caps: every order of a large alphabet stays, contexts
 sum to one, ranges and a small memory give the same values."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -56,3 +58,21 @@ def test_one_limit_at_every_number_of_rows(spark):
     a, b = ([r.rejected for r in lang_id.with_rejection(probe, lang_id.calibrate(x)).orderBy("n_letters", "nats").collect()]
             for x in (few, many))
     assert a == b == [False, True] * 4
+
+
+def test_a_worker_holds_little(spark, monkeypatch):
+    """Places are handled a bounded number at a time, and the n-grams that
+    are remembered are forgotten in time, with the same figures."""
+    text = "the quick brown fox jumps over it " * 20_000
+    assert max(len(c) for c, _, _ in lang_id.chunks([text])) <= 300_000
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abcdefg hij") for _ in range(300)) for _ in range(12)]
+    model = lang_id.train(spark.createDataFrame([(t, "x" if i % 2 else "y") for i, t in enumerate(texts)], "text string, lang string"))
+    want = lang_id.cross_entropies(model, texts, {}, lang_id.Ranges(model))
+    monkeypatch.setattr(lang_id, "REMEMBERED", 700)
+    memo = {}
+    for i, t in enumerate(texts):
+        ce, n = lang_id.cross_entropies(model, [t], memo, lang_id.Ranges(model))
+        assert abs(ce[0] - want[0][i]).max() < 1e-12 and n[0] == want[1][i]
+        assert len(memo["keys"]) == len(memo["vals"]) <= 700
+        assert (memo["keys"][1:] > memo["keys"][:-1]).all()

@@ -42,3 +42,28 @@ def test_concluded_releases_what_was_staged_on_the_way(spark):
     out = concluded(outer, "outer-result")
     assert sorted(r.id for r in out.collect()) == [2, 4, 6, 8, 10]
     assert not any(os.path.isdir(t.scratch_path.removeprefix("file:")) for t in made)
+
+
+def test_workers_give_back_what_they_free(spark):
+    """What a batch needed is not held by its worker afterwards."""
+    from medalla.llm.common import importable
+
+    importable(spark)
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        def held():
+            with open("/proc/self/statm") as f:
+                return int(f.read().split()[1]) * 4096 / 2**20
+
+        for b in batches:
+            np.ones(3 << 20, np.uint8)  # 3 MB once mapped and freed: such arrays would come from the heap from now on
+            before = held()
+            arrays = [np.ones(2 << 20, np.uint8) for _ in range(60)]
+            last = np.ones(200 << 10, np.uint8)  # above the others
+            del arrays
+            yield pd.DataFrame({"mb": [held() - before + 0 * len(last)]})
+
+    assert spark.range(1).repartition(1).mapInPandas(run, "mb double").first().mb < 20

@@ -5,7 +5,7 @@ repeated windows. They are ordered by most-significant-digit passes in which
 what is alone drops out:
 
 1. the digit is the window's seed, the SEED bytes with the smallest hash in
-   it (leftmost of ties). Equal windows have equal seeds at equal places, and
+   it (by its upper half, leftmost of ties). Equal windows have equal seeds at equal places, and
    neighbouring windows share theirs, so one row stands for a run of windows;
 2. the digit is all bytes of a run: equal runs are repeated as a whole;
 3. what is left, runs that share a seed with different runs, is ordered by
@@ -27,8 +27,9 @@ from medalla.llm.common import stage
 
 WINDOW = 200
 SEED = 32
-#: bytes that a task hashes at a time (a longer text is taken whole)
-CHUNK = 1 << 20
+#: bytes that a task hashes at a time (a longer text is taken whole): the
+#: arrays of eight bytes for each of them stay in a core's cache
+CHUNK = 1 << 16
 #: runs that a task orders at once; a seed with more goes by single windows
 GROUP = 4096
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -44,20 +45,23 @@ def rolling(a: np.ndarray, length: int) -> np.ndarray:
             step = min(have, length - have)  # the second half may overlap the first
             x = h[:len(h) - step] * _B
             x ^= x >> np.uint64(32)
-            h = (x ^ h[step:]) * _A
-            have += step
+            x ^= h[step:]
+            x *= _A
+            h, have = x, have + step
     return h ^ (h >> np.uint64(29))
 
 
 def leftmost_min(h: np.ndarray, width: int) -> np.ndarray:
-    """Index of the first smallest of each ``width`` values in a row."""
-    v, at, have = h, np.arange(len(h), dtype=np.int64), 1
+    """Index of the smallest of each ``width`` values in a row, going by their
+    upper 32 bits; of ties the first. The index stands in the lower bits, so
+    one minimum of packed values gives both."""
+    low = np.uint64(0xFFFFFFFF)
+    v, have = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
     while have < width:
         step = min(have, width - have)
-        right = v[step:] < v[:-step]
-        at, v = np.where(right, at[step:], at[:-step]), np.where(right, v[step:], v[:-step])
+        v = np.minimum(v[:-step], v[step:])
         have += step
-    return at
+    return (v & low).astype(np.int64)
 
 
 def runs(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +75,7 @@ def runs(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.nd
     h = rolling(a, seed)
     own = leftmost_min(h, window - seed + 1)
     base = np.concatenate([[0], np.cumsum(sizes)])
-    text = np.searchsorted(base, np.arange(len(own)), side="right") - 1
+    text = np.repeat(np.arange(len(sizes)), sizes)[:len(own)]
     inside = np.arange(len(own)) + window <= base[text + 1]
     cut = np.flatnonzero((np.diff(own) != 0) | (np.diff(text) != 0) | (np.diff(inside.astype(np.int8)) != 0)) + 1
     first = np.concatenate([[0], cut])

@@ -67,5 +67,15 @@ def test_runs_cover_every_window_once():
     assert got == Counter((i, k) for i, b in enumerate(texts) for k in range(len(b) - 49))
 
 
+def test_leftmost_min_and_its_bounded_arrays():
+    rnd = np.random.default_rng(5)
+    h = rnd.integers(0, 40, 3000).astype(np.uint64) << np.uint64(32) | rnd.integers(0, 2**32, 3000).astype(np.uint64)
+    upper = h >> np.uint64(32)  # many ties above different lower halves
+    for width in (1, 2, 7, 169):
+        want = [i + int(np.argmin(upper[i:i + width])) for i in range(len(h) - width + 1)]
+        assert sd.leftmost_min(h, width).tolist() == want
+    assert sd.CHUNK * 8 <= 1 << 20  # an array of a chunk's hashes fits a core's cache
+
+
 def test_empty(spark):
     assert sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
